@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuslight.plans.status_report import StatusReport, StatusTables
+from statuslight.plans.status_report import StatusReport
 
 AS_OF = dt.date(2001, 3, 15)
 SINCE = dt.datetime(2000, 1, 1)
@@ -25,9 +25,12 @@ def number(name: str) -> Column:
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -138,7 +141,7 @@ class Views:
             F.col("o_custkey").alias("company_fk"),
             F.col("o_orderpriority").alias("project_code"),
             F.col("o_totalprice").cast("decimal(18,2)").alias("project_fee_amount"),
-            F.round(F.col("o_totalprice") / 1000, 2).cast("decimal(18,2)").alias("project_budget_amount"),
+            (F.col("o_totalprice") / 1000).cast("decimal(18,5)").alias("project_budget_amount"),
             F.col("o_orderdate").alias("project_delivery_start_ts"),
             end.alias("project_delivery_end_ts"),
         )
@@ -150,7 +153,7 @@ class Views:
             F.col("l_orderkey").alias("timesheet_project_fk"),
             billable.alias("timesheet_is_billable"),
             F.col("l_quantity").cast("decimal(10,2)").alias("timesheet_hours_billed"),
-            (F.col("l_extendedprice") / 1000).cast("decimal(10,2)").alias("timesheet_billable_hourly_cost_amount"),
+            (F.col("l_extendedprice") / 1000).cast("decimal(12,5)").alias("timesheet_billable_hourly_cost_amount"),
         )
 
     def costs(self) -> DataFrame:
@@ -175,17 +178,8 @@ class Views:
             [("GBP", 1.0), ("USD", 1.25), ("EUR", 1.16)], "currency_code string, currency_rate double"
         )
 
-    def status_tables(self) -> StatusTables:
-        return StatusTables(
-            source=self.engagements(), companies=self.companies(), details=self.details(),
-            contacts=self.contacts(), messages=self.messages(), docs=self.docs(),
-            contributions=self.contributions(), delivery_projects=self.delivery_projects(),
-            tasks=self.tasks(), timesheet_projects=self.timesheet_projects(),
-            timesheets=self.timesheets(), costs=self.costs(), rates=self.rates(),
-        )
-
     def status(self, **options) -> StatusReport:
-        return StatusReport(self.status_tables(), SINCE, AS_OF, **options)
+        return StatusReport(StatusViews(self), SINCE, AS_OF, **options)
 
     def vector_chunks(self) -> DataFrame:
         """The stored vectors as chunks of ten deals, with whole documents as content."""
@@ -215,6 +209,21 @@ class Views:
     def document_names(self) -> DataFrame:
         """Catalog-like names: every document id and its two derived tables."""
         suffixes = F.array(F.lit(""), F.lit("_result"), F.lit("_embeddings"))
-        return self.table("documents").select(
-            text(number("doc_id"), F.explode(suffixes)).alias("name")
-        )
+        named = self.table("documents").select("doc_id", F.explode(suffixes).alias("suffix"))
+        return named.select(text(number("doc_id"), F.col("suffix")).alias("name"))
+
+
+class StatusViews:
+    """The views under the table names of the report, each built when first used."""
+
+    def __init__(self, views: Views):
+        self._views = views
+
+    @cached_property
+    def source(self) -> DataFrame:
+        return self._views.engagements()
+
+    def __getattr__(self, name: str) -> DataFrame:
+        table = getattr(self._views, name)()
+        setattr(self, name, table)
+        return table

@@ -23,6 +23,7 @@ from statuslight.operators.evidence import KEYS
 from statuslight.operators.joins import lookup_join
 from statuslight.operators.running import running_sums
 
+GBP = "decimal(28,6)"
 MEASURES = [
     "project_sprints_hours_budget",
     "total_project_sprints_fee_amount",
@@ -43,12 +44,13 @@ def sum_distinct_by(df: DataFrame, group: list[str], key: str, value: str, alias
 def converted_costs(costs: DataFrame, rates: DataFrame) -> DataFrame:
     """Expenses in pounds, one row per matching rate; 0 where there is no rate.
 
-    A rate of zero raises a division error, as it would in the source query.
+    A rate of zero raises a division error, as it would in the source query. Amounts
+    are decimals to a millionth, so that later sums do not depend on their order.
     """
     quoted = rates.select(F.col("currency_code").alias("expense_currency_code"), "currency_rate")
     joined = lookup_join(costs, quoted, ["expense_currency_code"])
     amount = F.col("expense_amount_local").cast("double") / F.col("currency_rate").cast("double")
-    return joined.withColumn("amount_gbp", F.coalesce(amount, F.lit(0.0)))
+    return joined.withColumn("amount_gbp", F.coalesce(F.round(amount, 6), F.lit(0.0)).cast(GBP))
 
 
 def timesheet_totals(timesheets: DataFrame) -> DataFrame:
@@ -90,6 +92,7 @@ def financial_grains(
     row and keeps the smallest start-month total, as the source query does.
     ``corrected`` counts every timesheet once and adds up the start months.
     Budget, fee and contractor cost are counted once per project or expense in both.
+    Decimal inputs stay decimal, so every total is exact; KPIs turn them into doubles.
     """
     if mode not in ("faithful", "corrected"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -110,7 +113,7 @@ def financial_grains(
         *place, "timesheet_project_pk", "project_code", "project_fee_amount", "project_budget_amount",
         *[(F.coalesce(F.col(c), F.lit(0)) * weight).alias(c) for c in ("billable_hours", "nonbillable_hours", "timesheet_cost")],
         F.lit(None).cast(costs.schema["expense_pk"].dataType).alias("expense_pk"),
-        F.lit(None).cast("double").alias("amount_gbp"),
+        F.lit(None).cast(GBP).alias("amount_gbp"),
     )
     owners = delivered.select(*place, F.col("timesheet_project_pk").alias("timesheet_project_fk"))
     spent = lookup_join(
@@ -137,7 +140,7 @@ def financial_grains(
     per_start = F.min if mode == "faithful" else F.sum
 
     def start_total(column: str) -> Column:
-        return per_start(F.when(by_start, F.col(column))).cast("double")
+        return per_start(F.when(by_start, F.col(column)))
 
     return grains.groupBy(*KEYS).agg(
         F.coalesce(F.sum(F.when(has_project, F.col("budget"))), F.lit(0)).alias(MEASURES[0]),
@@ -145,7 +148,7 @@ def financial_grains(
         start_total("billable_hours").alias(MEASURES[2]),
         start_total("nonbillable_hours").alias(MEASURES[3]),
         start_total("timesheet_cost").alias(MEASURES[4]),
-        F.coalesce(F.sum(F.when(has_expense, F.col("amount_gbp"))), F.lit(0.0)).alias(MEASURES[5]),
+        F.coalesce(F.sum(F.when(has_expense, F.col("amount_gbp"))), F.lit(0)).alias(MEASURES[5]),
         F.count(F.when(by_code, F.col("project_code"))).alias(MEASURES[6]),
     )
 

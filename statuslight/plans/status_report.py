@@ -16,7 +16,7 @@ from statuslight.session import written
 
 @dataclass
 class StatusTables:
-    """Input tables; ``source`` holds the engagements."""
+    """Input tables; ``source`` holds the engagements. Any object with these attributes will do."""
 
     source: DataFrame
     companies: DataFrame
