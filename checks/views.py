@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuslight.plans.status_report import StatusReport
+from statuslight.sources.tables import read_spread
 
 AS_OF = dt.date(2001, 3, 15)
 SINCE = dt.datetime(2000, 1, 1)
@@ -29,7 +30,7 @@ class Views:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._read[name] = read_spread(self.spark, f"{self.sf_dir}/{name}.parquet")
         return self._read[name]
 
     @cached_property

@@ -16,15 +16,19 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&am
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    """The words of a text; one empty word if it has none."""
+    return F.split(F.btrim(text, F.lit(" \t\r\n")), SPACE)
 
 
-def word_windows(text: Column, size: int = CHUNK_WORDS) -> Column:
-    """Consecutive windows of ``size`` words; NULL for text without a word."""
-    all_words = words(text)
+def word_windows(all_words: Column, size: int = CHUNK_WORDS) -> Column:
+    """Consecutive windows of ``size`` words; NULL when there is no word.
+
+    ``all_words`` has to be a column, not the expression that splits the text, or
+    the text would be split again for every window.
+    """
     starts = F.sequence(F.lit(0), F.size(all_words) - 1, F.lit(size))
     pieces = F.transform(starts, lambda i: F.array_join(F.slice(all_words, i + 1, F.lit(size)), " "))
-    return F.when(F.size(all_words) > 0, pieces)
+    return F.when((F.size(all_words) > 1) | (all_words[0] != ""), pieces)
 
 
 def without_tags(html: Column) -> Column:
@@ -51,8 +55,9 @@ def chunk_documents(
     A text is one page, so both ends of its span are page 1.
     """
     footer = F.lit(None).cast("string") if footer_texts is None else F.get(footer_texts, 0)
-    pieces = documents.select(
-        *keep, footer.alias("page_footers_text"), F.posexplode(word_windows(text, size)).alias("position", "content")
+    split = documents.select(*keep, footer.alias("page_footers_text"), words(text).alias("words"))
+    pieces = split.select(
+        *keep, "page_footers_text", F.posexplode(word_windows(F.col("words"), size)).alias("position", "content")
     )
     return pieces.select(
         *keep,
@@ -70,18 +75,19 @@ def process_documents(
     """One JSON result per document, holding its chunks as a layout parser returns them."""
     notes = F.coalesce(footer_texts, F.array()) if footer_texts is not None else F.array().cast("array<string>")
     footer_structs = F.transform(notes, lambda t: F.struct(t.alias("text")))
-    windows = F.coalesce(word_windows(text, size), F.array().cast("array<string>"))
+    split = documents.select(*keep, footer_structs.alias("notes"), words(text).alias("words"))
+    windows = F.coalesce(word_windows(F.col("words"), size), F.array().cast("array<string>"))
     chunks = F.transform(
         windows,
         lambda piece, i: F.struct(
             F.concat(F.lit("c"), (i + 1).cast("string")).alias("chunkId"),
             piece.alias("content"),
-            footer_structs.alias("pageFooters"),
+            F.col("notes").alias("pageFooters"),
             F.struct(F.lit(1).alias("pageStart"), F.lit(1).alias("pageEnd")).alias("pageSpan"),
         ),
     )
     result = F.struct(F.struct(chunks.alias("chunks")).alias("chunkedDocument"))
-    return documents.select(*keep, F.to_json(result).alias("ml_process_document_result"))
+    return split.select(*keep, F.to_json(result).alias("ml_process_document_result"))
 
 
 def parse_chunks(results: DataFrame, keep: list[str]) -> DataFrame:

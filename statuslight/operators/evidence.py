@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from statuslight.functions.calendar import MICROS, as_of_time, month_of, seconds_text, whole_days
 from statuslight.functions.json_text import json_record
 from statuslight.operators.bundle import PART_ITEMS, bundle
-from statuslight.operators.joins import lookup_join
+from statuslight.operators.joins import HOT_ROWS, lookup_join
 
 KEYS = ["company_name", "engagement_month"]
 OUTPUTS = {
@@ -142,18 +143,20 @@ def comment_items(contributions: DataFrame, months: DataFrame) -> DataFrame:
     return _items(rows, "comments", F.date_format("meeting_start_ts", MICROS), item)
 
 
-def task_epics(tasks: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def task_epics(tasks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every task with the first start and the last end of its project's epic.
 
-    The extremes are aggregated (with map-side combine) and joined back, so an epic
-    that holds a large share of the tasks is not collected in one window.
+    A window gathers an epic's tasks in one task. If an epic is too large for that,
+    the extremes are aggregated instead, with map-side combine, and joined back.
     """
     epic = ["delivery_project_fk", "epic_name"]
-    spans = tasks.groupBy(*epic).agg(
-        F.min("task_start_ts").alias("epic_start_ts"), F.max("task_end_ts").alias("epic_end_ts")
-    )
-    limits = {} if hot_rows is None else {"hot_rows": hot_rows, "broadcast_rows": 0}
-    return lookup_join(tasks, spans, epic, how="left", null_safe=True, **limits)
+    first, last = F.min("task_start_ts"), F.max("task_end_ts")
+    large = tasks.groupBy(*epic).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+    if large.isEmpty():
+        over = W.partitionBy(*epic)
+        return tasks.withColumns({"epic_start_ts": first.over(over), "epic_end_ts": last.over(over)})
+    spans = tasks.groupBy(*epic).agg(first.alias("epic_start_ts"), last.alias("epic_end_ts"))
+    return lookup_join(tasks, spans, epic, how="left", null_safe=True, hot_rows=hot_rows)
 
 
 def tasks_by_month(tasks: DataFrame, projects: DataFrame, months: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def generate_embedding(
 
 def hash_embedding(df: DataFrame, content_col: str = "content", size: int = 64) -> DataFrame:
     """The local embedding: word counts hashed into ``size`` places, scaled to length 1."""
-    tokens = F.coalesce(words(F.lower(content_col)), F.array().cast("array<string>"))
+    tokens = F.coalesce(F.filter(words(F.lower(content_col)), lambda w: w != ""), F.array().cast("array<string>"))
     hashed = HashingTF(numFeatures=size, inputCol="__words", outputCol="__counts").transform(df.withColumn("__words", tokens))
     scaled = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(hashed)
     vector = F.when(F.col(content_col).isNotNull(), vector_to_array("__unit", "float32"))

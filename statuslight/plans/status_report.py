@@ -60,7 +60,9 @@ class StatusReport:
 
     @cached_property
     def months(self) -> DataFrame:
-        return written(spine.spine_months(self.spine(), self.tables.companies, self.dedupe), "months")
+        rows = self.__dict__.get("written_spine")  # saves building the spine again where it is written already
+        months = spine.spine_months(self.spine() if rows is None else rows, self.tables.companies, self.dedupe)
+        return written(months, "months")
 
     def grains(self) -> DataFrame:
         t = self.tables
@@ -94,7 +96,8 @@ class StatusReport:
         return evidence.gather([self.items(kind) for kind in evidence.OUTPUTS], self.part_items)
 
     def prompts(self) -> DataFrame:
-        return reporting.assemble_prompt(self.written_spine, self.evidence())
+        rows = self.written_spine
+        return reporting.assemble_prompt(rows, self.evidence())
 
     def answers(self, backend: Callable[[], generation.TextBackend], callers: int | None = None) -> DataFrame:
         """Prompts and answers are both written, so a lost executor repeats no call that was answered."""

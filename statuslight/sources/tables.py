@@ -5,6 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def read_spread(spark: SparkSession, path: str, min_bytes: int = 2 << 20) -> DataFrame:
+    """A Parquet table, spread over all tasks when its files give fewer splits than there are cores.
+
+    A table of one large row group is one split, so one task would do all the work up
+    to the first shuffle. Tables with enough splits are read as they are.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    key = (spark.sparkContext.applicationId, path, min_bytes)
+    if key not in _NARROW:
+        _NARROW[key] = df.rdd.getNumPartitions() < cores and _file_bytes(spark, path) >= min_bytes
+    return df.repartition(cores) if _NARROW[key] else df
+
+
+_NARROW: dict[tuple, bool] = {}
+
+
+def _file_bytes(spark: SparkSession, path: str) -> int:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg({"length": "sum"}).first()[0] or 0
+
+
 def replace_partitions(df: DataFrame, path: str, by: str = "deal_id") -> None:
     """Create or replace the partitions of ``by`` that occur in ``df``, and leave the others.
 
