@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import importlib
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -25,6 +28,24 @@ def build_session(master: str = "local[*]", app_name: str = "statuslight", **con
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Send this package, and ``packages``, to the Python workers of a session started elsewhere.
+
+    Model calls run in Python workers, which import their code. A job submitted with
+    ``--py-files`` does not need this.
+    """
+    for name in ("statuslight", *packages):
+        if (spark.sparkContext.applicationId, name) in _SHIPPED:
+            continue
+        root = os.path.dirname(os.path.dirname(os.path.abspath(importlib.import_module(name).__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name)
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add((spark.sparkContext.applicationId, name))
+
+
+_SHIPPED: set[tuple[str, str]] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
