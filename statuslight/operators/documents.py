@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statuslight.functions.json_text import json_array, json_value, parsed
 from statuslight.functions.numbers import safe_bigint
+from statuslight.operators.joins import lookup_join
 
 CHUNK_WORDS = 250
 
@@ -117,10 +118,9 @@ def document_registry(chunks: DataFrame) -> DataFrame:
 
 
 def embedding_worklist(ids: DataFrame, registry: DataFrame) -> DataFrame:
-    """Every id with ``ready``: whether its chunks exist and it can be embedded."""
-    ready = ids.join(registry.select("deal_id"), "deal_id", "left_semi").withColumn("ready", F.lit(True))
-    skipped = ids.join(registry.select("deal_id"), "deal_id", "left_anti").withColumn("ready", F.lit(False))
-    return ready.unionByName(skipped)
+    """Every id with ``ready``: whether its chunks exist and it can be embedded, or has to be skipped."""
+    known = registry.select("deal_id").distinct().withColumn("ready", F.lit(True))
+    return lookup_join(ids, known, ["deal_id"]).withColumn("ready", F.coalesce("ready", F.lit(False)))
 
 
 def pending_deals(names: DataFrame, existing: DataFrame, column: str = "name") -> DataFrame:

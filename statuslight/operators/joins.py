@@ -129,7 +129,9 @@ def _blank(df: DataFrame, name: str) -> Column:
 def _salted(left: DataFrame, right: DataFrame, hot: DataFrame, on: list[str], how: str, hot_rows: int) -> DataFrame:
     salts = F.ceil(F.col("key_rows") / F.lit(hot_rows)).cast("int")
     marks = F.broadcast(hot.select(*on, salts.alias("__salts")))
-    content = F.xxhash64(*[F.col(f"`{name}`") for name in left.columns])
+    # Equal rows differ in their partition, which spreads them. Both inputs of the hash stay
+    # the same when a task runs again, so a lost executor cannot send a row elsewhere.
+    content = F.xxhash64(*[F.col(f"`{name}`") for name in left.columns], F.spark_partition_id())
     spread = left.join(marks, on, "left").withColumn(
         "__salt", F.coalesce(F.pmod(content, F.col("__salts")).cast("int"), F.lit(0))
     ).drop("__salts")
@@ -145,7 +147,7 @@ def salted_join(
     """Join whose right side has large rows (whole texts) and is never broadcast.
 
     The rows of a hot left key go to several tasks by a hash of their content and
-    the right rows of that key are copied to each of them.
+    partition, and the right rows of that key are copied to each of them.
     """
     present = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in on])
     keyed = left.where(present)

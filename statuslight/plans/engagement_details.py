@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuslight.operators import details, generation, retrieval
+from statuslight.operators.joins import lookup_join
 from statuslight.session import written
 from statuslight.sources.tables import append
 
@@ -37,7 +38,7 @@ def extract_details(
     embed: Embedder = generation.hash_embedding, callers: int | None = None,
 ) -> DataFrame:
     """Details of the pending deals: one search and one text call for all deals and questions."""
-    chosen = vectors.join(pending.select("deal_id").distinct(), "deal_id", "left_semi")
+    chosen = lookup_join(vectors, pending.select("deal_id").distinct(), ["deal_id"], how="inner")
     prompts = written(contexts(chosen, question_vectors(vectors.sparkSession, embed)), "contexts")
     answers = written(generation.generate_text(prompts, backend, generation.EXTRACTION_OPTIONS, callers=callers), "details")
     return details.parse_details(details.combine_extractions(answers, generation.RESULT))
