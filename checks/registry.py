@@ -107,10 +107,8 @@ def docs_by_month(v: Views) -> DataFrame:
 @query
 def meetings_by_month(v: Views) -> DataFrame:
     rows = evidence.meetings_by_month(v.contributions(), v.status().months)
-    return rows.select(
-        *evidence.KEYS, "meeting_start_ts", "meeting_title", "meeting_summary",
-        (F.col("score_rows") * F.col("copies")).alias("contributions"),
-    )
+    meeting = [*evidence.KEYS, "meeting_start_ts", "meeting_title", "meeting_summary"]
+    return counted(rows, meeting).withColumnRenamed("copies", "contributions")
 
 
 @query
@@ -429,6 +427,15 @@ def vector_topk_ivf(v: Views) -> DataFrame:
     return rounded(found, 6, ["distance"])
 
 
+@query
+def vector_topk_ivf_all_lists(v: Views) -> DataFrame:
+    """Probing every list is an exact search."""
+    base = v.vectors()
+    lists = retrieval.VectorLists.train(base, lists=max(2, int(base.count() ** 0.5)))
+    found = lists.topk(lists.assign(base), v.centroids(), fraction=1.0)
+    return rounded(found, 6, ["distance"]).withColumn("rank", F.col("rank").cast("bigint"))
+
+
 @query
 def rag_context(v: Views) -> DataFrame:
     questions = v.centroids()

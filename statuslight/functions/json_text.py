@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+NESTED = "^(OBJECT|ARRAY)"
+
 
 def strip_fences(text: Column, newlines: bool = True) -> Column:
     """Remove Markdown code fences, and line feeds unless ``newlines`` is False."""
@@ -19,9 +21,7 @@ def parsed(text: Column) -> Column:
 
 def json_value(document: Column, path: str) -> Column:
     """The scalar at ``path`` as text; NULL for objects, arrays, JSON null and absence."""
-    node = F.try_variant_get(document, path, "variant")
-    shape = F.schema_of_variant(node)
-    nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
+    nested = F.schema_of_variant(F.try_variant_get(document, path, "variant")).rlike(NESTED)
     return F.when(~nested, F.try_variant_get(document, path, "string"))
 
 
@@ -34,8 +34,7 @@ def json_query(text: Column, path: str) -> Column:
     """The JSON text at ``path``: containers as written, scalars re-quoted as JSON."""
     node = F.try_variant_get(F.try_parse_json(text), path, "variant")
     shape = F.schema_of_variant(node)
-    nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
-    return F.when(nested, F.get_json_object(text, path)).when(shape != "VOID", F.to_json(node))
+    return F.when(shape.rlike(NESTED), F.get_json_object(text, path)).when(shape != "VOID", F.to_json(node))
 
 
 def json_record(**fields: Column) -> Column:

@@ -94,28 +94,28 @@ def sentiment_score(category: Column) -> Column:
 
 
 def meetings_by_month(contributions: DataFrame, months: DataFrame) -> DataFrame:
-    """Contributions summed per company, month and meeting before they meet the spine."""
-    meeting = ["company_fk", "meeting_start_ts", "meeting_title", "meeting_summary"]
-    summed = contributions.groupBy(*meeting).agg(
-        F.sum("meeting_engagement_level").alias("level_sum"),
-        F.count("meeting_engagement_level").alias("level_rows"),
-        F.sum(sentiment_score(F.col("contribution_sentiment_category"))).alias("score_sum"),
-        F.count("*").alias("score_rows"),
-    )
-    return in_months(summed, "meeting_start_ts", months)
+    return in_months(contributions, "meeting_start_ts", months)
 
 
 def meeting_sentiment(contributions: DataFrame, months: DataFrame) -> DataFrame:
-    """Average engagement level and sentiment score of every meeting of a company's month."""
-    rows = meetings_by_month(contributions, months)
-    weighted = {c: F.sum(F.col(c) * F.col("copies")) for c in ("level_sum", "level_rows", "score_sum", "score_rows")}
-    grouped = rows.groupBy(
+    """Average engagement level and sentiment score of every meeting of a company's month.
+
+    Averages are sums over counts, both weighted with ``copies`` and combined before the shuffle.
+    """
+    level, copies = F.col("meeting_engagement_level"), F.col("copies")
+    score = sentiment_score(F.col("contribution_sentiment_category"))
+    summed = meetings_by_month(contributions, months).groupBy(
         *KEYS, seconds_text(F.col("meeting_start_ts")).alias("meeting_start_time"), "meeting_title", "meeting_summary"
-    ).agg(*[total.alias(c) for c, total in weighted.items()])
-    return grouped.select(
+    ).agg(
+        F.sum(level * copies).alias("levels"),
+        F.sum(F.when(level.isNotNull(), copies)).alias("level_rows"),
+        F.sum(score * copies).alias("scores"),
+        F.sum(copies).alias("score_rows"),
+    )
+    return summed.select(
         *KEYS, "meeting_start_time", "meeting_title", "meeting_summary",
-        F.try_divide(F.col("level_sum").cast("double"), "level_rows").alias("avg_meeting_engagement_level"),
-        F.try_divide(F.col("score_sum").cast("double"), "score_rows").alias("average_contribution_sentiment_score"),
+        F.try_divide(F.col("levels").cast("double"), "level_rows").alias("avg_meeting_engagement_level"),
+        F.try_divide(F.col("scores").cast("double"), "score_rows").alias("average_contribution_sentiment_score"),
     )
 
 

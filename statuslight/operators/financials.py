@@ -98,12 +98,13 @@ def financial_grains(
         raise ValueError(f"unknown mode {mode!r}")
     delivered = _delivered(projects, months)
     in_gbp = converted_costs(costs, rates)
-    hours = lookup_join(delivered, timesheet_totals(timesheets), ["timesheet_project_pk"])
+    # the project key is unique on both sides of these two joins, so no key can be hot
+    hours = delivered.join(timesheet_totals(timesheets), "timesheet_project_pk", "left")
     if mode == "faithful":
         repeats = in_gbp.groupBy(F.col("timesheet_project_fk").alias("timesheet_project_pk")).agg(
             F.count("*").alias("expense_rows")
         )
-        hours = lookup_join(hours, repeats, ["timesheet_project_pk"])
+        hours = hours.join(repeats, "timesheet_project_pk", "left")
         weight = F.col("copies") * F.coalesce(F.col("expense_rows"), F.lit(1))
     else:
         weight = F.lit(1)
