@@ -37,6 +37,11 @@ def _joined_names(times) -> F.Column:
     return F.when(F.size("names") > 0, F.array_join(flat, ","))
 
 
+def recent_engagements(source: DataFrame, since: dt.datetime) -> DataFrame:
+    recent = source.where(F.col("engagement_start_ts") >= F.lit(since).cast("timestamp_ntz"))
+    return recent.withColumnRenamed("company_fk", "company_pk")
+
+
 def engagements(
     source: DataFrame, companies: DataFrame, details: DataFrame, since: dt.datetime
 ) -> DataFrame:
@@ -47,8 +52,7 @@ def engagements(
     a NULL project name. Equal detail rows of a deal multiply its project names,
     different ones give an engagement row each.
     """
-    recent = source.where(F.col("engagement_start_ts") >= F.lit(since).cast("timestamp_ntz"))
-    named = project_names(recent.withColumnRenamed("company_fk", "company_pk"))
+    named = project_names(recent_engagements(source, since))
     named = lookup_join(named, companies.select("company_pk", "company_name"), ["company_pk"])
     per_deal = details.groupBy("deal_id", *DETAIL_COLUMNS).agg(F.count("*").alias("detail_rows"))
     full = lookup_join(named, per_deal, ["deal_id"])
@@ -60,6 +64,14 @@ def engagements(
     )
 
 
+def engagement_months(as_of: dt.date | None) -> F.Column:
+    """The months of an engagement up to that of ``as_of``; NULL without an end or a valid range."""
+    today = as_of_date(as_of)
+    end = month_of(F.col("engagement_end_ts"))
+    last = F.when(end > today, F.trunc(today, "month")).otherwise(end)
+    return months_between_dates(month_of(F.col("engagement_start_ts")), last)
+
+
 def month_spine(engaged: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """One row per engagement and month, the last month being that of ``as_of``.
 
@@ -67,11 +79,7 @@ def month_spine(engaged: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     one row with a NULL month. The clamp is a CASE on purpose: ``least`` skips NULL
     and would close open engagements at ``as_of``.
     """
-    today = as_of_date(as_of)
-    end = month_of(F.col("engagement_end_ts"))
-    last = F.when(end > today, F.trunc(today, "month")).otherwise(end)
-    months = months_between_dates(month_of(F.col("engagement_start_ts")), last)
-    return engaged.select("*", F.explode_outer(months).alias("engagement_month")).select(
+    return engaged.select("*", F.explode_outer(engagement_months(as_of)).alias("engagement_month")).select(
         "company_pk", "company_name", "deal_name", "deal_description", "project_name",
         "engagement_start_ts", "engagement_end_ts", "engagement_month", *DETAIL_COLUMNS,
     )
@@ -90,3 +98,24 @@ def spine_months(spine: DataFrame, companies: DataFrame, dedupe: bool = False) -
         .agg((F.lit(1).cast("bigint") if dedupe else F.count("*")).alias("copies"))
     )
     return lookup_join(counted, companies.select("company_pk"), ["company_pk"], how="inner")
+
+
+def months_of_engagements(
+    source: DataFrame, companies: DataFrame, details: DataFrame, since: dt.datetime,
+    as_of: dt.date | None = None, dedupe: bool = False,
+) -> DataFrame:
+    """``spine_months`` straight from the tables, without project names and detail texts.
+
+    An engagement has a spine row for every different detail row of its deal.
+    """
+    distinct = recent_engagements(source, since).select(*ENGAGEMENT_KEYS).distinct()
+    versions = details.select("deal_id", *DETAIL_COLUMNS).distinct().groupBy("deal_id").agg(F.count("*").alias("versions"))
+    spread = lookup_join(distinct, versions, ["deal_id"]).select(
+        "company_pk", F.coalesce(F.col("versions"), F.lit(1)).alias("versions"),
+        F.explode(engagement_months(as_of)).alias("engagement_month"),
+    )
+    counted = spread.groupBy("company_pk", "engagement_month").agg(
+        (F.lit(1).cast("bigint") if dedupe else F.sum("versions")).alias("copies")
+    )
+    named = lookup_join(counted, companies.select("company_pk", "company_name"), ["company_pk"], how="inner")
+    return named.select("company_pk", "company_name", "engagement_month", "copies")

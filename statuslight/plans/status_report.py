@@ -60,8 +60,10 @@ class StatusReport:
 
     @cached_property
     def months(self) -> DataFrame:
-        rows = self.__dict__.get("written_spine")  # saves building the spine again where it is written already
-        months = spine.spine_months(self.spine() if rows is None else rows, self.tables.companies, self.dedupe)
+        t = self.tables
+        if "written_spine" in self.__dict__:
+            return written(spine.spine_months(self.written_spine, t.companies, self.dedupe), "months")
+        months = spine.months_of_engagements(t.source, t.companies, t.details, self.since, self.as_of, self.dedupe)
         return written(months, "months")
 
     def grains(self) -> DataFrame:

@@ -71,6 +71,27 @@ def test_project_names_of_equal_engagements_and_details(spark):
     ]
 
 
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_months_from_tables_equal_months_of_the_spine(spark, dedupe):
+    starts = [dt.datetime(2001, 1, 1), dt.datetime(2001, 2, 9)]
+    source = spark.createDataFrame(
+        [(c, f"d{c}{i}", 7 + i, "x", [("P",), ("Q",)], start, end) for c in (1, 2, 9) for i, start in enumerate(starts)
+         for end in (dt.datetime(2001, 2, 20), None)] * 2,
+        "company_fk bigint, deal_name string, deal_id bigint, deal_description string,"
+        f" projects array<struct<project_name:string>>, engagement_start_ts {NTZ}, engagement_end_ts {NTZ}",
+    )
+    companies = spark.createDataFrame([(1, "A"), (2, None)], "company_pk bigint, company_name string")
+    found = spark.createDataFrame(
+        [(7, "b", "r", "s", "o", "l")] * 2 + [(7, None, "r", "s", "o", "l"), (None, "b", "r", "s", "o", "l")],
+        "deal_id bigint, background string, requirements string, solution string, objectives_json string, deliverables_json string",
+    )
+    since = dt.datetime(2000, 1, 1)
+    rows = spine.month_spine(spine.engagements(source, companies, found, since), AS_OF)
+    want = spine.spine_months(rows, companies, dedupe).collect()
+    got = spine.months_of_engagements(source, companies, found, since, AS_OF, dedupe).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 4
+
+
 def test_evidence_of_unknown_companies_is_left_out(spark):
     rows = spine.month_spine(engaged(spark, dt.datetime(2001, 1, 1), dt.datetime(2001, 2, 1)), AS_OF)
     known = spark.createDataFrame([(2,)], "company_pk bigint")
