@@ -18,7 +18,8 @@ BUCKETS = 4096
 EVIDENCE = 4.0
 PENALTY = 1e-3
 STEPS = 80
-TOLERANCE = 1e-4
+#: change of the domain shares in a step that ends the search
+TOLERANCE = 1e-5
 
 
 def trigram_counts(text: bytes) -> np.ndarray:
@@ -165,6 +166,7 @@ def fit_mixture(
     goal = np.array([max(0.0, targets.get(n, 0.0)) for n in names], float)
     goal = goal / goal.sum() if goal.sum() > 0 else goal
     history, step, reached = np.zeros((0, d)), 1.0, goal
+    before = np.full(d, np.inf)
     for _ in range(steps + 1):
         found = sums(history, step)
         total = found[0]
@@ -173,8 +175,9 @@ def fit_mixture(
         reached, ahead = found[1 : 1 + d] / total, found[1 + d : 1 + 2 * d] / total
         if len(history) == 0:
             step = 1.0 / (np.linalg.eigvalsh(found[1 + 2 * d :].reshape(d, d) / total).max() + penalty)
-        if np.abs(reached - goal).max() < tolerance or len(history) == steps:
+        if max(np.abs(reached - before).max(), np.abs(ahead - reached).max()) < tolerance or len(history) == steps:
             break
+        before = reached
         history = np.vstack([history, np.round(ahead - goal, 9)])  # rounded: independent of the order of addition
     return Mixture(names, history, step, penalty, goal, reached)
 

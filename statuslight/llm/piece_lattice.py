@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from statuslight.llm.common import Scratch, id_and_text
 
 BLANK = "▁"
+WORD = re.compile("▁+[^▁]*")
 #: UTF-8 bytes of the texts that share a dictionary
 BLOCK_BYTES = 32 << 20
 #: an unknown character scores this much below the worst piece
@@ -34,11 +36,7 @@ class Pieces:
 
     @classmethod
     def load(cls, model_file: str) -> Pieces:
-        """Read the piece table of a model with byte fallback. Its scores are used as they are.
-
-        Pieces of blanks only that score below as many single blanks can win on no path
-        and are left out.
-        """
+        """Read the piece table of a model with byte fallback. Its scores are used as they are."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -49,8 +47,8 @@ class Pieces:
                 byte_ids[int(piece[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 rows.append((piece, i, float(model.get_score(i))))
-        scores = {piece: score for piece, _, score in rows}
-        rows = [r for r in rows if len(r[0]) < 2 or r[0].strip(BLANK) or r[2] > len(r[0]) * scores.get(BLANK, -math.inf)]
+        if any(BLANK in piece.lstrip(BLANK) for piece, _, _ in rows):
+            raise ValueError("a piece with a blank after other characters joins words")
         pairs = frozenset(piece[i : i + 2] for piece, _, _ in rows for i in range(len(piece) - 1))
         return cls(rows, byte_ids, pairs, max(len(r[0]) for r in rows), min(r[2] for r in rows))
 
@@ -59,7 +57,7 @@ class Pieces:
 
 
 class Cuts(dict):
-    """The segments of a blank-separated word: cut wherever no piece holds both characters."""
+    """The segments of a word with its blanks in front: cut wherever no piece holds both characters."""
 
     def __init__(self, pairs: frozenset[str]):
         super().__init__()
@@ -68,13 +66,12 @@ class Cuts(dict):
     def __missing__(self, word: str) -> list[str]:
         if len(self) > 400_000:
             self.clear()
-        whole, pairs = BLANK + word, self.pairs
-        found, begin = [], 0
-        for i in range(1, len(whole)):
-            if whole[i - 1 : i + 1] not in pairs:
-                found.append(whole[begin:i])
+        pairs, found, begin = self.pairs, [], 0
+        for i in range(1, len(word)):
+            if word[i - 1 : i + 1] not in pairs:
+                found.append(word[begin:i])
                 begin = i
-        found.append(whole[begin:])
+        found.append(word[begin:])
         self[word] = found
         return found
 
@@ -84,7 +81,7 @@ def segments(text: str, cuts: Cuts) -> list[str]:
     if not text:
         return []
     found: list[str] = []
-    for part in map(cuts.__getitem__, text.split(" ")):
+    for part in map(cuts.__getitem__, WORD.findall(BLANK + text.replace(" ", BLANK))):
         found += part
     return found
 
@@ -231,7 +228,7 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
     """``doc_id, n_tokens, ids, round_trip`` of every row with an id.
 
     ``ids`` are little-endian unsigned 32-bit integers in one binary value (see
-    ``id_array``); ``round_trip`` says that they decode to the text. A null or empty text
+    ``id_arrays``); ``round_trip`` says that they decode to the text. A null or empty text
     has no ids. Repeated rows are encoded each, other columns are ignored.
 
     Texts are written in compressed blocks; the distinct segments of each block ask for
@@ -250,11 +247,15 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
     )
 
 
-def id_array(ids: str = "ids") -> F.Column:
-    """The ids of ``encode`` as array<bigint>."""
-    return F.expr(f"""transform(sequence(1, octet_length({ids}) div 4), k -> cast(conv(concat(
-        substring(hex({ids}), 8 * k - 1, 2), substring(hex({ids}), 8 * k - 3, 2),
-        substring(hex({ids}), 8 * k - 5, 2), substring(hex({ids}), 8 * k - 7, 2)), 16, 10) as bigint))""")
+def id_arrays(encoded: DataFrame) -> DataFrame:
+    """``doc_id, ids`` of encoded rows, the ids as array<int>."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [np.frombuffer(b, "<u4").astype(np.int32) for b in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
