@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuslight.llm import exact_dedup, jaccard_join, mixing, piece_lattice, quality
+from statuslight.llm import (
+    bit_planes, dimension_scan, exact_dedup, jaccard_join, licenses, mixing, piece_lattice, quality, toxicity, warc_derivatives,
+)
+from statuslight.llm.common import Scratch
 from statuslight.session import ship
 
 #: wanted share of the tokens of each language
@@ -32,18 +35,51 @@ def digest(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "round_trip")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headers of both derivatives of every page, with the size and checksum of their blocks."""
+    ship(spark)
+    found = warc_derivatives.derivatives(warc_derivatives.responses(table(spark, sf_dir, "pages")))
+    return found.select(
+        "page_id", "record_type", "record_id", "refers_to", "target_uri", "date", "content_type", "block_digest",
+        "payload_digest", "source_headers", F.octet_length("block").cast("bigint").alias("n_bytes"), F.crc32("block").alias("block_crc32"),
+    )
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     documents = table(spark, sf_dir, "documents")
     return quality.score_quality(documents, quality.fit_quality(documents, table(spark, sf_dir, "labels")))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     groups = jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id", "set_id")
 
 
+def op5_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bit_planes.read_documents(bit_planes.write_ids(table(spark, sf_dir, "documents"), path, Scratch(spark, "ids")))
+
+
+def op6_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return dimension_scan.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    names = [*toxicity.CATEGORY_WORDS, "toxic"]
+    return toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, toxicity.category_labels(documents, labels), names))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     documents = table(spark, sf_dir, "documents")
@@ -61,8 +97,13 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_quality": op2_quality,
+    "op3_licenses": op3_licenses,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_bit_planes": op5_bit_planes,
+    "op6_dimension_scan": op6_dimension_scan,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_piece_lattice": op10_piece_lattice,
