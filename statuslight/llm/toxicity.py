@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,9 @@ from statuslight.llm.common import LOWER, id_and_text, utf8
 from statuslight.llm.quality import held_out
 
 #: labelled documents that the models are fitted on, at most
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
+#: bytes of a word's beginning that are features besides the word, so that inflected words share some
+BEGINNINGS = (4, 5, 6, 7, 8)
 BUCKETS = 1 << 18
 FOLDS = 3
 #: documents that a word has to occur in, and the least gap of its shares in and out of a category
@@ -30,19 +33,20 @@ MARKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in LOWER)
 
 
 class Buckets(dict):
-    """Hash buckets of words seen lately."""
+    """Hash buckets of words seen lately and of their beginnings."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) > 300_000:
             self.clear()
-        value = self[word] = zlib.crc32(word) % BUCKETS
+        parts = {b"=" + word, *(word[:n] for n in BEGINNINGS if n <= len(word))}
+        value = self[word] = tuple(zlib.crc32(p) % BUCKETS for p in parts)
         return value
 
 
 def features(text: bytes, buckets: Buckets) -> np.ndarray:
-    """The buckets of a text's distinct words."""
+    """The distinct buckets of a text's words."""
     words = set(text.translate(MARKS).split())
-    return np.unique(np.fromiter(map(buckets.__getitem__, words), np.int64, len(words)))
+    return np.unique(np.fromiter(chain.from_iterable(map(buckets.__getitem__, words)), np.int32))
 
 
 @dataclass
@@ -54,13 +58,13 @@ class Rows:
 
     @classmethod
     def of(cls, found: list[np.ndarray]) -> Rows:
-        return cls(np.concatenate(found) if found else np.zeros(0, np.int64), np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int64))
+        return cls(np.concatenate(found) if found else np.zeros(0, np.int32), np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int64))
 
     def __len__(self) -> int:
         return len(self.begins) - 1
 
     def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self)), np.diff(self.begins))
+        return np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.begins))
 
     def dot(self, weight: np.ndarray) -> np.ndarray:
         return np.bincount(self.owner(), weight[self.items], len(self))
@@ -181,7 +185,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, names: list[str], samp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
         for batch in batches:
-            found = [features(t, buckets).astype(np.int32) for t in utf8(batch.column("text"))]
+            found = [features(t, buckets) for t in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("labels"), pa.array([f.tobytes() for f in found], pa.binary())], ["doc_id", "labels", "x"]
             )
@@ -190,10 +194,12 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, names: list[str], samp
     rows = joined.mapInArrow(run, "doc_id bigint, labels array<int>, x binary").toPandas().sort_values("doc_id", kind="stable")
     y = np.array([list(v) for v in rows["labels"]], float).reshape(len(rows), len(names))
     fold = np.array([zlib.crc32(f"fold {i}".encode()) % FOLDS for i in rows["doc_id"]])
-    return fit_chain(Rows.of([np.frombuffer(x, np.int32).astype(np.int64) for x in rows["x"]]), y, names, fold)
+    found = [np.frombuffer(x, np.int32) for x in rows["x"]]
+    often = np.bincount(np.concatenate(found) if found else np.zeros(0, np.int32), minlength=BUCKETS) >= LEAST_DOCUMENTS
+    return fit_chain(Rows.of([x[often[x]] for x in found]), y, names, fold)
 
 
-def score_toxicity(documents: DataFrame, chain: Chain) -> DataFrame:
+def score_toxicity(documents: DataFrame, model: Chain) -> DataFrame:
     """``doc_id, held_out, p_<category>..., score, predicted`` of every row with an id.
 
     ``score`` is the probability of the last category. A null or empty text has no words
@@ -203,10 +209,10 @@ def score_toxicity(documents: DataFrame, chain: Chain) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
         for batch in batches:
-            p = chain.probabilities(Rows.of([features(t, buckets) for t in utf8(batch.column("text"))]))
-            columns = [pa.array(p[:, j]) for j in range(len(chain.names))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *[f"p_{n}" for n in chain.names]])
+            p = model.probabilities(Rows.of([features(t, buckets) for t in utf8(batch.column("text"))]))
+            columns = [pa.array(p[:, j]) for j in range(len(model.names))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *[f"p_{n}" for n in model.names]])
 
-    names = [f"p_{n}" for n in chain.names]
+    names = [f"p_{n}" for n in model.names]
     rows = id_and_text(documents).mapInArrow(run, "doc_id bigint, " + ", ".join(f"{n} double" for n in names))
     return rows.select("doc_id", held_out().alias("held_out"), *names, F.col(names[-1]).alias("score"), (F.col(names[-1]) >= 0.5).cast("int").alias("predicted"))

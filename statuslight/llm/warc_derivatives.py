@@ -59,9 +59,9 @@ def metadata(page: str, uri: str, headers: dict[str, str]) -> dict:
             href = urljoin(uri, href)
         except ValueError:
             pass
-        links.append({"url": href, "text": SPACE.sub(" ", html.unescape(TAG.sub("", m[4]))).strip()})
+        links.append({"url": href, "text": " ".join(html.unescape(TAG.sub("", m[4])).split())})
     return {
-        "title": SPACE.sub(" ", html.unescape(TAG.sub("", title[1]))).strip() if title else None,
+        "title": " ".join(html.unescape(TAG.sub("", title[1])).split()) if title else None,
         "language": language[1] if language else None,
         "headers": headers,
         "links": links,
