@@ -22,7 +22,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 BUCKETS = 1 << 18
 FOLDS = 3
 #: documents that a word has to occur in, and the least gap of its shares in and out of a category
-LEAST_DOCUMENTS, LEAST_GAP = 3, 3.5
+LEAST_DOCUMENTS, LEAST_GAP = 3, 4.0
 
 # fixed values: words that mark the narrower categories of toxic texts
 CATEGORY_WORDS = {
@@ -83,7 +83,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def fit_linear(rows: Rows, earlier: np.ndarray, y: np.ndarray, steps: int = 120, penalty: float = 1.0) -> Linear:
+def fit_linear(rows: Rows, earlier: np.ndarray, y: np.ndarray, steps: int = 400, penalty: float = 1.0) -> Linear:
     """Logistic regression by accelerated gradient steps over the words whose shares in and out of the category differ.
 
     With a single class the probability is the smoothed share of label 1.
