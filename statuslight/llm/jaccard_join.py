@@ -17,11 +17,11 @@ from statuslight.llm.components import components
 SHINGLE_WORDS = 5
 PERCENT = 80
 #: shingles that a task gathers before it sends them on
-BUFFER = 2_000_000
+BUFFER = 1_000_000
 #: shingles of a bucket: many buckets first, then larger ones, at most the second value
 BUCKET, LARGEST_BUCKET, MANY_BUCKETS = 256_000, 8_000_000, 4_096
 #: work of comparing two sets, in postings looked at for each shingle of the set
-VERIFY_COST = 0.25
+VERIFY_COST = 0.01
 LONGEST_MATCH = 8
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -231,7 +231,7 @@ def prefix_length(n: int, counts: np.ndarray) -> tuple[int, int]:
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        token, doc, size, match = [], [], [], []
+        token, doc, size, match, place, alone = [], [], [], [], [], []
         for rep, n, tokens, counts in zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "tokens", "counts")), strict=True):
             length, m = prefix_length(n, np.frombuffer(counts, np.int64))
             if length:
@@ -239,9 +239,11 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 doc.append(np.full(length, rep))
                 size.append(np.full(length, n))
                 match.append(np.full(length, m))
+                place.append(n - len(counts) // 8 + np.arange(length))
+                alone.append(np.full(length, n - len(counts) // 8))
         if token:
-            columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in (token, doc, size, match)]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "rep", "n", "matches"])
+            columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in (token, doc, size, match, place, alone)]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "rep", "n", "matches", "place", "alone"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,9 +264,24 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _close(a: str, b: str) -> F.Column:
-    """Sizes that allow the similarity."""
-    return (100 * F.col(b) >= PERCENT * F.col(a)) & (100 * F.col(a) >= PERCENT * F.col(b))
+def _reachable(a: str, b: str) -> F.Column:
+    """Sizes allow the similarity, and this shared shingle can be one of the first that a linked pair shares.
+
+    A linked pair shares ``least`` shingles, so neither set has more than ``n - least`` of
+    its own. The first m shared ones stand before ``n - least + m`` in both sets, so a
+    later place says nothing about the pair.
+    """
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    least = F.ceil(PERCENT * (n + m) / F.lit(100 + PERCENT))
+    asked = F.least(f"{a}m", f"{b}m")
+    fits = (100 * m >= PERCENT * n) & (100 * n >= PERCENT * m)
+    fits = fits & (F.col(f"{a}o") <= n - least) & (F.col(f"{b}o") <= m - least)
+    return fits & (F.col(f"{a}p") < n - least + asked) & (F.col(f"{b}p") < m - least + asked)
+
+
+def _side(rows: DataFrame, p: str, *more: str) -> DataFrame:
+    names = {"rep": p, "n": f"{p}n", "matches": f"{p}m", "place": f"{p}p", "alone": f"{p}o", "label": f"{p}l"}
+    return rows.select("token", *[F.col(c).alias(names[c]) for c in ("rep", "n", "matches", "place", "alone", *more)])
 
 
 def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,8 +297,8 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     Shingles are counted in buckets of bounded size, to which tasks send blocks of
     hashes; only shingles of two sets or more go on, and equal sets are one from here.
     A set needs 80% of its shingles shared to have a partner at all. Prefixes are
-    chosen by ``prefix_length``. Candidates are first the best partner among the
-    smallest ids of its prefix postings; groups of many alike documents become one
+    chosen by ``prefix_length``. Candidates are first the best partner among the most
+    typical sets of its prefix postings; groups of many alike documents become one
     component this way. Then all pairs of different components that share as many
     prefix shingles as the less demanding of the two asks for are compared. Sets are
     held as 64-bit hashes, compared exactly as such.
@@ -307,20 +324,23 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     first = owned.groupBy(*key).agg(F.min("rep").alias("rep")).join(equal, key)
     sets = owned.join(first, [*key, "rep"]).select(F.col("set_id").alias("rep"), "n", "tokens", "counts")
     sets = scratch.write(sets, "shared")
-    index = scratch.write(sets.mapInArrow(_index, "token bigint, rep bigint, n bigint, matches bigint"), "index")
-
-    leader = index.groupBy("token").agg(F.min_by(F.struct(F.col("rep").alias("a"), F.col("n").alias("an")), "rep").alias("first"))
-    led = index.join(leader, "token").where(F.col("rep") != F.col("first.a")).where(_close("n", "first.an"))
-    tried = led.groupBy(F.col("first.a").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("shared"))
+    columns = "token bigint, rep bigint, n bigint, matches bigint, place bigint, alone bigint"
+    index = scratch.write(sets.mapInArrow(_index, columns), "index")
+
+    # the most typical set of a shingle: the smallest share of shingles that nobody else has
+    typical = index.groupBy("token").agg(F.min_by(F.struct("rep", "n", "matches", "place", "alone"), F.struct(F.col("alone") / F.col("n"), "rep")).alias("t"))
+    leader = _side(typical.select("token", "t.*"), "a")
+    led = _side(index, "b").join(leader, "token").where((F.col("a") != F.col("b")) & _reachable("a", "b"))
+    tried = led.groupBy("a", "b").agg(F.count("*").alias("shared"))
     best = tried.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
     starred = scratch.write(_verified(best.select("a", "b"), sets), "starred")
     stars = components(starred, scratch, "stars")
 
     placed = index.join(stars.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     placed = scratch.write(placed, "placed")
-    left = placed.select("token", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("matches").alias("am"), F.col("label").alias("al"))
-    right = placed.select("token", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("matches").alias("bm"), F.col("label").alias("bl"))
-    met = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("al") != F.col("bl")) & _close("an", "bn"))
+    met = _side(placed, "a", "label").join(_side(placed, "b", "label"), "token").where(
+        (F.col("a") < F.col("b")) & (F.col("al") != F.col("bl")) & _reachable("a", "b")
+    )
     pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("am", "bm")).alias("asked"))
     crossed = scratch.write(_verified(pairs.where(F.col("shared") >= F.col("asked")).select("a", "b"), sets), "crossed")
     labels = components(starred.union(crossed), scratch, "links")
