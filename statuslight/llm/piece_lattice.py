@@ -19,7 +19,7 @@ from statuslight.llm.common import Scratch, id_and_text
 BLANK = "▁"
 WORD = re.compile("▁+[^▁]*")
 #: UTF-8 bytes of the texts that share a dictionary
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: an unknown character scores this much below the worst piece
 UNKNOWN = 10.0
 
@@ -64,7 +64,7 @@ class Cuts(dict):
         self.pairs = pairs
 
     def __missing__(self, word: str) -> list[str]:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         pairs, found, begin = self.pairs, [], 0
         for i in range(1, len(word)):
