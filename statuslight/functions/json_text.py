@@ -30,6 +30,21 @@ def json_array(document: Column, path: str = "$") -> Column:
     return F.try_variant_get(document, path, "array<variant>")
 
 
+def answer_value(document: Column, text: Column, path: str) -> Column:
+    """``json_value`` of the parsed ``text``, or of the text itself where it is no variant.
+
+    A text whose objects repeat a key, or that is larger than a variant, has no variant.
+    The first of several equal keys counts then.
+    """
+    raw = F.get_json_object(text, path)
+    return F.when(document.isNotNull(), json_value(document, path)).when(~raw.rlike("^\\s*[\\[{]"), raw)
+
+
+def answer_array(document: Column, text: Column, path: str) -> Column:
+    """``json_array`` with the same way out as ``answer_value``."""
+    return F.when(document.isNotNull(), json_array(document, path)).otherwise(json_array(parsed(F.get_json_object(text, path))))
+
+
 def json_query(text: Column, path: str) -> Column:
     """The JSON text at ``path``: containers as written, scalars re-quoted as JSON."""
     node = F.try_variant_get(F.try_parse_json(text), path, "variant")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuslight.functions.json_text import json_array, json_value, parsed, strip_fences
+from statuslight.functions.json_text import answer_value, json_array, json_value, parsed, strip_fences
 
 # fixed values: answer fields of the three questions
 OBJECTIVE_FIELDS = ["objective_number", "objective_details", "expected_benefit", "objective_metric"]
@@ -63,7 +63,7 @@ def parse_details(combined: DataFrame) -> DataFrame:
     ).withColumn("document", parsed(F.col("summary")))
     return bare.select(
         "deal_id",
-        *[json_value(F.col("document"), f"$.{key}").alias(name) for key, name in SUMMARY_FIELDS.items()],
+        *[answer_value(F.col("document"), F.col("summary"), f"$.{key}").alias(name) for key, name in SUMMARY_FIELDS.items()],
         listed(F.col("objectives"), OBJECTIVE_FIELDS).alias("objectives"),
         listed(F.col("deliverables"), DELIVERABLE_FIELDS).alias("deliverables"),
         F.col("objectives").alias("objectives_json"),

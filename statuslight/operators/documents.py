@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuslight.functions.json_text import json_array, json_value, parsed
+from statuslight.functions.json_text import json_value, parsed
 from statuslight.functions.numbers import safe_bigint
 from statuslight.operators.joins import lookup_join
 
@@ -92,8 +92,17 @@ def process_documents(
 
 
 def parse_chunks(results: DataFrame, keep: list[str]) -> DataFrame:
-    """Chunk rows of processed documents; documents without chunks give no row."""
-    chunks = json_array(parsed(F.col("ml_process_document_result")), "$.chunkedDocument.chunks")
+    """Chunk rows of processed documents; documents without chunks give no row.
+
+    The array is cut into its chunks as text, so a document may be larger than a variant;
+    only single chunks are parsed. A result that is not blank and no JSON raises.
+    """
+    result = F.col("ml_process_document_result")
+    broken = (F.trim(result) != "") & F.get_json_object(result, "$").isNull()
+    text = F.when(broken, F.raise_error(F.lit("a processed document is not valid JSON")).cast("string")).otherwise(
+        F.get_json_object(result, "$.chunkedDocument.chunks")
+    )
+    chunks = F.from_json(text, "array<string>")
     # fixed values: the paths of a processed document
     paths = {
         "id": "$.chunkId",
@@ -102,7 +111,7 @@ def parse_chunks(results: DataFrame, keep: list[str]) -> DataFrame:
         "page_span_start": "$.pageSpan.pageStart",
         "page_span_end": "$.pageSpan.pageEnd",
     }
-    exploded = results.select(*keep, F.explode(chunks).alias("chunk"))
+    exploded = results.select(*keep, F.explode(chunks).alias("text")).select(*keep, parsed(F.col("text")).alias("chunk"))
     return exploded.select(*keep, *[json_value(F.col("chunk"), path).alias(name) for name, path in paths.items()])
 
 

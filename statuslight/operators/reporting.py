@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuslight.functions.json_text import json_array, json_value, parsed, strip_fences
+from statuslight.functions.json_text import answer_array, answer_value, json_array, json_value, parsed, strip_fences
 from statuslight.operators.evidence import KEYS
 from statuslight.operators.joins import salted_join
 
@@ -86,14 +86,17 @@ def assemble_prompt(spine: DataFrame, evidence: DataFrame, instruction: str = IN
     return rows.withColumn("prompt", prompt_text(instruction, closing)).select(*PROMPT_COLUMNS, "prompt")
 
 
-def timeline_events(document: Column, lenient: bool = False) -> Column:
+def timeline_events(document: Column, lenient: bool = False, text: Column | None = None) -> Column:
     """The events ordered by date text, NULL dates first; empty when there is no array.
 
-    ``lenient`` also accepts a string that holds an array.
+    ``lenient`` also accepts a string that holds an array. ``text`` is read where it has
+    no ``document``, see ``answer_value``.
     """
-    events = json_array(document, f"$.{TIMELINE}")
+    path = f"$.{TIMELINE}"
+    events = json_array(document, path) if text is None else answer_array(document, text, path)
     if lenient:
-        events = F.coalesce(events, json_array(parsed(json_value(document, f"$.{TIMELINE}"))))
+        held = json_value(document, path) if text is None else answer_value(document, text, path)
+        events = F.coalesce(events, json_array(parsed(held)))
     fields = F.transform(
         events, lambda e: F.struct(*[json_value(e, f"$.{name}").alias(name) for name in EVENT_FIELDS])
     )
@@ -102,9 +105,11 @@ def timeline_events(document: Column, lenient: bool = False) -> Column:
 
 def parse_status(answers: DataFrame, text_col: str, keep: list[str], lenient: bool = False) -> DataFrame:
     """``keep``, the 14 report fields and the timeline of every answer."""
-    read = answers.select(*keep, parsed(strip_fences(F.col(text_col))).alias("document"))
-    fields = [json_value(F.col("document"), f"$.{key}").alias(name) for key, name in STATUS_FIELDS.items()]
-    return read.select(*keep, *fields, timeline_events(F.col("document"), lenient).alias("month_timeline_events"))
+    bare = answers.select(*keep, strip_fences(F.col(text_col)).alias("__text"))
+    read = bare.withColumn("__document", parsed(F.col("__text")))
+    document, text = F.col("__document"), F.col("__text")
+    fields = [answer_value(document, text, f"$.{key}").alias(name) for key, name in STATUS_FIELDS.items()]
+    return read.select(*keep, *fields, timeline_events(document, lenient, text).alias("month_timeline_events"))
 
 
 def status_report(answers: DataFrame, text_col: str, lenient: bool = False) -> DataFrame:

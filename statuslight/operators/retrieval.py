@@ -43,16 +43,20 @@ def _literal(block: list[dict], extra: str = "") -> Column:
 
 
 def _ranked(pairs: DataFrame, within: list[str], k: int) -> DataFrame:
-    order = W.partitionBy(*within, "question").orderBy("distance", "id")
+    order = W.partitionBy(*within, "question").orderBy(F.asc_nulls_last("distance"), "id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _distances(base: DataFrame, asked: Column, within: list[str]) -> DataFrame:
+    """Rows without a vector, or with a NULL in it, have no distance and take no part; lengths have to agree."""
     vector = F.col("embedding").cast("array<double>")
-    pairs = base.select(*within, "id", vector.alias("embedding"), F.explode(asked).alias("asked"))
+    whole = vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull())
+    pairs = base.where(whole).select(*within, "id", vector.alias("embedding"), F.explode(asked).alias("asked"))
+    differs = F.raise_error(F.lit("vectors and questions differ in length")).cast("double")
+    gap = euclidean(F.col("embedding"), F.col("asked.vector"))
     return pairs.select(
         *within, "id", F.col("asked.question").alias("question"),
-        euclidean(F.col("embedding"), F.col("asked.vector")).alias("distance"),
+        F.when(F.size("embedding") == F.size("asked.vector"), gap).otherwise(differs).alias("distance"),
     )
 
 

@@ -37,15 +37,38 @@ def extract_details(
     vectors: DataFrame, pending: DataFrame, backend: Callable[[], generation.TextBackend],
     embed: Embedder = generation.hash_embedding, callers: int | None = None,
 ) -> DataFrame:
-    """Details of the pending deals: one search and one text call for all deals and questions."""
-    chosen = lookup_join(vectors, pending.select("deal_id").distinct(), ["deal_id"], how="inner")
+    """Details of the pending deals: one search and one text call for all deals and questions.
+
+    A deal without chunks has nothing to ask and gives a row without answers.
+    """
+    return details.parse_details(details.combine_extractions(ask(vectors, pending, backend, embed, callers), generation.RESULT))
+
+
+def ask(
+    vectors: DataFrame, pending: DataFrame, backend: Callable[[], generation.TextBackend],
+    embed: Embedder = generation.hash_embedding, callers: int | None = None,
+) -> DataFrame:
+    """The answer, and its status, of every pending deal and question; without chunks both are empty."""
+    deals = pending.select("deal_id").where(F.col("deal_id").isNotNull()).distinct()
+    chosen = lookup_join(vectors, deals, ["deal_id"], how="inner")
     prompts = written(contexts(chosen, question_vectors(vectors.sparkSession, embed)), "contexts")
-    answers = written(generation.generate_text(prompts, backend, generation.EXTRACTION_OPTIONS, callers=callers), "details")
-    return details.parse_details(details.combine_extractions(answers, generation.RESULT))
+    answers = generation.generate_text(prompts, backend, generation.EXTRACTION_OPTIONS, callers=callers)
+    asked = written(answers.select("deal_id", "question", generation.RESULT, generation.STATUS), "details")
+    every = deals.select("deal_id", F.explode(F.array(*[F.lit(q) for q in details.SEARCH_TEXTS])).alias("question"))
+    whole = every.join(asked, ["deal_id", "question"], "left")
+    return whole.withColumn(generation.STATUS, F.coalesce(generation.STATUS, F.lit("")))
 
 
 def extract_and_append(
     vectors: DataFrame, pending: DataFrame, backend: Callable[[], generation.TextBackend], target: str,
     embed: Embedder = generation.hash_embedding, callers: int | None = None,
-) -> None:
-    append(extract_details(vectors, pending, backend, embed, callers), target, details.DETAIL_COLUMNS)
+) -> DataFrame:
+    """Append the deals whose calls all succeeded; return ``deal_id, question, status`` of the failed calls.
+
+    A deal with a failed call is not appended, so it stays pending.
+    """
+    answers = written(ask(vectors, pending, backend, embed, callers), "answers")
+    failed = answers.where(F.col(generation.STATUS) != "")
+    done = answers.join(failed.select("deal_id").distinct(), "deal_id", "left_anti")
+    append(details.parse_details(details.combine_extractions(done, generation.RESULT)), target, details.DETAIL_COLUMNS)
+    return failed.select("deal_id", "question", F.col(generation.STATUS).alias("status"))
