@@ -23,6 +23,7 @@ NAMES = [part.split()[0] for part in RECORD.split(", ")]
 NO_DATE = "1970-01-01T00:00:00Z"
 
 HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
+HEAD = re.compile(r"<head\b[^>]*>(.*?)</head\s*>", re.S | re.I)
 BREAKS = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>", re.I)
 TAG = re.compile(r"<[/!?a-z][^>]*>", re.I)
 SPACE = re.compile(r"[^\S\n]+")
@@ -40,17 +41,23 @@ def identifier(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join(parts))}>"
 
 
-def plain_text(page: str) -> str:
-    """The visible text: a line per block element, runs of white space as one blank."""
-    text = TAG.sub("", BREAKS.sub("\n", HIDDEN.sub(" ", page)))
+def body(page: str) -> str:
+    """The page without its head, scripts, styles and comments."""
+    return HIDDEN.sub(" ", page)
+
+
+def plain_text(page: str, shown: str | None = None) -> str:
+    """The visible text: a line per block element, runs of white space as one blank. ``shown``: ``body(page)`` if known."""
+    text = TAG.sub("", BREAKS.sub("\n", body(page) if shown is None else shown))
     lines = (SPACE.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
-def metadata(page: str, uri: str, headers: dict[str, str]) -> dict:
-    """Title, language and links of a page with the headers of its response."""
-    visible = HIDDEN.sub(lambda m: m[0] if (m[1] or "").lower() == "head" else " ", page)
-    title = TITLE.search(visible)
+def metadata(page: str, uri: str, headers: dict[str, str], shown: str | None = None) -> dict:
+    """Title, language and links of a page with the headers of its response. ``shown``: ``body(page)`` if known."""
+    visible = body(page) if shown is None else shown
+    head = HEAD.search(page)
+    title = TITLE.search(HIDDEN.sub(" ", head[1])) if head else TITLE.search(visible)
     language = LANGUAGE.search(page)
     links = []
     for m in LINK.finditer(visible):
@@ -126,11 +133,11 @@ def derivatives(records: DataFrame) -> DataFrame:
                 for r in batch.slice(at, 500).to_pylist():
                     headers, payload = http_parts(r["block"] or b"")
                     page = payload.decode("utf-8", "replace")
-                    source, uri = r["record_id"] or "", r["target_uri"]
+                    source, uri, shown = r["record_id"] or "", r["target_uri"], body(page)
                     kept = r["payload_digest"] or digest(payload)
                     blocks = {
-                        "metadata": (json.dumps(metadata(page, uri or "", headers), ensure_ascii=False).encode(), "application/json"),
-                        "conversion": (plain_text(page).encode(), "text/plain"),
+                        "metadata": (json.dumps(metadata(page, uri or "", headers, shown), ensure_ascii=False).encode(), "application/json"),
+                        "conversion": (plain_text(page, shown).encode(), "text/plain"),
                     }
                     for kind, (block, content_type) in blocks.items():
                         out.append((r["page_id"], kind, identifier(kind, source), r["record_id"], uri, r["date"], content_type,
