@@ -56,34 +56,44 @@ class Pieces:
         return spark.createDataFrame(self.rows, "piece string, id int, score double")
 
 
-class Cuts(dict):
-    """The segments of a word with its blanks in front: cut wherever no piece holds both characters."""
+class Cutter:
+    """Cuts words with their blanks in front into segments, wherever no piece holds both characters."""
 
     def __init__(self, pairs: frozenset[str]):
-        super().__init__()
-        self.pairs = pairs
-
-    def __missing__(self, word: str) -> list[str]:
-        if len(self) > 100_000:
-            self.clear()
-        pairs, found, begin = self.pairs, [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in pairs:
-                found.append(word[begin:i])
-                begin = i
-        found.append(word[begin:])
-        self[word] = found
-        return found
-
-
-def segments(text: str, cuts: Cuts) -> list[str]:
-    """The segments of a text, blanks escaped and one put in front; none for an empty text."""
+        chars = sorted(set("".join(pairs)))
+        self.place = np.zeros(0x110000, np.int16)
+        self.place[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1,) * 2, bool)
+        for a, b in pairs:
+            self.joined[self.place[ord(a)], self.place[ord(b)]] = True
+
+    def __call__(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The segments of all words one after another, and where those of each word end."""
+        if not words:
+            return [], np.zeros(0, np.int64)
+        whole = "".join(words)
+        at = self.place[np.frombuffer(whole.encode("utf-32-le"), "<u4")]
+        opens = np.r_[True, ~self.joined[at[:-1], at[1:]]]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        opens[ends[:-1]] = True
+        begins = np.flatnonzero(opens)
+        stops = [*begins[1:].tolist(), len(whole)]
+        return [whole[i:j] for i, j in zip(begins.tolist(), stops, strict=True)], np.searchsorted(begins, ends)
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text, blanks escaped, each without the blank in front of it; none for an empty text."""
     if not text:
         return []
-    found: list[str] = []
-    for part in map(cuts.__getitem__, WORD.findall(BLANK + text.replace(" ", BLANK))):
-        found += part
-    return found
+    plain = text.split(" ")
+    if "" not in plain and BLANK not in text:
+        return plain
+    return [w[1:] for w in WORD.findall(BLANK + text.replace(" ", BLANK))]
+
+
+def segments(text: str, cut: Cutter) -> list[str]:
+    """The segments of a text, blanks escaped and one put in front; none for an empty text."""
+    return cut([BLANK + word for word in words_of(text)])[0]
 
 
 def _blocks(block_bytes: int):
@@ -91,7 +101,7 @@ def _blocks(block_bytes: int):
 
     def pack(ids: list[int], texts: list[bytes], number: int) -> pa.RecordBatch:
         whole = np.array(ids, "<i8").tobytes() + np.array([len(t) for t in texts], "<i8").tobytes() + b"".join(texts)
-        payload = len(ids).to_bytes(8, "little") + zstandard.ZstdCompressor(level=3).compress(whole)
+        payload = len(ids).to_bytes(8, "little") + zstandard.ZstdCompressor(level=9).compress(whole)
         key = (TaskContext.get().partitionId() << 32) + number
         return pa.RecordBatch.from_arrays([pa.array([key]), pa.array([payload], pa.binary())], ["block", "payload"])
 
@@ -122,13 +132,13 @@ def _unpacked(payload: bytes) -> tuple[np.ndarray, list[str]]:
 
 def _words_of(pairs: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = Cuts(pairs)
+        cut = Cutter(pairs)
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist(), strict=True):
                 words: set[str] = set()
                 for text in _unpacked(payload)[1]:
-                    words.update(segments(text, cuts))
-                listed = sorted(words)
+                    words.update(words_of(text))
+                listed = list(set(cut([BLANK + word for word in words])[0]))
                 for at in range(0, len(listed), 50_000):
                     part = listed[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays(
@@ -201,23 +211,32 @@ def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
 
     def run(block: pa.Table, replies: pa.Table) -> pa.Table:
         out_id, out_ids, out_n, out_same = [], [], [], []
-        known, same = {}, {}
+        known, changed = {}, set()
         ids = replies.column("ids").combine_chunks()
         flat, offsets = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))].astype(int)
         for i, word in enumerate(replies.column("word").to_pylist()):
             path = flat[offsets[i] : offsets[i + 1]]
             known[word] = path.tobytes()
             if b"".join([shown[k] for k in path.tolist()]) != word.encode():
-                same[word] = False
-        cuts = Cuts(pairs)
+                changed.add(word)
+        cut = Cutter(pairs)
         for payload in block.column("payload").to_pylist():
-            for doc_id, text in zip(*_unpacked(payload), strict=True):
-                found = segments(text, cuts)
-                ids = b"".join(map(known.__getitem__, found))
+            numbers, texts = _unpacked(payload)
+            words = list(set().union(*map(words_of, texts)))
+            parts, ends = cut([BLANK + word for word in words])
+            table, lossy, begin = {}, set(), 0
+            for word, end in zip(words, ends.tolist(), strict=True):
+                table[word] = known[parts[begin]] if end == begin + 1 else b"".join([known[s] for s in parts[begin:end]])
+                if changed and not changed.isdisjoint(parts[begin:end]):
+                    lossy.add(word)
+                begin = end
+            for doc_id, text in zip(numbers, texts, strict=True):
+                found = words_of(text)
+                ids = b"".join(map(table.__getitem__, found))
                 out_id.append(int(doc_id))
                 out_ids.append(ids)
                 out_n.append(len(ids) // 4)
-                out_same.append(not same or not any(w in same for w in found))
+                out_same.append(lossy.isdisjoint(found))
         return pa.table({"doc_id": pa.array(out_id, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()),
                          "ids": pa.array(out_ids, pa.binary()), "round_trip": pa.array(out_same, pa.bool_())})
 
