@@ -71,6 +71,7 @@ def exact_dedup(
     leave, groups whose text has ended are duplicates, the rest goes on without the
     bytes already compared. Only bytes are compared: ``text_sha256`` is an output.
 
+    The join is a merge join at every size, so that it spills where groups are many.
     A hot group meets a single count row per round, so the adaptive skew join can
     split it. Of equal texts the largest doc_id stays. Rows that repeat a doc_id and
     its text count in ``group_size`` and share the same ``kept``. Other columns are
@@ -86,7 +87,9 @@ def exact_dedup(
     finished = []
     while True:
         digit = F.substring("rest", 1, width)
-        split = state.withColumn("digit", digit).join(groups, ["grp", "n_bytes", "digit"], "left").select(
+        split = state.withColumn("digit", digit).join(
+            groups.hint("merge"), ["grp", "n_bytes", "digit"], "left"
+        ).select(
             "doc_id", "text_sha256", "n_bytes",
             F.coalesce("keep_id", "doc_id").alias("keep_id"),
             F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
