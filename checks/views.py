@@ -62,11 +62,13 @@ class Views:
         )
 
     def details(self) -> DataFrame:
+        """The whole text of a document in three parts."""
+        third = F.floor((F.length("text") + 2) / 3).cast("int")
         return self.table("documents").select(
             F.col("doc_id").alias("deal_id"),
-            F.when(F.col("doc_id") % 5 != 0, F.substring("text", 1, 60)).alias("background"),
-            F.substring("text", 61, 60).alias("requirements"),
-            F.substring("text", 121, 60).alias("solution"),
+            F.when(F.col("doc_id") % 5 != 0, F.substring("text", F.lit(1), third)).alias("background"),
+            F.substring("text", third + 1, third).alias("requirements"),
+            F.substring("text", 2 * third + 1, F.length("text")).alias("solution"),
             text('[{"objective_number": "', number("n_chars"), '"}]').alias("objectives_json"),
             text('[{"deliverable_number": "', number("n_chars"), '"}]').alias("deliverables_json"),
         )
@@ -92,7 +94,7 @@ class Views:
             (F.col("doc_id") % customers).alias("company_fk"),
             F.when(F.col("doc_id") % 11 != 0, text("doc ", number("doc_id"))).alias("page_title"),
             (F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days)).alias("page_created_at_ts"),
-            F.substring("text", 1, 80).alias("page_summary"),
+            F.col("text").alias("page_summary"),
         )
 
     def contributions(self) -> DataFrame:
@@ -160,10 +162,10 @@ class Views:
     def costs(self) -> DataFrame:
         code = F.min("l_returnflag")
         return (
-            self.table("lineitem").where(F.col("l_linenumber") <= 2)
+            self.table("lineitem")
             .groupBy("l_orderkey", "l_linenumber")
             .agg(
-                F.min("l_extendedprice").alias("expense_amount_local"),
+                F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("expense_amount_local"),
                 F.when(code == "A", "GBP").when(code == "N", "USD").otherwise("EUR").alias("expense_currency_code"),
             )
             .select(
@@ -183,13 +185,13 @@ class Views:
         return StatusReport(StatusViews(self), SINCE, AS_OF, **options)
 
     def vector_chunks(self) -> DataFrame:
-        """The stored vectors as chunks of ten deals, with whole documents as content."""
+        """The stored vectors as chunks of ten deals, with whole documents as content (empty where there is none)."""
         texts = self.table("documents").select("doc_id", "text")
-        return self.table("embeddings").join(texts, F.col("vec_id") == F.col("doc_id")).select(
+        return self.table("embeddings").join(texts, F.col("vec_id") == F.col("doc_id"), "left").select(
             F.col("label").cast("bigint").alias("deal_id"),
             F.col("vec_id").alias("id"),
             text("doc/", number("vec_id")).alias("uri"),
-            F.col("text").alias("content"),
+            F.coalesce("text", F.lit("")).alias("content"),
             "embedding",
         )
 
