@@ -222,7 +222,11 @@ def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
         cut = Cutter(pairs)
         for payload in block.column("payload").to_pylist():
             numbers, texts = _unpacked(payload)
-            words = list(set().union(*map(words_of, texts)))
+            distinct: set[str] = set()
+            for text in texts:
+                distinct.update(words_of(text))
+            words = list(distinct)
+            del distinct
             parts, ends = cut([BLANK + word for word in words])
             table, lossy, begin = {}, set(), 0
             for word, end in zip(words, ends.tolist(), strict=True):
