@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,12 @@ from statuslight.llm.common import Scratch
 
 K = 20
 QUERY_EVERY = 20
-#: vectors the lists are fitted on, lists at most, lists searched per query
-SAMPLE_ROWS, MOST_LISTS, PROBES = 20_000, 4_096, 64
-#: vectors of a list that one group holds
-GROUP_ROWS = 4_096
+#: vectors the lists are fitted on, lists at most
+SAMPLE_ROWS, MOST_LISTS = 20_000, 4_096
+#: vectors of one or more lists that a group holds, and queries that it answers
+GROUP_ROWS = ASKED_ROWS = 4_096
+#: queries compared with the sample at once
+BOUND_ROWS = 128
 COLUMN_BLOCK = 16
 CANDIDATES = 256
 #: strictness of the test: larger abandons less
@@ -71,43 +74,93 @@ def scan(query: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     for at in range(0, len(rows), CANDIDATES):
         alive = np.arange(at, min(len(rows), at + CANDIDATES))
         limit = np.partition(best, k - 1)[k - 1] if len(best) >= k else math.inf
+        if limit == math.inf:  # nothing can be abandoned yet
+            gap = rows[at : at + CANDIDATES] - query
+            kept.append(alive)
+            best = np.concatenate([best, np.einsum("ij,ij->i", gap, gap)])
+            continue
         partial = np.zeros(len(alive))
         for begin in range(0, d, COLUMN_BLOCK):
             end = min(d, begin + COLUMN_BLOCK)
             gap = rows[alive, begin:end] - query[begin:end]
             partial = partial + np.einsum("ij,ij->i", gap, gap)
-            if limit < math.inf:
-                slack = (1 + EPSILON / math.sqrt(end)) ** 2 if end < d else 1 + 1e-9
-                stay = partial * (d / end) <= limit * slack
-                alive, partial = alive[stay], partial[stay]
-                if not len(alive):
-                    break
+            slack = (1 + EPSILON / math.sqrt(end)) ** 2 if end < d else 1 + 1e-9
+            stay = partial * (d / end) <= limit * slack
+            alive, partial = alive[stay], partial[stay]
+            if not len(alive):
+                break
         kept.append(alive)
         best = np.concatenate([best, partial])
     return np.concatenate(kept) if kept else np.zeros(0, int)
 
 
-def _search(width: int, k: int, rotation: np.ndarray, bound: float):
-    """The ``k`` best of a group of vectors for each query sent to it, with exact inner products."""
+@dataclass
+class Reach:
+    """Which lists can hold one of the ``k`` best of a query.
+
+    No row of a list scores more than the query with the list's mean does, plus the
+    query's norm times the list's radius; a list is ruled out if that is less than the
+    query is known to reach. With ``probes``, no more than so many nearest lists remain.
+    """
+
+    middle: np.ndarray
+    means: np.ndarray
+    radius: np.ndarray
+    probes: int | None
+
+    def __call__(self, queries: np.ndarray, known: np.ndarray) -> np.ndarray:
+        norms = np.sqrt((queries**2).sum(axis=1))[:, None]
+        slack = 1e-9 * norms * (np.sqrt((self.means**2).sum(axis=1)) + self.radius)
+        found = queries @ self.means.T + norms * self.radius + slack >= known[:, None]
+        if self.probes is not None and self.probes < len(self.middle):
+            near = _nearest(np.hstack([queries, np.zeros((len(queries), 1))]), self.middle, max(2, self.probes))[:, : self.probes]
+            allowed = np.zeros_like(found)
+            np.put_along_axis(allowed, near, True, axis=1)
+            found &= allowed
+        return found
+
+
+def _known(sample: np.ndarray, sample_ids: np.ndarray, k: int):
+    """What the ``k``-th best of each query scores at least: the ``k``-th best of the sample, without the query's id."""
+
+    def run(ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        known = np.full(len(queries), -math.inf)
+        for at in range(0, len(queries) if len(sample) >= k else 0, BOUND_ROWS):
+            scores = queries[at : at + BOUND_ROWS] @ sample.T
+            scores[ids[at : at + BOUND_ROWS, None] == sample_ids[None, :]] = -math.inf
+            best = np.partition(scores, -k, axis=1)[:, -k]
+            known[at : at + BOUND_ROWS] = best - 1e-9 * np.sqrt((queries[at : at + BOUND_ROWS] ** 2).sum(axis=1) * (sample**2).sum(axis=1).max())
+        return known
+
+    return run
+
+
+def _search(width: int, k: int, rotation: np.ndarray, bound: float, reach: Reach):
+    """Of the ``k`` best of each list for each query sent to a group, those that reach what is known, with exact inner products."""
 
     def run(base: pa.Table, asked: pa.Table) -> pa.Table:
-        ids = base.column("vec_id").to_numpy()
-        out = [], [], []
+        ids, lists = base.column("vec_id").to_numpy(), base.column("list").to_numpy()
+        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if len(ids) and asked.num_rows:
-            order = np.argsort(ids, kind="stable")
-            ids, v = ids[order], _matrix(base.column("v").combine_chunks(), width)[order]
+            order = np.lexsort((ids, lists))
+            ids, lists, v = ids[order], lists[order], _matrix(base.column("v").combine_chunks(), width)[order]
             turned = lifted(v, bound) @ rotation
-            queries = _matrix(asked.column("v").combine_chunks(), width)
+            held, begins = np.unique(lists, return_index=True)
+            ends = [*begins[1:].tolist(), len(lists)]
+            queries, known = _matrix(asked.column("v").combine_chunks(), width), asked.column("known").to_numpy()
             moved = np.hstack([queries, np.zeros((len(queries), 1))]) @ rotation
-            for query_id, q, t in zip(asked.column("vec_id").to_pylist(), queries, moved, strict=True):
-                found = scan(t, turned, k + 1)  # one more: the query itself takes no part
+            open_to = reach(queries, known)[:, held]
+            for n, query_id in enumerate(asked.column("vec_id").to_pylist()):
+                found = [scan(moved[n], turned[begins[i] : ends[i]], k + 1) + begins[i] for i in np.flatnonzero(open_to[n])]  # one more: the query itself takes no part
+                found = np.concatenate(found) if found else np.zeros(0, int)
                 found = found[ids[found] != query_id]
-                score = (v[found] * q).sum(axis=1)
+                score = (v[found] * queries[n]).sum(axis=1)
+                found, score = found[score >= known[n]], score[score >= known[n]]
                 top = np.lexsort((ids[found], -score))[:k]
-                out[0].extend([query_id] * len(top))
-                out[1].extend(ids[found][top].tolist())
-                out[2].extend(score[top].tolist())
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
+                out[0].append(np.full(len(top), query_id, np.int64))
+                out[1].append(ids[found][top])
+                out[2].append(score[top])
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, out), strict=True)))
 
     return run
 
@@ -119,7 +172,7 @@ def lifted(v: np.ndarray, bound: float) -> np.ndarray:
 
 
 def nearest(
-    vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, probes: int = PROBES, sample_rows: int = SAMPLE_ROWS,
+    vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, probes: int | None = None, sample_rows: int = SAMPLE_ROWS,
     most_lists: int = MOST_LISTS, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` found with the largest inner product for each query.
@@ -127,9 +180,12 @@ def nearest(
     Queries are the rows whose id is divisible by ``query_every``; ties go to the smaller
     id. The lists' centres are fitted on the ``sample_rows`` rows with the smallest hash of
     their id (a bounded sample); every row is put into the list of its nearest centre.
-    A list of many rows is searched in groups of ``GROUP_ROWS`` by a hash of the id. Ids
-    have to be unique; rows that repeat an id count as candidates each. Few rows make few
-    lists, of which all are probed; fewer candidates than ``k`` are returned all.
+    A list is left out for a query only if its bound rules it out (see ``Reach``), at any
+    number of lists; ``probes`` sets a limit besides. Where lists overlap, all are probed,
+    and the work is that of comparing every query with every row. A group holds small
+    lists together up to ``GROUP_ROWS`` rows, or a part of a large list by a hash of the id,
+    and answers ``ASKED_ROWS`` queries. Ids have to be unique; rows that repeat an id count
+    as candidates each. Fewer candidates than ``k`` are returned all.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")
@@ -140,30 +196,50 @@ def nearest(
         return spark.createDataFrame([], result)
     d, bound = facts["d"], facts["bound"]
     rotation = np.linalg.qr(np.random.default_rng(11).normal(size=(d + 1, d + 1)))[0]
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toPandas()
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
+    sample, sample_ids = np.array(sample["v"].tolist()), sample["vec_id"].to_numpy()
     lists = max(1, min(most_lists, len(sample), round(math.sqrt(facts["n"]))))
-    middle = centres(lifted(np.array(sample["v"].tolist()), bound), lists)
+    middle = centres(lifted(sample, bound), lists)
+    means = middle[:, :d]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = _nearest(lifted(_matrix(batch.column("v"), d), bound), middle, 1)[:, 0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int32())], ["vec_id", "v", "list"])
+            v = _matrix(batch.column("v"), d)
+            near = _nearest(lifted(v, bound), middle, 1)[:, 0]
+            gap = np.sqrt(((v - means[near]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int32()), pa.array(gap)], ["vec_id", "v", "list", "gap"])
+
+    assigned = scratch.write(rows.mapInArrow(assign, "vec_id bigint, v array<double>, list int, gap double"), "assigned")
+    # a row per list: the group it begins with, and the groups it takes
+    bins, radius, group, held = [], np.full(lists, -math.inf), -1, GROUP_ROWS
+    for r in assigned.groupBy("list").agg(F.count("*").alias("n"), F.max("gap").alias("gap")).orderBy("list").collect():
+        parts = math.ceil(r["n"] / GROUP_ROWS)
+        if parts > 1 or held + r["n"] > GROUP_ROWS:
+            group, held = group + 1, 0
+        bins.append((r["list"], group, parts))
+        radius[r["list"]], group, held = r["gap"], group + parts - 1, GROUP_ROWS if parts > 1 else held + r["n"]
+    groups_of = np.zeros((lists, group + 1), bool)
+    for number, first, parts in bins:
+        groups_of[number, first : first + parts] = True
+    reach, known = Reach(middle, means, radius, probes), _known(sample, sample_ids, k)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = _matrix(batch.column("v"), d)
-            near = _nearest(np.hstack([q, np.zeros((len(q), 1))]), middle, max(2, probes))[:, :probes]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.tolist(), pa.list_(pa.int32()))], ["vec_id", "v", "lists"])
-
-    assigned = scratch.write(rows.mapInArrow(assign, "vec_id bigint, v array<double>, list int"), "assigned")
-    sizes = assigned.groupBy("list").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups"))
-    sizes = F.broadcast(scratch.write(sizes, "sizes"))  # a row per list
-    base = assigned.join(sizes, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), "groups").cast("int"))
-    asked = rows.where(F.col("vec_id") % query_every == 0).mapInArrow(probe, "vec_id bigint, v array<double>, lists array<int>")
-    sent = asked.select("vec_id", "v", F.explode("lists").alias("list")).join(sizes, "list")
-    sent = sent.select("list", "vec_id", "v", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
-    found = base.select("list", "part", "vec_id", "v").groupBy("list", "part").cogroup(sent.groupBy("list", "part")).applyInArrow(
-        _search(d, k, rotation, bound), "query_id bigint, vec_id bigint, score double"
+            least = known(batch.column("vec_id").to_numpy(), q)
+            groups = [np.flatnonzero(x).tolist() for x in reach(q, least) @ groups_of]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least), pa.array(groups, pa.list_(pa.int32()))], ["vec_id", "v", "known", "groups"])
+
+    asks = F.col("vec_id") % query_every == 0
+    blocks = math.ceil(rows.where(asks).count() / ASKED_ROWS)
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks))).cast("int")
+    table = F.broadcast(spark.createDataFrame(bins, "list int, first int, parts int"))
+    base = assigned.join(table, "list").withColumn("group", F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
+    base = base.select("group", F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks - 1)))).alias("block"), "vec_id", "v", "list")
+    asked = rows.where(asks).mapInArrow(probe, "vec_id bigint, v array<double>, known double, groups array<int>")
+    sent = asked.select(F.explode("groups").alias("group"), block.alias("block"), "vec_id", "v", "known")
+    found = base.groupBy("group", "block").cogroup(sent.groupBy("group", "block")).applyInArrow(
+        _search(d, k, rotation, bound, reach), "query_id bigint, vec_id bigint, score double"
     )
     best = found.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)"))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

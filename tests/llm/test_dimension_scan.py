@@ -66,3 +66,30 @@ def test_abandoned_rows_are_far():
     kept = ds.scan(query, rows, 20)
     true = np.argsort(((rows - query) ** 2).sum(axis=1))[:20]
     assert len(set(true) & set(kept)) >= 19 and len(kept) < 2000
+
+
+def test_recall_where_lists_outnumber_any_fixed_number_of_probes(spark):
+    rnd = np.random.default_rng(7)
+    middles = rnd.normal(size=(10, 64)) * 0.3
+    v = middles[rnd.integers(10, size=20_000)] + rnd.normal(size=(20_000, 64))
+    found = ds.nearest(frame(spark, enumerate(v)), query_every=100).toPandas()
+    asked = np.arange(0, 20_000, 100)
+    scores = v[asked] @ v.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    mine = found.sort_values(["query_id", "rank"]).groupby("query_id").vec_id.apply(set)
+    recall = np.mean([len(mine[q] & set(b)) / 20 for q, b in zip(asked.tolist(), best.tolist())])
+    assert recall >= 0.999, recall
+
+
+def test_bounds_rule_out_far_lists_only():
+    rnd = np.random.default_rng(8)
+    means = rnd.normal(size=(90, 8)) * 5
+    members = means[:, None, :] + rnd.normal(size=(90, 40, 8)) * 0.1
+    radius = np.sqrt(((members - means[:, None, :]) ** 2).sum(axis=2)).max(axis=1)
+    queries, flat = rnd.normal(size=(30, 8)), members.reshape(-1, 8)
+    known = ds._known(flat, np.arange(len(flat)), 20)(np.full(30, -1), queries)
+    open_to = ds.Reach(np.hstack([means, np.zeros((90, 1))]), means, radius, None)(queries, known)
+    for n, best in enumerate(np.argsort(-(queries @ flat.T), axis=1)[:, :20]):
+        assert open_to[n][best // 40].all()
+    assert open_to.mean() < 0.3
