@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +35,6 @@ TEMPLATES = {
     "copyright-reserved": 'Copyright <<beginOptional>>(c) <<endOptional>><<var;match="[0-9]{4}( [0-9]{4})?">> '
                           '<<var;match=".{1,80}">> All rights reserved',
 }
-MOST_VARIABLE_WORDS = 12
 
 Words = list[bytes]
 
@@ -49,7 +49,8 @@ class Automaton:
     """States are numbered; a state has moves by a word, by a run of variable words, or by nothing."""
 
     words: dict[int, dict[bytes, int]] = field(default_factory=dict)
-    runs: dict[int, tuple[re.Pattern, int]] = field(default_factory=dict)
+    #: pattern, the most bytes it matches, next state
+    runs: dict[int, tuple[re.Pattern, int, int]] = field(default_factory=dict)
     free: dict[int, list[int]] = field(default_factory=dict)
     last: int = 0
 
@@ -67,12 +68,32 @@ class Automaton:
             if at < len(words) and words[at] in self.words.get(state, ()):
                 todo.append((self.words[state][words[at]], at + 1))
             if state in self.runs:
-                pattern, after = self.runs[state]
-                for end in range(at, min(len(words), at + MOST_VARIABLE_WORDS) + 1):
+                pattern, most, after = self.runs[state]
+                size = -1
+                for end in range(at, len(words) + 1):
+                    size += len(words[end - 1]) + 1 if end > at else 0
+                    if size > most:  # no longer run can match
+                        break
                     if pattern.fullmatch(b" ".join(words[at:end])):
                         todo.append((after, end))
         return found
 
+    def needed(self) -> bytes:
+        """The longest word that every accepted text holds by its wording; empty if there is none."""
+
+        def passes(without: bytes) -> bool:
+            seen, todo = set(), [0]
+            while todo:
+                state = todo.pop()
+                if state not in seen:
+                    seen.add(state)
+                    todo += self.free.get(state, [])
+                    todo += [after for word, after in self.words.get(state, {}).items() if word != without]
+                    todo += [self.runs[state][2]] if state in self.runs else []
+            return self.last in seen
+
+        return max(sorted(word for word in {w for moves in self.words.values() for w in moves} if not passes(word)), key=len, default=b"")
+
     def starts(self) -> set[bytes] | None:
         """The words an accepted text can begin with; None if that is open."""
         seen, todo, found = set(), [0], set()
@@ -113,7 +134,8 @@ def compile_template(template: str) -> Automaton:
             if state in found.runs or state in found.words:
                 found.free.setdefault(state, []).append(top + 1)
                 state = top = top + 1
-            found.runs[state] = re.compile(match[1].encode()), top + 1
+            pattern = match[1].encode()
+            found.runs[state] = re.compile(pattern), _parser.parse(pattern).getwidth()[1], top + 1
             state = top = top + 1
         elif piece.startswith("<<"):
             raise ValueError(f"unknown markup: {piece}")
@@ -154,13 +176,7 @@ class Scanner:
             automaton = compile_template(template)
             if automaton.starts() is None:
                 raise ValueError(f"the template {label} can begin with any word")
-            self.templates.append((label, automaton, automaton.starts(), self._needed(template)))
-
-    @staticmethod
-    def _needed(template: str) -> bytes:
-        """The longest mandatory word, looked for before anything else."""
-        plain = re.sub(r"<<beginOptional>>(?:(?!<<beginOptional>>).)*?<<endOptional>>|<<var;.*?>>", " ", template)
-        return max(words_of(plain.encode()), key=len)
+            self.templates.append((label, automaton, automaton.starts(), automaton.needed()))
 
     def scan(self, text: bytes) -> tuple[int, list[int], list[str], list[str]]:
         """Number of words, starts of phrases, labels of phrases, labels of templates."""

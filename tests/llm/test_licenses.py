@@ -57,3 +57,27 @@ def test_rows_match_brute_force(spark, small, awkward, nothing):
         assert found == sorted(((r.doc_id, *slow(r.text)) for r in table.collect() if r.doc_id is not None), key=str)
     assert li.scan_licenses(nothing).count() == 0
     assert len(AWKWARD) == awkward.count()
+
+
+@pytest.mark.parametrize("holder,label", [
+    ("a b c d e f g h i j k l m", True), (" ".join("x" * 40), True), (" ".join("x" * 41), False), ("y" * 80, True), ("y" * 81, False),
+])
+def test_replaceable_runs_are_as_long_as_their_match(spark, holder, label):
+    texts = spark.createDataFrame([(1, f"So: Copyright (c) 2001 {holder} All rights reserved.")], "doc_id bigint, text string")
+    row = li.scan_licenses(texts).first()
+    assert (row.labels, row.score) == (("copyright-reserved,reserved", 1.0) if label else ("reserved", 0.5))
+
+
+def test_runs_without_a_bound():
+    text = f"grant to {'someone and ' * 200}ends here"
+    assert li.Scanner({}, {"g": 'grant to <<var;match=".+">> ends here'}).scan(text.encode())[3] == ["g"]
+
+
+def test_scans_with_nested_and_without_mandatory_regions(spark):
+    templates = {"nested": TEMPLATE, "twice": 'x <<beginOptional>>p <<beginOptional>>q <<beginOptional>>rrrrrr <<endOptional>><<endOptional>>s<<endOptional>> y',
+                 "either": '<<var;match="(one|two)">> <<beginOptional>>more<<endOptional>>'}
+    texts = ["now use of by Ann is free.", "use of the whole work by Ann is free", "x y", "x p s y", "x p q s y", "x p q rrrrrr s y", "x p rrrrrr s y", "one"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.labels for r in li.scan_licenses(rows, {}, templates).collect()}
+    assert [found[i] for i in range(8)] == ["nested"] * 2 + ["twice"] * 4 + ["", "either"]
+    assert li.compile_template(TEMPLATE).needed() == b"free"
