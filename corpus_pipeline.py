@@ -49,7 +49,7 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_crc32, round_trip`` of every row."""
+    """``doc_id, n_tokens, ids_crc32, text_crc32, round_trip`` of every row, decoded again."""
     ship(spark)
     return queries.digest(piece_lattice.encode(docs, queries.piece_model()))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from statuslight.llm.common import Scratch, id_and_text
 
@@ -206,19 +208,16 @@ def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return lattice(words, pieces).withColumn("table", table).select("word", known.alias("ids"))
 
 
-def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
+def _apply(pairs: frozenset[str]):
     """Encode the texts of a block with the paths of its words."""
 
     def run(block: pa.Table, replies: pa.Table) -> pa.Table:
-        out_id, out_ids, out_n, out_same = [], [], [], []
-        known, changed = {}, set()
+        out_id, out_ids, out_n, out_hash = [], [], [], []
+        known = {}
         ids = replies.column("ids").combine_chunks()
         flat, offsets = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))].astype(int)
         for i, word in enumerate(replies.column("word").to_pylist()):
-            path = flat[offsets[i] : offsets[i + 1]]
-            known[word] = path.tobytes()
-            if b"".join([shown[k] for k in path.tolist()]) != word.encode():
-                changed.add(word)
+            known[word] = flat[offsets[i] : offsets[i + 1]].tobytes()
         cut = Cutter(pairs)
         for payload in block.column("payload").to_pylist():
             numbers, texts = _unpacked(payload)
@@ -228,31 +227,31 @@ def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
             words = list(distinct)
             del distinct
             parts, ends = cut([BLANK + word for word in words])
-            table, lossy, begin = {}, set(), 0
+            table, begin = {}, 0
             for word, end in zip(words, ends.tolist(), strict=True):
                 table[word] = known[parts[begin]] if end == begin + 1 else b"".join([known[s] for s in parts[begin:end]])
-                if changed and not changed.isdisjoint(parts[begin:end]):
-                    lossy.add(word)
                 begin = end
             for doc_id, text in zip(numbers, texts, strict=True):
-                found = words_of(text)
-                ids = b"".join(map(table.__getitem__, found))
+                ids = b"".join(map(table.__getitem__, words_of(text)))
                 out_id.append(int(doc_id))
                 out_ids.append(ids)
                 out_n.append(len(ids) // 4)
-                out_same.append(lossy.isdisjoint(found))
+                out_hash.append(hashlib.sha256(text.encode()).hexdigest())
         return pa.table({"doc_id": pa.array(out_id, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()),
-                         "ids": pa.array(out_ids, pa.binary()), "round_trip": pa.array(out_same, pa.bool_())})
+                         "ids": pa.array(out_ids, pa.binary()), "source_sha256": pa.array(out_hash, pa.string())})
 
     return run
 
 
 def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, n_tokens, ids, round_trip`` of every row with an id.
+    """``doc_id, n_tokens, ids, text_crc32, round_trip`` of every row with an id.
 
     ``ids`` are little-endian unsigned 32-bit integers in one binary value (see
-    ``id_arrays``); ``round_trip`` says that they decode to the text. A null or empty text
-    has no ids. Repeated rows are encoded each, other columns are ignored.
+    ``id_arrays``). Every row is decoded again: ``text_crc32`` is the checksum of the text
+    that ``decode`` returns, and ``round_trip`` says that this is the text of the row. It
+    is false for texts that hold the blank sign U+2581, which decodes to a blank. A null
+    or empty text has no ids. Repeated rows and ids are encoded and decoded each, other
+    columns are ignored.
 
     Texts are written in compressed blocks; the distinct segments of each block ask for
     their paths, which the lattice finds once for every distinct segment of the corpus.
@@ -264,10 +263,11 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
     asked = blocks.mapInArrow(_words_of(pieces.pairs), "block bigint, word string")
     paths = scratch.write(encoded_words(asked.select("word").distinct(), pieces), "paths")
     replies = asked.join(paths, "word").select("block", "word", "ids")
-    shown = {i: piece.encode() for piece, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _apply(pieces.pairs, shown), "doc_id bigint, n_tokens bigint, ids binary, round_trip boolean"
+    encoded = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        _apply(pieces.pairs), "doc_id bigint, n_tokens bigint, ids binary, source_sha256 string"
     )
+    same = F.sha2(F.col("text").cast("binary"), 256) == F.col("source_sha256")
+    return decode(encoded, pieces).select("doc_id", "n_tokens", "ids", F.crc32("text").alias("text_crc32"), same.alias("round_trip"))
 
 
 def id_arrays(encoded: DataFrame) -> DataFrame:
@@ -281,21 +281,43 @@ def id_arrays(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
+def _decoded(ids: np.ndarray, shown: dict[int, bytes]) -> str:
+    try:
+        whole = b"".join(map(shown.__getitem__, ids.tolist()))
+    except KeyError as e:
+        raise ValueError(f"no piece has id {e.args[0]}") from None
+    return whole.decode().replace(BLANK, " ")[1:]
+
+
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
-    """``doc_id, text`` of rows (doc_id, ids array<int>): ids are exploded, joined to the pieces and put in order.
+    """The rows with their ``text``, from ``ids`` as array<int> or as the binary value of ``encode``.
 
-    Byte pieces give their byte. The blank put in front is removed. A null or empty
-    sequence gives an empty text, an unknown id raises an error. Ids of documents have
-    to be unique.
+    Each row is decoded by itself, so that rows that share a doc_id keep their own texts.
+    Byte pieces give their byte. The blank put in front is removed, blank signs become
+    blanks. A null or empty sequence gives an empty text, an unknown id raises an error.
     """
-    spark = encoded.sparkSession
-    shown = [(i, piece.encode()) for piece, i, _ in pieces.rows] + [(i, bytes([b])) for b, i in enumerate(pieces.byte_ids)]
-    table = F.broadcast(spark.createDataFrame([(i, bytearray(b)) for i, b in shown], "id int, bytes binary"))
-    flat = encoded.select("doc_id", F.posexplode("ids").alias("k", "id")).join(table, "id", "left")
-    checked = F.coalesce("bytes", F.raise_error(F.concat(F.lit("no piece has id "), F.col("id"))).cast("binary"))
-    placed = flat.select("doc_id", F.struct("k", F.hex(checked).alias("h")).alias("part"))
-    joined = placed.groupBy("doc_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    whole = F.decode(F.unhex(F.array_join(F.expr("transform(parts, p -> p.h)"), "")), "UTF-8")
-    text = F.expr("substring(replace(whole, '▁', ' '), 2)")
-    found = joined.withColumn("whole", whole).select("doc_id", text.alias("text"))
-    return encoded.select("doc_id").join(found, "doc_id", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    shown = {i: piece.encode() for piece, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("ids")
+            binary = pa.types.is_binary(batch.column(at).type) or pa.types.is_large_binary(batch.column(at).type)
+            begin, held, texts = 0, 0, []
+            for n in range(batch.num_rows):
+                value = batch.column(at)[n]
+                if not value.is_valid:
+                    ids = np.zeros(0, np.int64)
+                elif binary:
+                    ids = np.frombuffer(value.as_py(), "<u4")
+                elif value.values.null_count:
+                    raise ValueError("no piece has id null")
+                else:
+                    ids = value.values.to_numpy()
+                texts.append(_decoded(ids, shown))
+                held += len(texts[-1])
+                if held >= BLOCK_BYTES or n + 1 == batch.num_rows:
+                    part = batch.slice(begin, len(texts))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "text"])
+                    begin, held, texts = n + 1, 0, []
+
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("text", StringType())]))

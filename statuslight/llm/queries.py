@@ -31,8 +31,8 @@ def labelled_languages(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def digest(encoded: DataFrame) -> DataFrame:
-    """Encoded documents with a checksum in place of their ids."""
-    return encoded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "round_trip")
+    """Encoded documents with checksums in place of their ids and of the text that these decode to."""
+    return encoded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "text_crc32", "round_trip")
 
 
 def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -85,3 +86,16 @@ def test_round_trip_and_awkward_rows(spark, awkward, nothing, pieces):
 def test_unknown_id_raises(spark, pieces):
     with pytest.raises(Exception, match="no piece has id"):
         pl.decode(spark.createDataFrame([(1, [40_000])], "doc_id bigint, ids array<int>"), pieces).collect()
+
+
+def test_repeated_ids_and_blank_signs(spark, awkward, pieces):
+    """Rows that share an id keep their own texts; what does not decode to the text says so."""
+    rows = [(5, "first text of five"), (5, "another one, longer than the first"), (5, "first text of five"), (6, "a▁b"), (7, "a b"), (8, "▁"), (9, None), (10, "𝄞 é  ")]
+    encoded = pl.encode(spark.createDataFrame(rows, "doc_id bigint, text string"), pieces)
+    back = [t.replace("▁", " ") if t else "" for _, t in rows]
+    for how in (encoded, pl.id_arrays(encoded)):
+        assert sorted((r.doc_id, r.text) for r in pl.decode(how, pieces).collect()) == sorted((i, t) for (i, _), t in zip(rows, back, strict=True))
+    found = sorted((r.doc_id, r.text_crc32, r.round_trip) for r in encoded.collect())
+    assert found == sorted((i, zlib.crc32(b.encode()), b == (t or "")) for (i, t), b in zip(rows, back, strict=True))
+    kept = {(r.doc_id, r.round_trip) for r in pl.encode(awkward, pieces).collect()}
+    assert kept == {(i, i != 17) for i, _ in AWKWARD if i is not None}
