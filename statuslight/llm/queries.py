@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuslight.llm import (
-    bit_planes, dimension_scan, exact_dedup, jaccard_join, licenses, mixing, piece_lattice, quality, toxicity, warc_derivatives,
+    bit_planes, centroid_clusters, dimension_scan, exact_dedup, jaccard_join, language, licenses, mixing, piece_lattice, quality, toxicity,
+    warc_derivatives, whitening,
 )
 from statuslight.llm.common import Scratch
 from statuslight.session import ship
@@ -96,6 +97,24 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(piece_lattice.encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    documents = table(spark, sf_dir, "documents")
+    pieces = [piece for piece, _, _ in piece_model().rows]
+    return language.predict_languages(documents, language.fit_languages(documents, pieces))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the embeddings; ``n_compared`` depends on the walk and is left out, so that SQL can state the rest."""
+    ship(spark)
+    return centroid_clusters.digest(centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))).drop("n_compared")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return whitening.per_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_quality": op2_quality,
@@ -107,11 +126,53 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_piece_lattice": op10_piece_lattice,
+    "op11_language": op11_language,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_whitening": op13_whitening,
 }
 
 A_Z = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def cluster_sql(clusters: int = 40, rounds: int = 5, width: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Every round as two common table expressions: assignments by all distances, centroids by exact means."""
+    steps = [f"""
+        kept AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda c: CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {width}),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS cluster, x AS c
+            FROM kept QUALIFY cluster < {clusters})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+        a{k} AS MATERIALIZED (
+            SELECT vec_id, x, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+            FROM (SELECT vec_id, x, cluster, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+                  FROM kept CROSS JOIN c{k})
+            GROUP BY vec_id, x)""")
+        if k < rounds:
+            steps.append(f"""
+        m{k} AS (
+            SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c
+            FROM (SELECT cluster, j, CAST(sum(x[j]) AS HUGEINT) AS s, CAST(count(*) AS HUGEINT) AS n
+                  FROM a{k} CROSS JOIN range(1, {width + 1}) AS dims(j) GROUP BY cluster, j)
+            GROUP BY cluster),
+        c{k + 1} AS MATERIALIZED (
+            SELECT c{k}.cluster, coalesce(list_transform(m{k}.c, lambda v: CAST(v AS BIGINT)), c{k}.c) AS c
+            FROM c{k} LEFT JOIN m{k} ON c{k}.cluster = m{k}.cluster)""")
+    return f"""
+        WITH {",".join(steps)}
+        SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+               CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster
+    """
+
+
 ORACLES = {
+    "op12_centroid_clusters": cluster_sql(),
     "op9_exact_dedup": f"""
         WITH plain AS (SELECT doc_id, {A_Z} AS norm FROM documents WHERE doc_id IS NOT NULL)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
