@@ -35,9 +35,9 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted(picked, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
-def compare(spark, db, sf_dir: str, key: str, sql: str | None) -> tuple[str, float]:
+def compare(spark, db, sf_dir: str, key: str, sql: str | None, query=None) -> tuple[str, float]:
     start = time.time()
-    df = registry.QUERIES[key](spark, sf_dir)
+    df = (query or registry.QUERIES[key])(spark, sf_dir)
     ours = rows_of(df.columns, df.collect())
     took = time.time() - start
     if sql is None:

@@ -15,7 +15,9 @@ from statuslight.functions.calendar import SECONDS
 from statuslight.functions.json_text import json_array, json_value, parsed, strip_fences
 from statuslight.functions.numbers import safe_bigint
 from statuslight.operators import details, documents, evidence, financials, generation, reporting, retrieval
+from statuslight.operators.ledger import CallLedger
 from statuslight.plans import engagement_details
+from statuslight.plans.ingestion import Ingestion
 from statuslight.session import shared_dir, written
 from statuslight.sources import files, tables
 
@@ -251,7 +253,7 @@ def assemble_prompt(v: Views) -> DataFrame:
 
 @query
 def generate_status_text(v: Views) -> DataFrame:
-    answers = v.status().answers(replies.length_backend)
+    answers = v.status().answers(replies.counting_backend)
     return answers.select("company_name", "deal_name", "engagement_month", "prompt_part", generation.RESULT, generation.STATUS)
 
 
@@ -294,8 +296,33 @@ def report(v: Views) -> DataFrame:
 
 @query
 def status_report(v: Views) -> DataFrame:
-    """From tables to report: spine, evidence, prompts, a model's answers, parsed rows."""
-    return v.status().report(replies.length_backend)
+    """From tables to report: spine, evidence, answers by fixed rules, parsed and merged rows."""
+    return v.status().report()
+
+
+@query
+def status_report_in_parts(v: Views) -> DataFrame:
+    """Evidence in arrays of at most 7 items: an engagement's month is still one row, merged from the answers to its parts."""
+    return v.status(part_items=7).report()
+
+
+@query
+def assemble_prompt_in_parts(v: Views) -> DataFrame:
+    """Every part's prompt as its length and checksum, of which there is one per 7 items of the largest kind."""
+    prompts = v.status(part_items=7).prompts()
+    return prompts.select(
+        "company_name", "deal_name", "engagement_month", "prompt_part", F.length("prompt").cast("bigint").alias("characters"), F.md5("prompt").alias("prompt_md5")
+    )
+
+
+@query
+def status_report_through_ledger(v: Views) -> DataFrame:
+    """The report by a model that counts, twice over one ledger: the second run finds every answer and calls nothing."""
+    ledger = CallLedger(scratch(v, "ledger"), buckets=16)
+    prompts = written(v.status().prompts(), "prompts")
+    ledger.generate_text(prompts, replies.counting_backend, generation.REPORT_OPTIONS)
+    answers = ledger.generate_text(prompts, replies.no_backend, generation.REPORT_OPTIONS)
+    return reporting.merged_report(answers, generation.RESULT, last_part=0)
 
 
 # ---- documents ------------------------------------------------------------------------------
@@ -504,18 +531,74 @@ def replicate_table(v: Views) -> DataFrame:
     return v.spark.read.parquet(target)
 
 
+def vowels(df: DataFrame) -> DataFrame:
+    return generation.generate_embedding(df, replies.vowel_backend)
+
+
+@query
+def embed_chunks_by_backend(v: Views) -> DataFrame:
+    """Chunks embedded by a model, twice over one ledger: the second run calls nothing."""
+    ledger = CallLedger(scratch(v, "ledger"), model="vowels")
+    chunks = written(document_chunks(v).select("uri", "id", "content"), "chunks")
+    ledger.generate_embedding(chunks, replies.vowel_backend)
+    found = ledger.generate_embedding(chunks, replies.no_backend)
+    return found.select("uri", "id", generation.STATUS, *[F.col(generation.EMBEDDING)[i].cast("double").alias(x) for i, x in enumerate(replies.VOWELS)])
+
+
 @query
 def engagement_details_from_documents(v: Views) -> DataFrame:
     """Documents to chunks, vectors, search, answers and details, for all deals at once."""
-    vectors = written(generation.hash_embedding(document_chunks(v)), "vectors")
+    vectors = written(vowels(document_chunks(v)), "vectors")
     pending = documents.document_registry(vectors).select("deal_id")
+    return engagement_details.extract_details(vectors, pending, replies.details_backend, vowels)
+
+
+def deal_files(v: Views) -> str:
+    """One text file per deal, its documents one after another."""
+    rows, folder = scratch(v, "rows"), scratch(v, "files")
+    ordered = source_documents(v).withColumn("doc_id", F.substring("uri", 5, 20).cast("bigint")).repartition("deal_id").sortWithinPartitions("deal_id", "doc_id")
+    ordered.select("deal_id", "text").write.partitionBy("deal_id").text(rows)
+    found = v.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(rows).select("path").collect()
+    hadoop = v.spark._jvm.org.apache.hadoop.fs
+    for path in (r["path"] for r in found):
+        source, place = hadoop.Path(path), hadoop.Path(f"{folder}/{path.split('deal_id=')[1].split('/')[0]}.txt")
+        system = source.getFileSystem(v.spark._jsc.hadoopConfiguration())
+        system.mkdirs(place.getParent())
+        system.rename(source, place)
+    return folder
+
+
+def ingestion(v: Views) -> Ingestion:
+    ledger = CallLedger(scratch(v, "ledger"), model="vowels")
+    found = Ingestion(v.spark, deal_files(v), scratch(v, "ingested"), embed=lambda chunks: ledger.generate_embedding(chunks, replies.vowel_backend))
+    found.run()
+    return found
+
+
+@query
+def ingest_documents(v: Views) -> DataFrame:
+    """Files to chunks through the manifest; a second run reads no file."""
+    done = ingestion(v)
+    again = done.run()
+    return done.vectors().select(
+        "deal_id", "id", "content", *[F.col(generation.EMBEDDING)[i].cast("double").alias(x) for i, x in enumerate(replies.VOWELS)],
+        F.lit(again.read).cast("bigint").alias("read_again"),
+    )
 
-    def backend():
-        kinds = {text[:20]: kind for kind, text in details.INSTRUCTIONS.items()}
-        return lambda prompts, options: [
-            replies.DETAIL_TEMPLATES[kinds[p[:20]]].replace("@n", str(len(p))) for p in prompts
-        ]
 
-    return engagement_details.extract_details(vectors, pending, backend)
+@query
+def ingestion_registry(v: Views) -> DataFrame:
+    return ingestion(v).registry()
 
 
+@query
+def engagement_details_job(v: Views) -> DataFrame:
+    """From files to the copied details table; a second run finds no pending deal and changes nothing."""
+    done = ingestion(v)
+    named = done.vectors().withColumn("uri", text("file ", number("deal_id")))
+    vectors, registry = written(named, "vectors"), done.registry()
+    target, copy = scratch(v, "details"), scratch(v, "copy")
+    ledger = CallLedger(scratch(v, "ledger"), model="details")
+    engagement_details.details_job(vectors, registry, replies.details_backend, target, copy, vowels, ledger=ledger)
+    engagement_details.details_job(vectors, registry, replies.no_backend, target, copy, vowels, ledger=ledger)
+    return v.spark.read.parquet(copy)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statuslight.operators import reporting
+from statuslight.operators import details, reporting
 
 TIMELINE_ARRAY = (
     '[{"event_date": "2001-01-2@n", "event_description": "second @n"}, {"event_description": "undated"}, '
@@ -37,6 +37,28 @@ def status_reply(number: int) -> str:
     return STATUS_TEMPLATE.replace("@n", str(number)).replace("@s", ["RED", "AMBER", "GREEN"][number % 3])
 
 
-def length_backend():
-    """A local text model: its answer depends on the length of the prompt only."""
-    return lambda prompts, options: [status_reply(len(p)) for p in prompts]
+# what the counting model counts in a prompt
+MARKS = ['"task_status":"In Progress"', '"CONCERNED"', '"document":']
+
+
+def counting_backend():
+    """A local text model that looks at the prompt's evidence: open tasks, worried comments and documents."""
+    return lambda prompts, options: [status_reply(sum(p.count(mark) for mark in MARKS)) for p in prompts]
+
+
+def no_backend():
+    raise AssertionError("every prompt has an answer")
+
+
+VOWELS = "aeiou"
+
+
+def vowel_backend():
+    """A local embedding model: how often each vowel occurs."""
+    return lambda contents: [[float(c.count(v)) for v in VOWELS] for c in contents]
+
+
+def details_backend():
+    """A local text model for the three questions: its number is how often e occurs in the prompt."""
+    kinds = {text[:20]: kind for kind, text in details.INSTRUCTIONS.items()}
+    return lambda prompts, options: [DETAIL_TEMPLATES[kinds[p[:20]]].replace("@n", str(p.count("e"))) for p in prompts]

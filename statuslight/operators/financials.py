@@ -207,20 +207,25 @@ def financial_items(running: DataFrame) -> DataFrame:
     )
 
 
-def financial_status_rules(kpis: DataFrame) -> DataFrame:
-    """Red, amber or green by the stated targets.
+def target_statuses(margin: Column, hours: Column, rate: Column) -> list[Column]:
+    """Status of margin, hours and hourly rate by the stated targets.
 
     Fixed values: margin at least 70 %, hours at most 100 % of the budget, an hourly
     rate of at least 140 and ideally 180 pounds.
     """
-    margin, hours, rate = F.col("margin_pct"), F.col("hours_vs_budget_pct"), F.col("hourly_rate")
-    rated = kpis.select(
-        *KEYS,
-        F.when(margin >= 70, "GREEN").when(margin < 70, "RED").alias("margin_status"),
-        F.when(hours <= 100, "GREEN").when(hours > 100, "RED").alias("hours_status"),
-        F.when(rate >= 180, "GREEN").when(rate >= 140, "AMBER").when(rate < 140, "RED").alias("rate_status"),
-    )
-    parts = F.array("margin_status", "hours_status", "rate_status")
+    return [
+        F.when(margin >= 70, "GREEN").when(margin < 70, "RED"),
+        F.when(hours <= 100, "GREEN").when(hours > 100, "RED"),
+        F.when(rate >= 180, "GREEN").when(rate >= 140, "AMBER").when(rate < 140, "RED"),
+    ]
+
+
+def financial_status_rules(kpis: DataFrame) -> DataFrame:
+    """Red, amber or green by the stated targets (see ``target_statuses``)."""
+    statuses = target_statuses(F.col("margin_pct"), F.col("hours_vs_budget_pct"), F.col("hourly_rate"))
+    names = ["margin_status", "hours_status", "rate_status"]
+    rated = kpis.select(*KEYS, *[status.alias(name) for status, name in zip(statuses, names, strict=True)])
+    parts = F.array(*names)
     return rated.withColumn(
         "financials_status",
         F.when(F.array_contains(parts, "RED"), "RED")

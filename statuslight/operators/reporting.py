@@ -9,6 +9,9 @@ from statuslight.functions.json_text import answer_array, answer_value, json_arr
 from statuslight.operators.evidence import KEYS
 from statuslight.operators.joins import salted_join
 
+#: parts of a month that are merged at once
+FAN_IN = 64
+
 # fixed values: answer fields and the report columns they become
 STATUS_FIELDS = {
     "overall_status": "overall_rag_status",
@@ -112,8 +115,18 @@ def parse_status(answers: DataFrame, text_col: str, keep: list[str], lenient: bo
     return read.select(*keep, *fields, timeline_events(document, lenient, text).alias("month_timeline_events"))
 
 
-def status_report(answers: DataFrame, text_col: str, lenient: bool = False) -> DataFrame:
-    """The report: answers with an overall status, sorted by client, engagement and month."""
+def worst_status(statuses: Column) -> Column:
+    """RED before AMBER before GREEN before any other; NULL when there is none."""
+    ranked = F.transform(F.filter(statuses, lambda s: s.isNotNull()), lambda s: F.struct(status_rank(s).alias("rank"), s.alias("status")))
+    return F.array_min(ranked)["status"]
+
+
+def status_rank(status: Column) -> Column:
+    return F.when(status == "RED", 1).when(status == "AMBER", 2).when(status == "GREEN", 3).when(status.isNotNull(), 4).otherwise(5)
+
+
+def _report_rows(answers: DataFrame, text_col: str, lenient: bool) -> DataFrame:
+    """One parsed row per answer, with the names of the report."""
     named = answers.select(
         F.col("company_name").alias("client_name"),
         F.col("deal_name").alias("engagement_name"),
@@ -123,7 +136,66 @@ def status_report(answers: DataFrame, text_col: str, lenient: bool = False) -> D
         "prompt_part",
         text_col,
     )
-    report = parse_status(named, text_col, [c for c in named.columns if c != text_col], lenient)
+    return parse_status(named, text_col, [c for c in named.columns if c != text_col], lenient)
+
+
+def status_report(answers: DataFrame, text_col: str, lenient: bool = False) -> DataFrame:
+    """A row per answer with an overall status, sorted by client, engagement and month."""
+    report = _report_rows(answers, text_col, lenient)
     return report.where(F.col("overall_rag_status").isNotNull()).orderBy(
         "client_name", "engagement_name", "reporting_month", "prompt_part"
     )
+
+
+REPORT_KEYS = ["client_name", "engagement_name", "engagement_description", "sprint_name", "reporting_month"]
+
+
+def merge_parts(report: DataFrame, last_part: int, fan_in: int = FAN_IN) -> DataFrame:
+    """One row per engagement and month out of the rows of its parts; ``parts`` says how many there were.
+
+    Of a field's statuses the worst counts (see ``worst_status``). Its reason is made of the
+    reasons of the parts with that status, in part order, each once. Timelines are put
+    together in date order, each event once. ``last_part`` is the largest part number.
+
+    Up to ``fan_in`` neighbouring parts are merged per group and round, so that a month
+    whose evidence fills very many parts is spread over as many groups. Rows that are
+    equal in all of ``REPORT_KEYS`` keep their number.
+    """
+    fields = list(zip(list(STATUS_FIELDS.values())[::2], list(STATUS_FIELDS.values())[1::2], strict=True))
+    reasons = {reason: F.filter(F.array(reason), lambda r: r.isNotNull()).alias(reason) for _, reason in fields}
+    whole = report.select(
+        *REPORT_KEYS, F.col("prompt_part").alias("part"), F.lit(1).cast("bigint").alias("parts"),
+        F.when(F.col("prompt_part") == 0, 1).otherwise(0).cast("bigint").alias("rows"),
+        *[F.struct(status_rank(F.col(s)).alias("rank"), F.col(s).alias("status"), reasons[r]).alias(s) for s, r in fields],
+        "month_timeline_events",
+    )
+    merge = True
+    while merge:
+        state = [*[s for s, _ in fields], "month_timeline_events"]
+        grouped = whole.groupBy(*REPORT_KEYS, F.floor(F.col("part") / fan_in).alias("part")).agg(
+            F.sum("parts").alias("parts"), F.sum("rows").alias("rows"), F.array_sort(F.collect_list(F.struct("part", *state))).alias("__all")
+        )
+        merged = [_merged_field(F.col("__all"), s, r).alias(s) for s, r in fields]
+        events = F.array_sort(F.array_distinct(F.flatten(F.transform("__all", lambda p: p["month_timeline_events"]))))
+        whole = grouped.select(*REPORT_KEYS, "part", "parts", "rows", *merged, events.alias("month_timeline_events"))
+        merge, last_part = last_part >= fan_in, last_part // fan_in
+    texts = []
+    for s, r in fields:
+        texts += [F.col(f"{s}.status").alias(s), F.when(F.size(f"{s}.{r}") > 0, F.array_join(f"{s}.{r}", " ")).alias(r)]
+    copies = F.explode(F.array_repeat(F.lit(1), F.greatest("rows", F.lit(1)).cast("int")))
+    rows = whole.withColumn("parts", F.floor(F.col("parts") / F.greatest("rows", F.lit(1)))).withColumn("__row", copies)
+    return rows.select(*REPORT_KEYS, "parts", *texts, "month_timeline_events")
+
+
+def _merged_field(parts: Column, status: str, reason: str) -> Column:
+    """The worst status of parts in order, and the reasons of those that have it."""
+    worst = F.array_min(F.transform(parts, lambda p: F.struct(p[status]["rank"].alias("rank"), p[status]["status"].alias("status"))))
+    same = F.filter(parts, lambda p: p[status]["rank"] == worst["rank"])
+    reasons = F.array_distinct(F.flatten(F.transform(same, lambda p: p[status][reason])))
+    return F.struct(worst["rank"].alias("rank"), worst["status"].alias("status"), reasons.alias(reason))
+
+
+def merged_report(answers: DataFrame, text_col: str, last_part: int, lenient: bool = False, fan_in: int = FAN_IN) -> DataFrame:
+    """The report: one row per engagement and month with an overall status, however many parts its evidence has."""
+    merged = merge_parts(_report_rows(answers, text_col, lenient), last_part, fan_in)
+    return merged.where(F.col("overall_rag_status").isNotNull()).orderBy("client_name", "engagement_name", "reporting_month")

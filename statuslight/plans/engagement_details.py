@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from statuslight.operators import details, generation, retrieval
 from statuslight.operators.joins import lookup_join
+from statuslight.operators.ledger import CallLedger
 from statuslight.session import written
-from statuslight.sources.tables import append
+from statuslight.sources.tables import append, replicate_table
 
 Embedder = Callable[[DataFrame], DataFrame]
 
@@ -46,13 +49,16 @@ def extract_details(
 
 def ask(
     vectors: DataFrame, pending: DataFrame, backend: Callable[[], generation.TextBackend],
-    embed: Embedder = generation.hash_embedding, callers: int | None = None,
+    embed: Embedder = generation.hash_embedding, callers: int | None = None, ledger: CallLedger | None = None,
 ) -> DataFrame:
-    """The answer, and its status, of every pending deal and question; without chunks both are empty."""
+    """The answer, and its status, of every pending deal and question; without chunks both are empty.
+
+    With a ``ledger`` answered batches survive a run that breaks off.
+    """
     deals = pending.select("deal_id").where(F.col("deal_id").isNotNull()).distinct()
     chosen = lookup_join(vectors, deals, ["deal_id"], how="inner")
     prompts = written(contexts(chosen, question_vectors(vectors.sparkSession, embed)), "contexts")
-    answers = generation.generate_text(prompts, backend, generation.EXTRACTION_OPTIONS, callers=callers)
+    answers = (ledger or generation).generate_text(prompts, backend, generation.EXTRACTION_OPTIONS, callers=callers)
     asked = written(answers.select("deal_id", "question", generation.RESULT, generation.STATUS), "details")
     every = deals.select("deal_id", F.explode(F.array(*[F.lit(q) for q in details.SEARCH_TEXTS])).alias("question"))
     whole = every.join(asked, ["deal_id", "question"], "left")
@@ -61,14 +67,53 @@ def ask(
 
 def extract_and_append(
     vectors: DataFrame, pending: DataFrame, backend: Callable[[], generation.TextBackend], target: str,
-    embed: Embedder = generation.hash_embedding, callers: int | None = None,
+    embed: Embedder = generation.hash_embedding, callers: int | None = None, ledger: CallLedger | None = None,
 ) -> DataFrame:
     """Append the deals whose calls all succeeded; return ``deal_id, question, status`` of the failed calls.
 
     A deal with a failed call is not appended, so it stays pending.
     """
-    answers = written(ask(vectors, pending, backend, embed, callers), "answers")
+    answers = written(ask(vectors, pending, backend, embed, callers, ledger), "answers")
     failed = answers.where(F.col(generation.STATUS) != "")
     done = answers.join(failed.select("deal_id").distinct(), "deal_id", "left_anti")
     append(details.parse_details(details.combine_extractions(done, generation.RESULT)), target, details.DETAIL_COLUMNS)
     return failed.select("deal_id", "question", F.col(generation.STATUS).alias("status"))
+
+
+def pending_deals(registry: DataFrame, target: str) -> DataFrame:
+    """Deals of the registry that the details table does not hold yet; all of them before its first rows."""
+    spark = registry.sparkSession
+    deals = registry.select("deal_id").where(F.col("deal_id").isNotNull()).distinct()
+    try:
+        known = spark.read.parquet(target).select("deal_id")
+    except AnalysisException:  # no details yet
+        return deals
+    return deals.join(known.where(F.col("deal_id").isNotNull()), "deal_id", "left_anti")
+
+
+@dataclass
+class DetailsRun:
+    """Deals that were pending, and ``deal_id, question, status`` of the calls that failed."""
+
+    pending: int
+    failed: DataFrame
+
+
+def details_job(
+    vectors: DataFrame, registry: DataFrame, backend: Callable[[], generation.TextBackend], target: str, copy: str,
+    embed: Embedder = generation.hash_embedding, callers: int | None = None, ledger: CallLedger | None = None,
+) -> DetailsRun:
+    """From the deals that lack details to the copied table: find them, ask, append, copy.
+
+    Without pending deals nothing is asked, appended or copied. Deals are appended in one
+    write at the end, and the next run finds the rest by what the table holds; what was
+    answered before a break is in the ledger.
+    """
+    spark = vectors.sparkSession
+    pending = written(pending_deals(registry, target), "pending")
+    count = pending.count()
+    if not count:
+        return DetailsRun(0, spark.createDataFrame([], "deal_id bigint, question string, status string"))
+    failed = extract_and_append(vectors, pending, backend, target, embed, callers, ledger)
+    replicate_table(spark, target, f"{copy.rstrip('/')}-staging", copy)
+    return DetailsRun(count, failed)

@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from statuslight.operators import evidence, financials, generation, reporting, spine
+from statuslight.operators import evidence, financials, generation, reporting, rules, spine
 from statuslight.operators.bundle import PART_ITEMS
+from statuslight.operators.ledger import CallLedger
 from statuslight.session import written
 
 
@@ -101,10 +103,27 @@ class StatusReport:
         rows = self.written_spine
         return reporting.assemble_prompt(rows, self.evidence())
 
-    def answers(self, backend: Callable[[], generation.TextBackend], callers: int | None = None) -> DataFrame:
-        """Prompts and answers are both written, so a lost executor repeats no call that was answered."""
+    def answers(
+        self, backend: Callable[[], generation.TextBackend] | None = None, callers: int | None = None, ledger: CallLedger | None = None
+    ) -> DataFrame:
+        """An answer to every prompt: by the backend, or by fixed rules over the evidence without one.
+
+        Prompts and answers are written. With a ``ledger`` every answered batch is kept
+        there, so that a run that breaks off repeats no call that was answered.
+        """
+        if backend is None:
+            rows = reporting.assemble_evidence(self.written_spine, self.evidence())
+            keep = [*reporting.PROMPT_COLUMNS, generation.RESULT, generation.STATUS]
+            return written(rules.rule_answers(rows).select(*keep), "answers")
         prompts = written(self.prompts(), "prompts")
+        if ledger is not None:
+            return ledger.generate_text(prompts, backend, generation.REPORT_OPTIONS, callers=callers)
         return written(generation.generate_text(prompts, backend, generation.REPORT_OPTIONS, callers=callers), "answers")
 
-    def report(self, backend: Callable[[], generation.TextBackend], callers: int | None = None) -> DataFrame:
-        return reporting.status_report(self.answers(backend, callers), generation.RESULT)
+    def report(
+        self, backend: Callable[[], generation.TextBackend] | None = None, callers: int | None = None, ledger: CallLedger | None = None
+    ) -> DataFrame:
+        """One row per engagement and month; a month whose evidence fills several prompts is merged from their answers."""
+        answers = self.answers(backend, callers, ledger)
+        last_part = answers.agg(F.max("prompt_part")).first()[0] or 0
+        return reporting.merged_report(answers, generation.RESULT, last_part)
