@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from statuslight.llm.common import Scratch, id_and_text, utf8
 
+#: labelled documents that the posteriors are fitted on, at most
+LABELLED_ROWS = 20_000
 #: hashed byte trigrams
 BUCKETS = 4096
 #: trigrams whose evidence a posterior adds up: the mean over the text times this number
@@ -43,6 +45,8 @@ class Domains:
     prior: np.ndarray
 
     def posterior(self, text: bytes) -> np.ndarray:
+        if not self.names:
+            return np.zeros(0)
         counts = trigram_counts(text)
         total = counts.sum()
         evidence = self.likelihood @ counts * (min(EVIDENCE, total) / total) if total else 0.0
@@ -185,19 +189,22 @@ def fit_mixture(
 def mix(
     documents: DataFrame, labelled: DataFrame, targets: dict[str, float], steps: int = STEPS
 ) -> DataFrame:
-    """``doc_id, n_tokens, posterior, rate, copies`` of every row with an id.
+    """``doc_id, n_tokens, posterior, rate, copies, shares`` of every row with an id.
 
     ``labelled`` (text, domain) trains the posteriors, ``targets`` gives the wanted token
     share of each domain. ``copies`` is the rate rounded up or down by a hash of the id,
     so that its expectation is the rate. An empty or null text has no tokens and the
-    prior as posterior. Without labelled rows every rate is 1. Repeated rows get equal
+    prior as posterior. Without labelled rows every rate is 1. ``shares`` says, the same
+    on every row, what share of the tokens each domain was meant to have and has; a target
+    without labelled rows cannot be met and shows there with 0 reached. Repeated rows get equal
     rates, other columns are ignored, an empty table gives an empty result.
     """
     scratch = Scratch(documents.sparkSession, "mixing")
     domains = fit_domains(labelled)
+    without = sorted(name for name, share in targets.items() if share > 0 and name not in domains.names)
     if not domains.names:
-        rows = id_and_text(documents).select("doc_id", F.size(F.split(F.trim("text"), "\\s+")).cast("bigint").alias("n_tokens"))
-        return rows.select("*", F.array().cast("array<double>").alias("posterior"), F.lit(1.0).alias("rate"), F.lit(1).cast("bigint").alias("copies"))
+        rows = posteriors(documents, domains).withColumns({"rate": F.lit(1.0), "copies": F.lit(1).cast("bigint")})
+        return rows.withColumn("shares", _shares([], [], [], without, targets))
     members = scratch.write(posteriors(documents, domains), "members")
     mixture = fit_mixture(members, domains.names, targets, steps=steps)
 
@@ -208,7 +215,15 @@ def mix(
 
     found = members.mapInArrow(rated, "doc_id bigint, n_tokens bigint, posterior array<double>, rate double")
     uniform = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return found.withColumn("copies", F.floor(F.col("rate") + uniform).cast("bigint"))
+    shares = _shares(mixture.names, mixture.target.tolist(), mixture.reached.tolist(), without, targets)
+    return found.withColumns({"copies": F.floor(F.col("rate") + uniform).cast("bigint"), "shares": shares})
+
+
+def _shares(names: list[str], wanted: list[float], reached: list[float], without: list[str], targets: dict[str, float]) -> F.Column:
+    """Wanted and reached share of every domain, those that no labelled row knows with none reached."""
+    known = zip([*names, *without], [*wanted, *(targets[n] for n in without)], [*reached, *(0.0 for _ in without)], strict=True)
+    rows = [F.struct(F.lit(n).alias("domain"), F.lit(float(w)).alias("target"), F.lit(float(r)).alias("reached")) for n, w, r in known]
+    return F.array(*rows) if rows else F.array().cast("array<struct<domain:string,target:double,reached:double>>")
 
 
 def repeated(documents: DataFrame, mixed: DataFrame) -> DataFrame:
@@ -216,8 +231,8 @@ def repeated(documents: DataFrame, mixed: DataFrame) -> DataFrame:
 
     Rows are joined by doc_id; an id that repeats takes its copies once per row.
     """
-    copies = mixed.groupBy(F.col("doc_id")).agg(F.max("copies").alias("__copies"))
-    joined = documents.join(copies, "doc_id")
-    times = F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))
-    taken = joined.where(F.col("__copies") > 0).withColumn("__copy", F.explode(times))
-    return taken.select(*[F.col(f"`{c}`") for c in documents.columns])
+    copies = mixed.groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    held = documents.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    joined = held.join(copies.where(F.col("copies") > 0), "doc_id")
+    taken = joined.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return taken.select("row.*")

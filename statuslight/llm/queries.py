@@ -25,10 +25,14 @@ def piece_model() -> piece_lattice.Pieces:
     return piece_lattice.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def labelled_languages(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the labelled documents with their language as domain."""
-    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    return documents.join(known, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+def labelled_languages(documents: DataFrame, labels: DataFrame, rows: int = mixing.LABELLED_ROWS) -> DataFrame:
+    """Texts of the labelled documents with their language as domain: the ``rows`` ids with the smallest hash, at most.
+
+    The ids, whose number is bounded by the parameter, are broadcast, so no text is shuffled at any size.
+    """
+    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id")).where(F.col("doc_id").isNotNull())
+    chosen = known.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return documents.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
 
 
 def digest(encoded: DataFrame) -> DataFrame:

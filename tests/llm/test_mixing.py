@@ -54,3 +54,25 @@ def test_awkward_rows(spark, awkward, nothing):
     taken = mixing.repeated(awkward, spark.createDataFrame([(3, 2), (4, 0), (6, 1)], "doc_id bigint, copies bigint"))
     assert taken.columns == awkward.columns
     assert sorted(r.doc_id for r in taken.collect()) == [3, 3, 6]
+
+
+def test_a_target_without_labelled_rows_shows(spark):
+    rows = [(i, "the and of to in is that " * 5, "en") for i in range(9)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, domain string")
+    for taught, known in ((documents, True), (documents.limit(0), False)):
+        shares = {s.domain: s for s in mixing.mix(documents, taught.select("text", "domain"), {"en": 0.4, "fr": 0.6}).first().shares}
+        assert (shares["fr"].target, shares["fr"].reached) == (0.6, 0.0)
+        assert not known or shares["en"].target == 1.0 and abs(shares["en"].reached - 1.0) < 1e-3
+
+
+def test_blank_texts_have_no_tokens(spark):
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, " a  b ")]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for taught in (documents.selectExpr("'a b' as text", "'x' as domain"), documents.selectExpr("text", "text as domain").limit(0)):
+        assert {r.doc_id: r.n_tokens for r in mixing.mix(documents, taught, {"x": 1.0}).collect()} == {1: 0, 2: 0, 3: 0, 4: 2}
+
+
+def test_copies_of_rows_whose_columns_clash(spark):
+    documents = spark.createDataFrame([(1, "a", 7, "x"), (2, "b", 8, "y")], "doc_id bigint, text string, copies int, row string")
+    taken = mixing.repeated(documents, spark.createDataFrame([(1, 2), (2, 0)], "doc_id bigint, copies bigint"))
+    assert taken.columns == documents.columns and [tuple(r) for r in taken.collect()] == [(1, "a", 7, "x")] * 2
