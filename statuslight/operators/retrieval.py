@@ -8,17 +8,23 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from statuslight.operators.joins import lookup_join
+from statuslight.session import written
 
 TOP_K = 10
 FRACTION_LISTS_TO_SEARCH = 0.01
 QUESTION_BLOCK = 64
+#: base rows of a block, question bytes that are broadcast at once, rows that a task keeps
+BASE_BLOCK, BROADCAST_BYTES, KEPT_ROWS = 4_096, 32 << 20, 200_000
 
 
 def euclidean(a: Column, b: Column) -> Column:
@@ -60,24 +66,154 @@ def _distances(base: DataFrame, asked: Column, within: list[str]) -> DataFrame:
     )
 
 
+def _usable(base: DataFrame, within: list[str]) -> DataFrame:
+    """Rows with a whole vector; others have no distance and take no part."""
+    vector = F.col("embedding").cast("array<double>")
+    whole = vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull())
+    return base.where(whole).select(*within, "id", vector.alias("embedding"))
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """A row per vector. Vectors of different length raise."""
+    sizes = np.unique(lists.value_lengths().to_numpy(zero_copy_only=False))
+    if len(sizes) > 1:
+        raise ValueError("vectors differ in length")
+    width = int(sizes[0]) if len(sizes) else 0
+    return np.asarray(lists.flatten().to_numpy(zero_copy_only=False), float).reshape(len(lists), width)
+
+
+def question_blocks(questions: DataFrame) -> DataFrame:
+    """``names, matrix, width``: up to ``QUESTION_BLOCK`` questions a row, their vectors as one binary value."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, QUESTION_BLOCK):
+                part = batch.slice(at, QUESTION_BLOCK)
+                matrix = _matrix(part.column("vector"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.column("question").to_pylist()], pa.list_(pa.string())), pa.array([matrix.tobytes()], pa.binary()),
+                     pa.array([matrix.shape[1]], pa.int32())], ["names", "matrix", "width"],
+                )
+
+    asked = questions.select(F.col("question").cast("string").alias("question"), F.col("vector").cast("array<double>").alias("vector"))
+    whole = F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull())
+    return asked.where(whole).mapInArrow(pack, "names array<string>, matrix binary, width int")
+
+
+def base_blocks(base: DataFrame, within: list[str], width: int | None) -> DataFrame:
+    """``*within, ids, vectors, width``: up to ``BASE_BLOCK`` neighbouring rows of one group a row.
+
+    A vector of another length than ``width`` raises.
+    """
+    schema = T.StructType([
+        *[base.schema[c] for c in within], T.StructField("ids", T.ArrayType(base.schema["id"].dataType)),
+        T.StructField("vectors", T.BinaryType()), T.StructField("width", T.IntegerType()),
+    ])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places: dict[tuple, list[int]] = {}
+            keys = zip(*[batch.column(c).to_pylist() for c in within], strict=True) if within else [()] * batch.num_rows
+            for row, key in enumerate(keys):
+                places.setdefault(key, []).append(row)
+            for key, rows in places.items():
+                for at in range(0, len(rows), BASE_BLOCK):
+                    part = batch.take(pa.array(rows[at : at + BASE_BLOCK]))
+                    matrix = _matrix(part.column("embedding"))
+                    if width is not None and matrix.shape[1] != width:
+                        raise ValueError("vectors and questions differ in length")
+                    ids = part.column("id")
+                    yield pa.RecordBatch.from_arrays(
+                        [*[part.column(c).slice(0, 1) for c in within], pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                         pa.array([matrix.tobytes()], pa.binary()), pa.array([matrix.shape[1]], pa.int32())], schema.names,
+                    )
+
+    return _usable(base, within).mapInArrow(pack, schema)
+
+
+def nearest_rows(vectors: np.ndarray, ids: list, questions: np.ndarray, k: int) -> list[list[tuple]]:
+    """``(distance, id)`` of the ``k`` nearest rows for every question, ties by id, NaN last.
+
+    One matrix product gives all squared distances up to rounding; rows that may be among
+    the nearest are measured again, so that equal vectors have equal distances.
+    """
+    norms, asked = (vectors**2).sum(axis=1), (questions**2).sum(axis=1)
+    rough = norms[None, :] + asked[:, None] - 2 * (questions @ vectors.T)
+    rough[np.isnan(rough)] = np.inf
+    out = []
+    for n, question in enumerate(questions):
+        near = np.arange(len(ids))
+        if len(ids) > k:
+            limit = np.partition(rough[n], k - 1)[k - 1]
+            if np.isfinite(limit):
+                near = np.flatnonzero(rough[n] <= limit + 1e-9 * (asked[n] + abs(limit) + norms[rough[n] <= limit].max()))
+        gaps = vectors[near] - question
+        distance = np.sqrt(np.add.reduce(gaps * gaps, axis=1))
+        out.append(sorted(zip(distance.tolist(), [ids[i] for i in near.tolist()], strict=True), key=_order)[:k])
+    return out
+
+
+def _order(pair: tuple) -> tuple:
+    distance, row_id = pair
+    return math.isnan(distance), distance if not math.isnan(distance) else 0.0, row_id is not None, row_id
+
+
+def _searched(within: list[str], k: int, id_type: pa.DataType, key_types: list[pa.DataType]):
+    """The ``k`` nearest of each task for every group and question: what is kept is bounded by ``KEPT_ROWS``."""
+
+    def emit(best: dict[tuple, list[tuple]]) -> pa.RecordBatch:
+        rows = [(*key, row_id, distance) for key, pairs in best.items() for distance, row_id in pairs]
+        kinds = [*key_types, pa.string(), id_type, pa.float64()]
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*within, "question", "id", "distance"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, list[tuple]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                vectors = np.frombuffer(row["vectors"]).reshape(-1, max(1, row["width"]))
+                questions = np.frombuffer(row["matrix"]).reshape(-1, max(1, row["width"]))
+                key = tuple(row[c] for c in within)
+                for name, found in zip(row["names"], nearest_rows(vectors, row["ids"], questions, k), strict=True):
+                    held = best.get((*key, name))
+                    best[(*key, name)] = sorted(held + found, key=_order)[:k] if held else found
+            if len(best) * k > KEPT_ROWS:
+                yield emit(best)
+                best = {}
+        yield emit(best)
+
+    return run
+
+
 def vector_topk(
     base: DataFrame, questions: DataFrame, k: int = TOP_K, within: list[str] | None = None
 ) -> DataFrame:
     """The ``k`` nearest rows of ``base`` for every question, ties by id.
 
-    ``base``: id, embedding and the ``within`` columns; ``questions``: question,
-    vector. With ``within`` (for example deal_id) every group is searched on its own.
-    Questions are few (three per deal, the same for all deals), so a block of up to
-    64 of them travels inside the plan and base rows never move to meet them; more
-    questions make more blocks. Only ids and distances reach the sort, and each task
-    keeps its own best ``k`` before the shuffle.
+    ``base``: id, embedding and the ``within`` columns; ``questions``: question, vector.
+    With ``within`` (for example deal_id) every group is searched on its own. Rows and
+    questions meet in blocks: blocks of questions, as many at a time as ``BROADCAST_BYTES``
+    hold, are broadcast to the blocks of base rows, which do not move; a pair of blocks is
+    one matrix product. Each task keeps its best ``k`` per group and question, so that only
+    these reach the sort. Rows and questions without a whole vector take no part.
     """
     groups = within or []
-    parts = [_ranked(_distances(base, _literal(block), groups), groups, k) for block in _blocks(questions)]
-    if not parts:
-        empty = _distances(base, _literal([]), groups)
-        return _ranked(empty, groups, k)
-    return reduce(DataFrame.unionByName, parts)
+    asked = written(question_blocks(questions), "questions")
+    facts = asked.agg(F.sum(F.octet_length("matrix") + F.octet_length(F.array_join("names", ""))), F.min("width"), F.max("width")).first()
+    if facts[1] != facts[2]:
+        raise ValueError("questions differ in length")
+    turns = max(1, math.ceil((facts[0] or 0) / BROADCAST_BYTES))
+    turn = F.pmod(F.xxhash64("names"), F.lit(turns))
+    packed = base_blocks(base, groups, facts[1])
+    kinds = {f.name: f.dataType for f in base.schema.fields}
+    arrow = [to_arrow_type(kinds[c]) for c in groups]
+    shape = T.StructType([*[base.schema[c] for c in groups], T.StructField("question", T.StringType()), T.StructField("id", kinds["id"]), T.StructField("distance", T.DoubleType())])
+    parts = []
+    for n in range(turns):
+        pairs = packed.join(F.broadcast(asked.where(turn == n) if turns > 1 else asked), "width")  # of checked size
+        parts.append(pairs.mapInArrow(_searched(groups, k, to_arrow_type(kinds["id"]), arrow), shape))
+    found = reduce(DataFrame.unionByName, parts)
+    return _ranked(found.select(*groups, "id", "question", "distance"), groups, k)
 
 
 class VectorLists:

@@ -106,6 +106,34 @@ def test_topk_equals_brute_force(spark, vectors, questions):
         assert [i for i, _ in found] == ids and np.allclose([d for _, d in found], distance)
 
 
+def test_many_blocks_and_turns_give_the_same(spark, vectors, monkeypatch):
+    df, _, _ = vectors
+    q, _ = asked(spark, np.random.default_rng(8), 90)
+    whole = sorted(map(tuple, retrieval.vector_topk(df, q, 5, ["deal_id"]).collect()))
+    for name, value in (("BASE_BLOCK", 7), ("BROADCAST_BYTES", 2_000), ("KEPT_ROWS", 40), ("QUESTION_BLOCK", 9)):
+        monkeypatch.setattr(retrieval, name, value)
+    found = retrieval.vector_topk(df, q, 5, ["deal_id"])
+    assert sorted(map(tuple, found.collect())) == whole and len(whole) > 90 * 5
+
+
+def test_nearest_rows_with_ties_and_odd_numbers():
+    nan, inf = float("nan"), float("inf")
+    rows = np.array([[0.0, 0.0], [1e8, 1e8], [1e8, 1e8 + 1], [1e8, 1e8], [nan, 0.0], [inf, 1.0], [0.1, 0.2], [0.1, 0.2]])
+    ids = [7, 3, 4, 1, 0, 2, 9, 8]
+    near = retrieval.nearest_rows(rows, ids, np.array([[1e8, 1e8], [0.1, 0.2]]), 3)
+    assert [i for _, i in near[0]] == [1, 3, 4] and [d for d, _ in near[0]] == [0.0, 0.0, 1.0]
+    assert [i for _, i in near[1]] == [8, 9, 7]
+    every = retrieval.nearest_rows(rows, ids, np.array([[0.0, 0.0]]), 20)[0]
+    assert [i for _, i in every] == [7, 8, 9, 1, 3, 4, 2, 0] and np.isnan(every[-1][0])
+
+
+def test_lengths_have_to_agree(spark):
+    base = spark.createDataFrame([(1, [1.0, 2.0])], "id bigint, embedding array<double>")
+    for questions in ([("q", [1.0])], [("q", [1.0, 2.0]), ("r", [1.0])]):
+        with pytest.raises(Exception, match="differ in length"):
+            retrieval.vector_topk(base, spark.createDataFrame(questions, "question string, vector array<double>")).collect()
+
+
 def test_no_question_no_row(spark, vectors):
     q = spark.createDataFrame([], "question string, vector array<double>")
     assert retrieval.vector_topk(vectors[0], q).count() == 0
