@@ -258,7 +258,7 @@ def generate_status_text(v: Views) -> DataFrame:
 
 
 def made_answers(v: Views) -> DataFrame:
-    """An answer for every spine row; some malformed, nested, incomplete or with a quoted timeline."""
+    """An answer for every spine row; some malformed, nested, incomplete, with a quoted timeline or with repeated keys at two depths."""
     rows = v.status().spine().where(F.col("engagement_month").isNotNull())
     n = safe_bigint(F.substring("deal_name", 6, 20)) * 12 + F.month("engagement_month")
     numbered = rows.withColumn("n", n)
@@ -271,6 +271,8 @@ def made_answers(v: Views) -> DataFrame:
         .when(F.col("n") % 17 == 0, F.replace(full, text('"reason ', shown, '"'), F.lit('{"text": "reason"}')))
         .when(F.col("n") % 19 == 0, F.replace(full, F.lit('"overall_status"'), F.lit('"other_status"')))
         .when(F.col("n") % 23 == 0, F.replace(full, *timeline))
+        .when(F.col("n") % 29 == 0, F.replace(F.replace(full, *map(F.lit, replies.TWICE)), *map(F.lit, replies.BRACKET)))
+        .when(F.col("n") % 31 == 0, F.replace(full, *map(F.lit, replies.EVENT_TWICE)))
         .otherwise(full)
     )
     return numbered.withColumns({"answer": answer, "prompt_part": F.lit(0).cast("bigint")})
@@ -289,6 +291,13 @@ def timeline_events(v: Views) -> DataFrame:
     ).select("deal_name", "engagement_month", F.col("position").cast("bigint").alias("position"), "e.*")
 
 
+@query
+def timeline_events_lenient(v: Views) -> DataFrame:
+    """Timelines given as a string that holds an array are read too."""
+    answers = made_answers(v).where(F.col("n") % 23 == 0)
+    return reporting.parse_status(answers, "answer", ["deal_name", "engagement_month"], lenient=True).select("deal_name", "engagement_month", "month_timeline_events")
+
+
 @query
 def report(v: Views) -> DataFrame:
     return reporting.status_report(made_answers(v), "answer")

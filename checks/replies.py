@@ -18,6 +18,11 @@ STATUS_TEMPLATE = (
     "```json\n{\n" + ",\n".join(_FIELDS) + f',\n"{reporting.TIMELINE}": {TIMELINE_ARRAY}' + "\n}\n```"
 )
 
+# what turns an answer into one that repeats a key at the top, with a text that begins with a bracket, or within an event
+TWICE = ('"scope_status":', '"scope_status": "first", "scope_status":')
+BRACKET = ('"reason ', '"[late] reason ')
+EVENT_TWICE = ('"event_description": "first"', '"event_description": "first", "event_description": "[second]"')
+
 DETAIL_TEMPLATES = {
     "objectives": (
         '```json\n[{"objective_number": 1, "objective_details": "faster @n", "expected_benefit": "less\\nwork", "objective_metric": "days"}, '

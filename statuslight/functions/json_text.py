@@ -37,12 +37,24 @@ def answer_value(document: Column, text: Column, path: str) -> Column:
     The first of several equal keys counts then.
     """
     raw = F.get_json_object(text, path)
-    return F.when(document.isNotNull(), json_value(document, path)).when(~raw.rlike("^\\s*[\\[{]"), raw)
+    nested = raw.rlike("^\\s*[\\[{]")
+    key = path[2:]
+    if key.isidentifier():  # a string that begins with a bracket is none: read as an array or an object it is NULL
+        shapes = [F.from_json(text, f"`{key}` {kind}")[key] for kind in ("array<string>", "map<string,string>")]
+        nested = nested & (shapes[0].isNotNull() | shapes[1].isNotNull())
+    return F.when(document.isNotNull(), json_value(document, path)).when(~nested, raw)
 
 
-def answer_array(document: Column, text: Column, path: str) -> Column:
-    """``json_array`` with the same way out as ``answer_value``."""
-    return F.when(document.isNotNull(), json_array(document, path)).otherwise(json_array(parsed(F.get_json_object(text, path))))
+def answer_records(document: Column, text: Column, path: str, fields: list[str]) -> Column:
+    """The elements of the array at ``path`` as structs of strings; NULL when there is no array.
+
+    Where the text is no variant its array is cut into elements as text, and each is read
+    by itself, so that an element that repeats a key costs neither itself nor the others.
+    """
+    exact = F.transform(json_array(document, path), lambda e: F.struct(*[json_value(e, f"$.{f}").alias(f) for f in fields]))
+    cut = F.from_json(F.get_json_object(text, path), "array<string>")
+    read = F.transform(cut, lambda e: F.struct(*[answer_value(parsed(e), e, f"$.{f}").alias(f) for f in fields]))
+    return F.when(document.isNotNull(), exact).otherwise(read)
 
 
 def json_query(text: Column, path: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuslight.functions.json_text import answer_value, json_array, json_value, parsed, strip_fences
+from statuslight.functions.json_text import answer_records, answer_value, parsed, strip_fences
 
 # fixed values: answer fields of the three questions
 OBJECTIVE_FIELDS = ["objective_number", "objective_details", "expected_benefit", "objective_metric"]
@@ -40,8 +40,7 @@ DETAIL_COLUMNS = [
 
 def listed(text: Column, fields: list[str]) -> Column:
     """The array in ``text`` as structs of strings, in its own order; empty when there is none."""
-    items = json_array(parsed(text))
-    rows = F.transform(items, lambda item: F.struct(*[json_value(item, f"$.{f}").alias(f) for f in fields]))
+    rows = answer_records(parsed(text), text, "$", fields)
     shape = "array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>"
     return F.coalesce(rows, F.array().cast(shape))
 

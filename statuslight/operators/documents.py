@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuslight.functions.json_text import json_value, parsed
+from statuslight.functions.json_text import answer_value, parsed
 from statuslight.functions.numbers import safe_bigint
 from statuslight.operators.joins import lookup_join
 
@@ -111,8 +111,8 @@ def parse_chunks(results: DataFrame, keep: list[str]) -> DataFrame:
         "page_span_start": "$.pageSpan.pageStart",
         "page_span_end": "$.pageSpan.pageEnd",
     }
-    exploded = results.select(*keep, F.explode(chunks).alias("text")).select(*keep, parsed(F.col("text")).alias("chunk"))
-    return exploded.select(*keep, *[json_value(F.col("chunk"), path).alias(name) for name, path in paths.items()])
+    exploded = results.select(*keep, F.explode(chunks).alias("__text")).withColumn("__chunk", parsed(F.col("__text")))
+    return exploded.select(*keep, *[answer_value(F.col("__chunk"), F.col("__text"), path).alias(name) for name, path in paths.items()])
 
 
 def numeric_ids(names: DataFrame, column: str = "name") -> DataFrame:

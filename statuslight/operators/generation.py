@@ -103,16 +103,19 @@ def generate_embedding(
     retries: int = 2,
     wait: float = 0.5,
 ) -> DataFrame:
-    """Input columns and the vector of ``content_col``; NULL where there is none."""
+    """Input columns, the vector of ``content_col``, and a status ('' when embedded, else the reason why the vector is NULL)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         embed = backend()
         for batch in batches:
             contents = batch.column(batch.schema.get_field_index(content_col)).to_pylist()
             pairs = _answers(embed, contents, batch_size, retries, wait)
-            yield _extended(batch, {EMBEDDING: pa.array([v for v, _ in pairs], pa.list_(pa.float32()))})
+            yield _extended(batch, {
+                EMBEDDING: pa.array([v for v, _ in pairs], pa.list_(pa.float32())),
+                STATUS: pa.array([error or "" for _, error in pairs], pa.string()),
+            })
 
-    schema = T.StructType([*df.schema.fields, T.StructField(EMBEDDING, T.ArrayType(T.FloatType()))])
+    schema = T.StructType([*df.schema.fields, T.StructField(EMBEDDING, T.ArrayType(T.FloatType())), T.StructField(STATUS, T.StringType())])
     return df.mapInArrow(run, schema)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuslight.functions.json_text import answer_array, answer_value, json_array, json_value, parsed, strip_fences
+from statuslight.functions.json_text import answer_records, answer_value, json_value, parsed, strip_fences
 from statuslight.operators.evidence import KEYS
 from statuslight.operators.joins import salted_join
 
@@ -96,13 +96,11 @@ def timeline_events(document: Column, lenient: bool = False, text: Column | None
     no ``document``, see ``answer_value``.
     """
     path = f"$.{TIMELINE}"
-    events = json_array(document, path) if text is None else answer_array(document, text, path)
+    held = F.to_json(document) if text is None else text
+    fields = answer_records(document, held, path, EVENT_FIELDS)
     if lenient:
-        held = json_value(document, path) if text is None else answer_value(document, text, path)
-        events = F.coalesce(events, json_array(parsed(held)))
-    fields = F.transform(
-        events, lambda e: F.struct(*[json_value(e, f"$.{name}").alias(name) for name in EVENT_FIELDS])
-    )
+        quoted = json_value(document, path) if text is None else answer_value(document, text, path)
+        fields = F.coalesce(fields, answer_records(parsed(quoted), quoted, "$", EVENT_FIELDS))
     return F.coalesce(F.array_sort(fields), F.array().cast("array<struct<event_date:string,event_description:string>>"))
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from statuslight.operators import documents, generation, reporting, retrieval
+from statuslight.operators import details, documents, generation, reporting, retrieval
 from statuslight.plans import engagement_details
 
 
@@ -50,3 +50,43 @@ def test_deals_without_chunks_and_failed_calls(spark, tmp_path):
     failed = engagement_details.extract_and_append(vectors, pending, failing, str(tmp_path / "details"))
     assert {r.deal_id for r in failed.collect()} == {1} and failed.count() == 3
     assert [r.deal_id for r in spark.read.parquet(str(tmp_path / "details")).collect()] == [2]
+
+
+def test_repeated_keys_below_the_top_cost_nothing(spark):
+    text = (
+        '{"overall_status":"RED","month_timeline":[{"event_date":"b","event_date":"x","event_description":"one"},'
+        '{"event_date":"a","event_description":["nested"]},{"event_description":"[two]","event_description":2}]}'
+    )
+    row = reporting.parse_status(spark.createDataFrame([(1, text)], "id int, answer string"), "answer", ["id"]).first()
+    assert [tuple(e) for e in row.month_timeline_events] == [(None, "[two]"), ("a", None), ("b", "one")]
+    listed = '[{"objective_number":1,"objective_number":2,"objective_details":"{x} y"},{"objective_number":"3","objective_details":{"a":1}}]'
+    rows = spark.createDataFrame([(1, listed, '{"Background":"[b]","Background":"c","Solution":{"s":1}}', None)], "deal_id int, objectives string, summary string, deliverables string")
+    found = details.parse_details(rows).first()
+    assert [(o.objective_number, o.objective_details) for o in found.objectives] == [("1", "{x} y"), ("3", None)]
+    assert (found.background, found.solution, found.deliverables) == ("[b]", None, [])
+
+
+def test_a_chunk_that_repeats_a_key_keeps_its_content(spark):
+    result = '{"chunkedDocument":{"chunks":[{"chunkId":"c1","content":"[1] text","content":"x","pageSpan":{"pageStart":1,"pageEnd":2}},{"chunkId":"c2","content":"plain"}]}}'
+    rows = spark.createDataFrame([(1, result)], "deal int, ml_process_document_result string")
+    found = documents.parse_chunks(rows, ["deal"]).orderBy("id").collect()
+    assert [(r.id, r.content, r.page_span_end) for r in found] == [("c1", "[1] text", "2"), ("c2", "plain", None)]
+
+
+def test_a_text_that_begins_with_a_bracket_is_kept(spark):
+    answers = ['{"overall_status":"RED","overall_status":"x","overall_rationale":"[late] vendor"}', '{"overall_status":"RED","overall_status":"x","overall_rationale":["late"]}',
+               '{"overall_status":"RED","overall_status":"x","overall_rationale":"{late"}', '{"overall_status":"RED","overall_status":"x","overall_rationale":{"a":1}}']
+    rows = spark.createDataFrame(list(enumerate(answers)), "id int, answer string")
+    found = {r.id: r.overall_rag_status_reason for r in reporting.parse_status(rows, "answer", ["id"]).collect()}
+    assert found == {0: "[late] vendor", 1: None, 2: "{late", 3: None}
+
+
+def test_a_failed_embedding_says_why(spark):
+    def refusing():
+        def embed(contents):
+            raise RuntimeError("refused")
+        return embed
+
+    df = spark.createDataFrame([("a",), (None,)], "content string")
+    found = {r.content: r for r in generation.generate_embedding(df, refusing, retries=0, wait=0.0).collect()}
+    assert found["a"][generation.EMBEDDING] is None and "refused" in found["a"][generation.STATUS] and found[None][generation.STATUS] == "no input"
