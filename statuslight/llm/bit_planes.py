@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import functools
+import math
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -20,8 +24,15 @@ from statuslight.llm.common import Scratch, id_and_text, partitions
 BLOCK_IDS = 65_536
 END_ID = 1
 MAGIC = b"IDP1"
-#: words whose ids a worker remembers
-REMEMBERED = 600_000
+#: words whose ids a worker remembers, and words encoded in one call
+REMEMBERED, LEARNED = 600_000, 50_000
+# fixed values: the tokenizer's own pattern for words of these characters, which neither compose nor change their number
+PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+").findall
+#: characters of texts that are split together
+SPLIT_CHARS = 1 << 20
+#: bytes of text that a shard holds, about
+SHARD_BYTES = 256 << 20
 
 INDEX = "shard int, chunk int, first bigint, n_ids int, first_doc bigint, doc_ids array<bigint>, doc_sizes array<int>, payload binary"
 
@@ -60,30 +71,93 @@ def unpack_block(block: bytes) -> np.ndarray:
     return (np.packbits(raw, axis=1, bitorder="little") if bit else raw).reshape(-1).view("<u4")
 
 
-class Words(dict):
-    """Ids of words as little-endian bytes. Words are what ASCII blanks and line ends separate.
+class Runs:
+    """Sequences of numbers, kept one after another."""
+
+    def __init__(self):
+        self.flat, self.first, self.size = np.zeros(1 << 16, "<u4"), np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int64)
+        self.held = self.many = 0
+
+    def append(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        held, many = self.held + len(flat), self.many + len(sizes)
+        self.flat, self.first, self.size = _grown(self.flat, held), _grown(self.first, many), _grown(self.size, many)
+        self.flat[self.held : held] = flat
+        self.first[self.many : many] = self.held + np.cumsum(sizes) - sizes
+        self.size[self.many : many] = sizes
+        self.held, self.many = held, many
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences at these places, one after another, and their sizes."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        whole = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.first[at] - (ends - size), size) + np.arange(whole)], size
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+
+
+class Words:
+    """Ids of texts by their words, which are what ASCII white space separates.
 
     The tokenizer drops white space and never joins characters across it, so a text's
-    ids are those of its words in turn.
+    ids are those of its words in turn. A word of plain letters, digits and signs is cut
+    further as the tokenizer cuts it (lower case; contractions, runs of letters, single
+    digits, runs of signs), and its ids are those of these units. Each different word of a
+    batch is looked up once; units and other words not met before are encoded in one call.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        from tokenizers.pre_tokenizers import ByteLevel
+
         self.tokenizer = Tokenizer.from_file(path)
+        # for units, which are lower-cased and cut already
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer, self.bare.pre_tokenizer = None, ByteLevel(add_prefix_space=False, use_regex=False)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.words = Runs()
+        self.unit_place: dict[str, int] = {}
+        self.units = Runs()
+
+    def _learn(self, words: list[str]) -> None:
+        if max(len(self.place), len(self.unit_place)) > REMEMBERED:
+            self._forget()
+        new = [w for w in words if w not in self.place]
+        # a word that is not plain stays whole, with a sign in front that no unit begins with
+        cut = [UNITS(w.lower()) if PLAIN(w) and "<|" not in w else (" " + w,) for w in new]
+        fresh = set(chain.from_iterable(cut)).difference(self.unit_place)
+        whole = [u for u in fresh if u[0] == " "]
+        for tokenizer, listed in ((self.tokenizer, whole), (self.bare, list(fresh.difference(whole)))):
+            for at in range(0, len(listed), LEARNED):
+                part = listed[at : at + LEARNED]
+                found = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                self.unit_place.update(zip(part, range(self.units.many, self.units.many + len(part)), strict=True))
+                self.units.append(np.fromiter(chain.from_iterable(found), "<u4", int(sizes.sum())), sizes)
+        many = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(self.unit_place.__getitem__, chain.from_iterable(cut)), np.int64, int(many.sum()))
+        ids, sizes = self.units.take(at)
+        self.place.update(zip(new, range(self.words.many, self.words.many + len(new)), strict=True))
+        whole = np.r_[0, np.cumsum(sizes)]
+        stops = np.cumsum(many)
+        self.words.append(ids, whole[stops] - whole[stops - many])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self) > REMEMBERED:
-            self.clear()
-        new = list(set().union(*split).difference(self))
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[word] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        listed = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(listed)
+        at = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[words.indices.to_numpy()]
+        ids, sizes = self.words.take(at)
+        stops = np.r_[0, np.cumsum(sizes)][np.cumsum(split.value_lengths().to_numpy())]
+        return [ids[i:j].tobytes() for i, j in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
 
 @functools.cache
@@ -91,6 +165,20 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[str]]]:
+    """Rows of a batch, ``SPLIT_CHARS`` characters at a time; a longer text comes alone."""
+    ids, texts, held = [], [], 0
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        if texts and held + len(text) > SPLIT_CHARS:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+        ids.append(doc_id)
+        texts.append(text)
+        held += len(text)
+    if texts:
+        yield ids, texts
+
+
 def _shards(path: str, planes: str, block_ids: int):
     """Encode the documents of a shard in order and cut their ids into chunks."""
 
@@ -110,9 +198,8 @@ def _shards(path: str, planes: str, block_ids: int):
         words, end = _words(path), np.array([END_ID], "<u4").tobytes()
         ids, docs, held, number, first, ordinal, first_doc = [], [], 0, 0, 0, 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, found in zip(part.column("doc_id").to_pylist(), words.encode(part.column("text").to_pylist()), strict=True):
+            for doc_ids, texts in _parts(batch):
+                for doc_id, found in zip(doc_ids, words.encode(texts), strict=True):
                     found += end
                     while found:
                         take = found[: 4 * (block_ids - held)]
@@ -136,13 +223,16 @@ def write_ids(
 ) -> DataFrame:
     """The chunks of all documents in ascending doc_id order, written and read as a table.
 
-    Documents are range-partitioned into shards by doc_id; a shard's chunks are its ids
+    Documents are range-partitioned into shards by doc_id, as many as the shuffle has
+    partitions or as ``SHARD_BYTES`` of text each ask for, if that is more; a shard's chunks are its ids
     in order, ``block_ids`` each, every document closed by ``END_ID``. A chunk row is its
     own index entry: shard, chunk, position of its first id in the shard, number of ids,
     its documents and how many of their ids it holds. Rows without an id take no part, a
     null text is empty, rows that repeat an id are ordered by text.
     """
-    rows = id_and_text(documents).repartitionByRange(partitions(documents.sparkSession), "doc_id")
+    rows = id_and_text(documents)
+    whole = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    rows = rows.repartitionByRange(max(partitions(documents.sparkSession), math.ceil(whole / SHARD_BYTES)), "doc_id")
     ordered = rows.sortWithinPartitions("doc_id", "text")
     return scratch.write(ordered.mapInArrow(_shards(tokenizer_path, planes, block_ids), INDEX), "chunks")
 

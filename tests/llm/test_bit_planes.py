@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from statuslight.llm import bit_planes as bp
@@ -56,3 +58,19 @@ def test_a_range_reads_some_chunks(spark):
     assert (bp.read_range(chunks, 0, 5, 40) == whole[5:40]).all()
     assert len(bp.read_range(chunks, 0, 10**6, 10**6 + 5)) == 0
     assert len(AWKWARD) > 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aBzÀéßÿñ×÷ 0¹²9'sTrElLvVmMd.,!|<>\t\n\x0b\x1c\x85\xa0\u0301\u0130\u03a3ｓ½") | st.characters(exclude_categories=["Cs"]), max_size=25), min_size=1, max_size=4))
+def test_words_and_units_give_the_ids_of_whole_texts(texts):
+    words = bp._words(PATH)
+    wanted = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in words.encode(texts)] == wanted
+
+
+def test_many_words_are_forgotten_without_change(monkeypatch):
+    monkeypatch.setattr(bp, "REMEMBERED", 5)
+    monkeypatch.setattr(bp, "LEARNED", 3)
+    words, texts = bp.Words(PATH), [" ".join(f"Word{i * j}'s end." for i in range(9)) for j in range(8)]
+    for text in texts:
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
