@@ -246,8 +246,12 @@ def fit_languages(documents: DataFrame, pieces: list[str], rows_per_language: in
     if not names:
         return Languages([], prior, pieces, np.zeros((len(pieces) + 1, 0)))
     number = {name: k for k, name in enumerate(names)}
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(first)).where(F.col("place") <= rows_per_language)
+    first = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    # a share of each language that holds enough rows for sure, so that no language is sorted whole in one task
+    share = spark.createDataFrame([(n, min(1.0, (2 * rows_per_language + 200) / shares[n])) for n in names], "lang string, share double")
+    few = usable.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("hash")).join(F.broadcast(share), "lang")  # a row per language
+    few = few.where(F.col("hash") <= F.col("share") * float(1 << 40))
+    ids = few.withColumn("place", F.row_number().over(first)).where(F.col("place") <= rows_per_language)
     chosen = usable.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])  # bounded by the sample
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,7 +335,7 @@ class Scorer:
             self.place, self.logs = {}, self.logs[:0]
         split = pc.utf8_split_whitespace(pa.array(parts, pa.string()))
         words = split.flatten().dictionary_encode()
-        listed = words.dictionary.to_pylist()
+        listed = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [w for w in listed if w not in self.place]
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
         logs = word_logs(new, self.trie, self.model.table)
