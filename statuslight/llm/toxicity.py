@@ -23,6 +23,8 @@ BUCKETS = 1 << 18
 FOLDS = 3
 #: documents that a word has to occur in, and the least gap of its shares in and out of a category
 LEAST_DOCUMENTS, LEAST_GAP = 3, 4.0
+#: documents of a category count so many times, as they are fewer
+INSIDE = 2.0
 
 # fixed values: words that mark the narrower categories of toxic texts
 CATEGORY_WORDS = {
@@ -106,11 +108,12 @@ def fit_linear(rows: Rows, earlier: np.ndarray, y: np.ndarray, steps: int = 400,
     columns = np.hstack([earlier, np.ones((len(y), 1))])
     w, v = np.zeros(len(use)), np.r_[np.zeros(earlier.shape[1]), constant]
     most = np.bincount(owner, minlength=len(y)).max(initial=0) + columns.shape[1]
-    rate = 4.0 / (most * len(y)) * min(len(y), 40)
+    rate = 4.0 / (most * len(y)) * min(len(y), 40) / INSIDE
+    counts = np.where(y > 0, INSIDE, 1.0)
     aw, av, t = w, v, 1.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, aw[item], len(y)) + columns @ av, -30, 30)))
-        gap = p - y
+        gap = (p - y) * counts
         new_w = aw - rate * (np.bincount(item, gap[owner], len(use)) + penalty * aw)
         new_v = av - rate * (columns.T @ gap + penalty * np.r_[av[:-1], 0.0])
         s = (1 + np.sqrt(1 + 4 * t * t)) / 2
