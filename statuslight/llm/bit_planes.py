@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import math
 import os
 import re
@@ -195,6 +196,13 @@ def _shards(path: str, planes: str, block_ids: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here holds itself, and looking through the words met again and again takes an eighth of the time
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = _words(path), np.array([END_ID], "<u4").tobytes()
         ids, docs, held, number, first, ordinal, first_doc = [], [], 0, 0, 0, 0, 0
         for batch in batches:
