@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +23,14 @@ WORD = re.compile("▁+[^▁]*")
 BLOCK_BYTES = 8 << 20
 #: an unknown character scores this much below the worst piece
 UNKNOWN = 10.0
+#: code of an unknown character: this plus its code point
+UNKNOWN_CODE = 1 << 23
+#: ends of a word that share a row before substrings are exploded
+WINDOW = 64
+#: edges, and ends, that are folded before the state is cut back
+SLICE = 1024
+#: words whose lattice one task holds
+PART_WORDS = 20_000
 
 
 @dataclass
@@ -54,6 +61,10 @@ class Pieces:
         pairs = frozenset(piece[i : i + 2] for piece, _, _ in rows for i in range(len(piece) - 1))
         return cls(rows, byte_ids, pairs, max(len(r[0]) for r in rows), min(r[2] for r in rows))
 
+    def shown(self) -> dict[int, bytes]:
+        """What each id decodes to."""
+        return {i: piece.encode() for piece, i, _ in self.rows} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "piece string, id int, score double")
 
@@ -132,113 +143,152 @@ def _unpacked(payload: bytes) -> tuple[np.ndarray, list[str]]:
     return ids, [whole[e - s : e].decode() for s, e in zip(sizes, ends, strict=True)]
 
 
-def _words_of(pairs: frozenset[str]):
+def _distinct_words(texts: list[str]) -> list[str]:
+    """The distinct words of all texts in order of appearance, which is the same in every run."""
+    words: dict[str, None] = {}
+    for text in texts:
+        words.update(dict.fromkeys(words_of(text)))
+    return list(words)
+
+
+def _segments_of(pairs: frozenset[str]):
+    """The distinct segments of every block, numbered from 0 in order of appearance."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Cutter(pairs)
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-                words: set[str] = set()
-                for text in _unpacked(payload)[1]:
-                    words.update(words_of(text))
-                listed = list(set(cut([BLANK + word for word in words])[0]))
+                words = _distinct_words(_unpacked(payload)[1])
+                listed = list(dict.fromkeys(cut([BLANK + word for word in words])[0]))
                 for at in range(0, len(listed), 50_000):
                     part = listed[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(part)), pa.array(part)], ["block", "word"]
+                        [pa.array([block] * len(part)), pa.array(range(at, at + len(part)), pa.int32()), pa.array(part)],
+                        ["block", "place", "word"],
                     )
 
     return run
 
 
-def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, path`` of every distinct word: the ids of the best-scoring sequence of pieces.
+def lattice(words: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
+    """``word, path`` of distinct numbered words (``number, word``): the codes of the best-scoring sequence of pieces.
 
-    Substrings up to the longest piece are exploded and joined to the piece table, whose
-    size is that of the vocabulary. A character that is no piece keeps an edge with id
-    null and the score of an unknown. The edges of a word are gathered where the word is
-    and folded in order of their ends: the fold keeps, for every end, the best edge and
-    its total. Of equal totals the edge that starts first wins. A second fold walks back
-    from the end. Words without characters have no path.
+    A code is a piece's id, or ``UNKNOWN_CODE`` plus the code point of a character that is
+    no piece; that has the score of an unknown. Words are cut into windows of starts, so
+    that a row of the lattice never carries a long word. Substrings up to the longest piece
+    are exploded and joined to the piece table, whose size is that of the vocabulary. The
+    edges of a word are gathered where the word's number is: the number, the end, the size
+    and the code are two integers. They are folded in order of their ends; the fold keeps
+    the best edge and its total for every end, of equal totals the edge that starts first.
+    It runs over slices of the edges and carries the totals that the next slice can reach,
+    and so does the walk back from the end, so the work grows with the length of a word,
+    not with its square. Words without characters have no path.
     """
-    spark = words.sparkSession
-    # the words of one partition stay there: explode, broadcast join and grouping keep the partitioning
-    starts = words.where(F.length("word") > 0).select("word", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("start"))
-    spans = starts.select(
-        "word", "start", F.explode(F.expr(f"sequence(1, least({pieces.longest}, length(word) - start))")).alias("size")
-    ).select("word", "start", (F.col("start") + F.col("size")).alias("end"), F.expr("substring(word, start + 1, size)").alias("piece"))
-    met = spans.join(F.broadcast(pieces.frame(spark)), "piece", "left")
-    edges = met.where(F.col("id").isNotNull() | (F.col("end") == F.col("start") + 1)).select(
-        "word", F.struct("end", "start", F.coalesce("score", F.lit(pieces.worst - UNKNOWN)).alias("score"), "id").alias("edge")
-    )
-    gathered = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    best = "struct<total:double,start:int,id:int>"
-    # fold: `done` holds the best edge of every finished end, `now` that of the end in work
+    spark, longest = words.sparkSession, pieces.longest
+    if longest > 255 or max(i for _, i, _ in pieces.rows) >= UNKNOWN_CODE:
+        raise ValueError("pieces are too long or too many for the packed edges")
+    # everything up to the grouping keeps the partitioning by number
+    numbered = words.where(F.length("word") > 0).repartition(partitions, "number")
+    windows = numbered.select("number", F.explode(F.expr(f"""
+        transform(sequence(0, length(word) - 1, {WINDOW}), at -> named_struct(
+            'at', at, 'part', substring(word, greatest(at - {longest} + 1, 0) + 1, {WINDOW} + least(at, {longest} - 1)),
+            'word', if(at = 0, word, null)))""")).alias("w")).select("number", "w.*")
+    # `first` is the place in the window's part where its first end lies
+    ends = windows.withColumn("first", F.expr(f"least(at, {longest} - 1) + 1")).select(
+        "number", "at", "part", "word", "first", F.explode(F.expr("sequence(first, length(part))")).alias("stop"))
+    spans = ends.select("number", F.when(F.col("stop") == 1, F.col("word")).alias("word"), F.expr("at + stop - first + 1").alias("end"),
+                        "part", "stop", F.explode(F.expr(f"sequence(least(stop, {longest}), 1, -1)")).alias("size"))
+    pieces_at = spans.select("number", "word", "end", "size", F.expr("substring(part, stop - size + 1, size)").alias("piece"))
+    met = pieces_at.join(F.broadcast(pieces.frame(spark)), "piece", "left").where(F.col("id").isNotNull() | (F.col("size") == 1))
+    code = F.coalesce(F.col("id"), F.ascii("piece") + UNKNOWN_CODE).cast("bigint")
+    key = F.shiftleft(F.col("end").cast("bigint"), 32) + F.shiftleft((255 - F.col("size")).cast("bigint"), 24) + code
+    edges = met.select("number", "word", F.struct(key.alias("key"), F.coalesce("score", F.lit(pieces.worst - UNKNOWN)).alias("score")).alias("edge"))
+    gathered = edges.groupBy("number").agg(F.first("word", ignorenulls=True).alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    best = "struct<total:double,edge:bigint>"
+    end, size = "cast(shiftright(e.key, 32) as int)", "(255 - cast(shiftright(e.key, 24) & 255 as int))"
+    # `done` holds the best edges of finished ends, the first of them end `from` + 1; `now` that of the end in work
+    before = f"""if({end} = {size}, 0D, if({end} - {size} = s.end, s.now.total, get(s.done, {end} - {size} - s.from - 1).total))"""
+    step = f"""
+        named_struct('done', if({end} = s.end or s.now is null, s.done, concat(s.done, array(s.now))), 'from', s.from, 'end', {end},
+            'now', if({end} = s.end and s.now.total >= e.score + {before}, s.now,
+                      named_struct('total', e.score + {before}, 'edge', e.key)))"""
     fold = f"""
-        aggregate(edges,
-            named_struct('done', cast(array() as array<{best}>), 'end', 0, 'now', cast(null as {best})),
-            (s, e) -> named_struct(
-                'done', if(e.end = s.end or s.now is null, s.done, concat(s.done, array(s.now))),
-                'end', e.end,
-                'now', if(e.end = s.end and s.now.total >= e.score + if(e.start = 0, 0D,
-                              get(if(e.end = s.end, s.done, concat(s.done, array(s.now))), e.start - 1).total),
-                          s.now,
-                          named_struct('total', e.score + if(e.start = 0, 0D,
-                              get(if(e.end = s.end, s.done, concat(s.done, array(s.now))), e.start - 1).total),
-                              'start', e.start, 'id', e.id))),
-            s -> concat(s.done, array(s.now)))
+        aggregate(sequence(0, (size(edges) - 1) div {SLICE}),
+            named_struct('state', named_struct('done', cast(array() as array<{best}>), 'from', 0, 'end', 0, 'now', cast(null as {best})),
+                         'parts', cast(array() as array<array<bigint>>)),
+            (whole, k) -> aggregate(slice(edges, cast(k * {SLICE} + 1 as int), {SLICE}), whole.state, (s, e) -> {step},
+                s -> named_struct(
+                    'state', named_struct(
+                        'done', slice(s.done, greatest(size(s.done) - {longest}, 0) + 1, {longest}),
+                        'from', s.from + greatest(size(s.done) - {longest}, 0), 'end', s.end, 'now', s.now),
+                    'parts', concat(whole.parts, array(transform(
+                        slice(s.done, size(whole.state.done) + 1, size(s.done)), d -> d.edge))))),
+            whole -> concat(flatten(whole.parts), array(whole.state.now.edge)))
     """
-    walk = """
-        aggregate(sequence(size(best), 1, -1),
-            named_struct('at', size(best), 'path', cast(array() as array<struct<start:int,end:int,id:int>>)),
-            (s, k) -> if(k = s.at,
-                named_struct('at', best[k - 1].start,
-                    'path', concat(array(named_struct('start', best[k - 1].start, 'end', k, 'id', best[k - 1].id)), s.path)),
-                s),
-            s -> s.path)
+    walk = f"""
+        aggregate(sequence(0, (size(best) - 1) div {SLICE}),
+            named_struct('at', size(best), 'parts', cast(array() as array<array<int>>)),
+            (whole, c) -> aggregate(
+                sequence(cast(size(best) - c * {SLICE} as int), cast(greatest(size(best) - (c + 1) * {SLICE} + 1, 1) as int), -1),
+                named_struct('at', whole.at, 'path', cast(array() as array<int>)),
+                (s, k) -> if(k = s.at,
+                    named_struct('at', k - (255 - cast(shiftright(best[k - 1], 24) & 255 as int)),
+                                 'path', concat(s.path, array(cast(best[k - 1] & 16777215 as int)))),
+                    s),
+                s -> named_struct('at', s.at, 'parts', concat(whole.parts, array(s.path)))),
+            whole -> reverse(flatten(whole.parts)))
     """
     return gathered.select("word", F.expr(fold).alias("best")).select("word", F.expr(walk).alias("path"))
 
 
-def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, ids`` with unknown characters as the ids of their UTF-8 bytes."""
+def encoded_words(words: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
+    """``word, ids`` of distinct numbered words, with unknown characters as the ids of their UTF-8 bytes."""
     table = F.array(*[F.lit(i) for i in pieces.byte_ids])
-    known = F.expr("flatten(transform(path, e -> if(e.id is not null, array(e.id), "
-                   "transform(sequence(1, octet_length(substring(word, e.start + 1, 1))), k -> table["
-                   "cast(conv(substring(hex(encode(substring(word, e.start + 1, 1), 'UTF-8')), 2 * k - 1, 2), 16, 10) as int)]))))")
-    return lattice(words, pieces).withColumn("table", table).select("word", known.alias("ids"))
+    byte = "table[{} + (shiftright(c, {}) & 63)]".format
+    known = F.expr(f"""
+        if(exists(path, c -> c >= {UNKNOWN_CODE}), flatten(transform(transform(path, p -> named_struct('p', p, 'c', p - {UNKNOWN_CODE})), x ->
+            case when x.c < 0 then array(x.p)
+                 when x.c < 128 then array(table[x.c])
+                 when x.c < 2048 then array(table[192 + shiftright(x.c, 6)], {byte(128, 0)})
+                 when x.c < 65536 then array(table[224 + shiftright(x.c, 12)], {byte(128, 6)}, {byte(128, 0)})
+                 else array(table[240 + shiftright(x.c, 18)], {byte(128, 12)}, {byte(128, 6)}, {byte(128, 0)}) end)), path)
+    """.replace("shiftright(c,", "shiftright(x.c,"))
+    return lattice(words, pieces, partitions).withColumn("table", table).select("word", known.alias("ids"))
 
 
-def _apply(pairs: frozenset[str]):
-    """Encode the texts of a block with the paths of its words."""
+def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
+    """Encode the texts of a block with the paths of its segments, and decode the ids of each row again."""
 
     def run(block: pa.Table, replies: pa.Table) -> pa.Table:
-        out_id, out_ids, out_n, out_hash = [], [], [], []
-        known = {}
+        out_id, out_ids, out_n, out_crc, out_same = [], [], [], [], []
         ids = replies.column("ids").combine_chunks()
-        flat, offsets = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))].astype(int)
-        for i, word in enumerate(replies.column("word").to_pylist()):
-            known[word] = flat[offsets[i] : offsets[i + 1]].tobytes()
+        flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+        ends = np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        known, begin = [b""] * len(ends), 0
+        for place, end in zip(replies.column("place").to_pylist(), ends, strict=True):
+            known[place] = flat[begin:end].tobytes()
+            begin = end
         cut = Cutter(pairs)
         for payload in block.column("payload").to_pylist():
             numbers, texts = _unpacked(payload)
-            distinct: set[str] = set()
-            for text in texts:
-                distinct.update(words_of(text))
-            words = list(distinct)
-            del distinct
-            parts, ends = cut([BLANK + word for word in words])
+            words = _distinct_words(texts)
+            parts, stops = cut([BLANK + word for word in words])
+            answers = dict(zip(dict.fromkeys(parts), known, strict=True))
             table, begin = {}, 0
-            for word, end in zip(words, ends.tolist(), strict=True):
-                table[word] = known[parts[begin]] if end == begin + 1 else b"".join([known[s] for s in parts[begin:end]])
-                begin = end
+            for word, stop in zip(words, stops.tolist(), strict=True):
+                table[word] = answers[parts[begin]] if stop == begin + 1 else b"".join([answers[s] for s in parts[begin:stop]])
+                begin = stop
+            del words, parts, answers
             for doc_id, text in zip(numbers, texts, strict=True):
-                ids = b"".join(map(table.__getitem__, words_of(text)))
+                encoded = b"".join(map(table.__getitem__, words_of(text)))
+                back = _decoded(np.frombuffer(encoded, "<u4"), shown)
                 out_id.append(int(doc_id))
-                out_ids.append(ids)
-                out_n.append(len(ids) // 4)
-                out_hash.append(hashlib.sha256(text.encode()).hexdigest())
-        return pa.table({"doc_id": pa.array(out_id, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()),
-                         "ids": pa.array(out_ids, pa.binary()), "source_sha256": pa.array(out_hash, pa.string())})
+                out_ids.append(encoded)
+                out_n.append(len(encoded) // 4)
+                out_crc.append(zlib.crc32(back.encode()))
+                out_same.append(back == text)
+        return pa.table({"doc_id": pa.array(out_id, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()), "ids": pa.array(out_ids, pa.binary()),
+                         "text_crc32": pa.array(out_crc, pa.int64()), "round_trip": pa.array(out_same, pa.bool_())})
 
     return run
 
@@ -247,27 +297,28 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
     """``doc_id, n_tokens, ids, text_crc32, round_trip`` of every row with an id.
 
     ``ids`` are little-endian unsigned 32-bit integers in one binary value (see
-    ``id_arrays``). Every row is decoded again: ``text_crc32`` is the checksum of the text
-    that ``decode`` returns, and ``round_trip`` says that this is the text of the row. It
-    is false for texts that hold the blank sign U+2581, which decodes to a blank. A null
-    or empty text has no ids. Repeated rows and ids are encoded and decoded each, other
-    columns are ignored.
+    ``id_arrays``). Every row is decoded again from its ids, as ``decode`` does it:
+    ``text_crc32`` is the checksum of the decoded text, and ``round_trip`` says that this
+    is the text of the row. It is false for texts that hold the blank sign U+2581, which
+    decodes to a blank. A null or empty text has no ids. Repeated rows and ids are encoded
+    and decoded each, other columns are ignored.
 
     Texts are written in compressed blocks; the distinct segments of each block ask for
-    their paths, which the lattice finds once for every distinct segment of the corpus.
-    The answers of a block come back to it: no dictionary is larger than its block.
+    their paths by their place in it, which the lattice finds once for every distinct
+    segment of the corpus. The answers of a block come back to it: no dictionary is larger
+    than its block.
     """
     scratch = Scratch(documents.sparkSession, "pieces")
     packed = id_and_text(documents).mapInArrow(_blocks(block_bytes), "block bigint, payload binary")
     blocks = scratch.write(packed, "blocks")
-    asked = blocks.mapInArrow(_words_of(pieces.pairs), "block bigint, word string")
-    paths = scratch.write(encoded_words(asked.select("word").distinct(), pieces), "paths")
-    replies = asked.join(paths, "word").select("block", "word", "ids")
-    encoded = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _apply(pieces.pairs), "doc_id bigint, n_tokens bigint, ids binary, source_sha256 string"
+    asked = scratch.write(blocks.mapInArrow(_segments_of(pieces.pairs), "block bigint, place int, word string"), "asked")
+    # written, so that a number means the same word in every attempt of a task
+    words = scratch.write(asked.select("word").distinct().select(F.monotonically_increasing_id().alias("number"), "word"), "words")
+    paths = scratch.write(encoded_words(words, pieces, 1 + words.count() // PART_WORDS), "paths")
+    replies = asked.join(paths, "word").select("block", "place", "ids")
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        _apply(pieces.pairs, pieces.shown()), "doc_id bigint, n_tokens bigint, ids binary, text_crc32 bigint, round_trip boolean"
     )
-    same = F.sha2(F.col("text").cast("binary"), 256) == F.col("source_sha256")
-    return decode(encoded, pieces).select("doc_id", "n_tokens", "ids", F.crc32("text").alias("text_crc32"), same.alias("round_trip"))
 
 
 def id_arrays(encoded: DataFrame) -> DataFrame:
@@ -296,7 +347,7 @@ def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     Byte pieces give their byte. The blank put in front is removed, blank signs become
     blanks. A null or empty sequence gives an empty text, an unknown id raises an error.
     """
-    shown = {i: piece.encode() for piece, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
+    shown = pieces.shown()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

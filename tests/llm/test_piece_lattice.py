@@ -99,3 +99,17 @@ def test_repeated_ids_and_blank_signs(spark, awkward, pieces):
     assert found == sorted((i, zlib.crc32(b.encode()), b == (t or "")) for (i, t), b in zip(rows, back, strict=True))
     kept = {(r.doc_id, r.round_trip) for r in pl.encode(awkward, pieces).collect()}
     assert kept == {(i, i != 17) for i, _ in AWKWARD if i is not None}
+
+
+def test_long_unbroken_words(spark, pieces):
+    """Paths across windows and slices, with unknown characters of one to four bytes."""
+    rng = np.random.default_rng(3)
+    letters = [*"etaoinshrdlu", "é", "𝄞", "ÿ", "\x01", "漢", "𐍈"]
+    rows = [(n, "".join(rng.choice(letters, n))) for n in (63, 64, 65, 128, 129, 1500, 3000)]
+    rows += [(5000, "ab" * 2500), (5001, "e" * 5001), (90_000, "".join(rng.choice([*"etaoinshrdlu"], 90_000)))]
+    found = {r.doc_id: r for r in pl.encode(spark.createDataFrame(rows, "doc_id bigint, text string"), pieces).collect()}
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        assert found[doc_id].round_trip and found[doc_id].text_crc32 == zlib.crc32(text.encode())
+        if doc_id < 6000:
+            assert np.frombuffer(found[doc_id].ids, "<u4").tolist() == viterbi(text, pieces), doc_id
