@@ -48,6 +48,14 @@ class Scratch:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_buckets(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+        """A table in buckets of ``key``, which is not shuffled when it is grouped or joined by it in as many partitions."""
+        entry = f"scratch_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, key).option("path", f"{self.root}/{name}").format("parquet").saveAsTable(entry)
+        found = self.spark.table(entry)
+        self.spark.sql(f"DROP TABLE {entry}")  # the entry of the catalog; the files stay
+        return found
+
     def drop(self, name: str) -> None:
         """Remove a table of this operator that no later step reads."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")

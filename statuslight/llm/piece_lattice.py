@@ -11,11 +11,12 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from statuslight.llm.common import Scratch, id_and_text
+from statuslight.llm.common import Scratch, id_and_text, partitions
 
 BLANK = "▁"
 WORD = re.compile("▁+[^▁]*")
@@ -31,6 +32,8 @@ WINDOW = 64
 SLICE = 1024
 #: words whose lattice one task holds
 PART_WORDS = 20_000
+#: blocks that are looked through for common segments, and how many of these every task may hold
+COMMON_BLOCKS, COMMON = 8, 150_000
 
 
 @dataclass
@@ -151,15 +154,15 @@ def _distinct_words(texts: list[str]) -> list[str]:
     return list(words)
 
 
-def _segments_of(pairs: frozenset[str]):
-    """The distinct segments of every block, numbered from 0 in order of appearance."""
+def _segments_of(pairs: frozenset[str], common: Broadcast | None = None):
+    """The distinct segments of every block that are not common, numbered from 0 in order of appearance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Cutter(pairs)
+        cut, held = Cutter(pairs), common.value if common else {}
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist(), strict=True):
                 words = _distinct_words(_unpacked(payload)[1])
-                listed = list(dict.fromkeys(cut([BLANK + word for word in words])[0]))
+                listed = [s for s in dict.fromkeys(cut([BLANK + word for word in words])[0]) if s not in held]
                 for at in range(0, len(listed), 50_000):
                     part = listed[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays(
@@ -170,7 +173,7 @@ def _segments_of(pairs: frozenset[str]):
     return run
 
 
-def lattice(words: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
+def lattice(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
     """``word, path`` of distinct numbered words (``number, word``): the codes of the best-scoring sequence of pieces.
 
     A code is a piece's id, or ``UNKNOWN_CODE`` plus the code point of a character that is
@@ -188,7 +191,7 @@ def lattice(words: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
     if longest > 255 or max(i for _, i, _ in pieces.rows) >= UNKNOWN_CODE:
         raise ValueError("pieces are too long or too many for the packed edges")
     # everything up to the grouping keeps the partitioning by number
-    numbered = words.where(F.length("word") > 0).repartition(partitions, "number")
+    numbered = words.where(F.length("word") > 0).repartition(tasks, "number")
     windows = numbered.select("number", F.explode(F.expr(f"""
         transform(sequence(0, length(word) - 1, {WINDOW}), at -> named_struct(
             'at', at, 'part', substring(word, greatest(at - {longest} + 1, 0) + 1, {WINDOW} + least(at, {longest} - 1)),
@@ -241,7 +244,7 @@ def lattice(words: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
     return gathered.select("word", F.expr(fold).alias("best")).select("word", F.expr(walk).alias("path"))
 
 
-def encoded_words(words: DataFrame, pieces: Pieces, partitions: int) -> DataFrame:
+def encoded_words(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
     """``word, ids`` of distinct numbered words, with unknown characters as the ids of their UTF-8 bytes."""
     table = F.array(*[F.lit(i) for i in pieces.byte_ids])
     byte = "table[{} + (shiftright(c, {}) & 63)]".format
@@ -253,13 +256,14 @@ def encoded_words(words: DataFrame, pieces: Pieces, partitions: int) -> DataFram
                  when x.c < 65536 then array(table[224 + shiftright(x.c, 12)], {byte(128, 6)}, {byte(128, 0)})
                  else array(table[240 + shiftright(x.c, 18)], {byte(128, 12)}, {byte(128, 6)}, {byte(128, 0)}) end)), path)
     """.replace("shiftright(c,", "shiftright(x.c,"))
-    return lattice(words, pieces, partitions).withColumn("table", table).select("word", known.alias("ids"))
+    return lattice(words, pieces, tasks).withColumn("table", table).select("word", known.alias("ids"))
 
 
-def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
+def _apply(pairs: frozenset[str], shown: dict[int, bytes], common: Broadcast):
     """Encode the texts of a block with the paths of its segments, and decode the ids of each row again."""
 
     def run(block: pa.Table, replies: pa.Table) -> pa.Table:
+        held = common.value
         out_id, out_ids, out_n, out_crc, out_same = [], [], [], [], []
         ids = replies.column("ids").combine_chunks()
         flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
@@ -273,7 +277,9 @@ def _apply(pairs: frozenset[str], shown: dict[int, bytes]):
             numbers, texts = _unpacked(payload)
             words = _distinct_words(texts)
             parts, stops = cut([BLANK + word for word in words])
-            answers = dict(zip(dict.fromkeys(parts), known, strict=True))
+            answers = dict.fromkeys(parts)
+            answers.update(zip([s for s in answers if s not in held], known, strict=True))
+            answers.update((s, held[s]) for s, path in answers.items() if path is None)
             table, begin = {}, 0
             for word, stop in zip(words, stops.tolist(), strict=True):
                 table[word] = answers[parts[begin]] if stop == begin + 1 else b"".join([answers[s] for s in parts[begin:stop]])
@@ -305,22 +311,39 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
 
     Texts are written in compressed blocks; the distinct segments of each block ask for
     their paths by their place in it, which the lattice finds once for every distinct
-    segment of the corpus. The answers of a block come back to it: no dictionary is larger
-    than its block.
+    segment. The answers of a block come back to it, and the blocks, written in buckets,
+    do not move. Segments that are most common in ``COMMON_BLOCKS`` blocks, ``COMMON`` of
+    them at most, get their paths first; every task holds these, so nobody asks for them.
+    Which they are changes no result. No dictionary is larger than its block and these.
     """
-    scratch = Scratch(documents.sparkSession, "pieces")
+    spark = documents.sparkSession
+    scratch = Scratch(spark, "pieces")
     packed = id_and_text(documents).mapInArrow(_blocks(block_bytes), "block bigint, payload binary")
-    blocks = scratch.write(packed, "blocks")
-    asked = scratch.write(blocks.mapInArrow(_segments_of(pieces.pairs), "block bigint, place int, word string"), "asked")
-    # written, so that a number means the same word in every attempt of a task
-    words = scratch.write(asked.select("word").distinct().select(F.monotonically_increasing_id().alias("number"), "word"), "words")
-    paths = scratch.write(encoded_words(words, pieces, 1 + words.count() // PART_WORDS), "paths")
-    replies = asked.join(paths, "word").select("block", "place", "ids")
+    blocks = scratch.write_buckets(packed, "blocks", "block", partitions(spark))
+    pairs, asking = pieces.pairs, "block bigint, place int, word string"
+    looked = [r.block for r in blocks.select("block").orderBy(F.xxhash64("block"), "block").limit(COMMON_BLOCKS).collect()]
+    seen = blocks.where(F.col("block").isin(looked)).mapInArrow(_segments_of(pairs), asking).groupBy("word").count()
+    often = seen.orderBy(F.desc("count"), "word").limit(COMMON).select("word")
+    first = _paths(scratch, "common", often, pieces).collect()
+    common = spark.sparkContext.broadcast({r.word: np.array(r.ids, "<u4").tobytes() for r in first})
+    asked = scratch.write(blocks.mapInArrow(_segments_of(pairs, common), asking), "asked")
+    paths = _paths(scratch, "asked", asked.select("word").distinct(), pieces)
+    # a merge join at every size
+    replies = asked.join(paths.hint("merge"), "word").select("block", "place", "ids")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _apply(pieces.pairs, pieces.shown()), "doc_id bigint, n_tokens bigint, ids binary, text_crc32 bigint, round_trip boolean"
+        _apply(pairs, pieces.shown(), common), "doc_id bigint, n_tokens bigint, ids binary, text_crc32 bigint, round_trip boolean"
     )
 
 
+def _paths(scratch: Scratch, label: str, words: DataFrame, pieces: Pieces) -> DataFrame:
+    """``word, ids`` of distinct words, as a table."""
+    # written, so that a number means the same word in every attempt of a task
+    numbered = scratch.write(words.select(F.monotonically_increasing_id().alias("number"), "word"), f"{label}-words")
+    paths = scratch.write(encoded_words(numbered, pieces, 1 + numbered.count() // PART_WORDS), f"{label}-paths")
+    scratch.drop(f"{label}-words")
+    return paths
+
+
 def id_arrays(encoded: DataFrame) -> DataFrame:
     """``doc_id, ids`` of encoded rows, the ids as array<int>."""
 
