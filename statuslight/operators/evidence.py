@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from statuslight.functions.calendar import MICROS, as_of_time, month_of, seconds_text, whole_days
 from statuslight.functions.json_text import json_record
 from statuslight.operators.bundle import PART_ITEMS, bundle
+from statuslight.operators.intervals import levels_for, point_nodes, range_nodes
 from statuslight.operators.joins import HOT_ROWS, lookup_join
 
 KEYS = ["company_name", "engagement_month"]
@@ -165,24 +166,41 @@ def tasks_by_month(tasks: DataFrame, projects: DataFrame, months: DataFrame) ->
     Active means: started no later than the first moment of the next month, and not
     completed before this month. The upper bound is inclusive, so a task starting
     exactly at a month's first midnight also counts for the month before. A task
-    without completion stays active to the company's last month.
+    without completion stays active to the last month.
+
+    The join is one of ranges and points (``intervals``): a task takes at most two rows
+    per level, about twice the logarithm of its months, and a spine month one row per level.
     """
     current = tasks.where(F.col("is_latest_task_version") & (F.col("task_status") != "To Do"))
     owner = projects.select(F.col("delivery_project_pk").alias("delivery_project_fk"), F.col("company_fk").alias("company_pk"))
     owned = lookup_join(current, owner, ["delivery_project_fk"], how="inner")
-    span = months.groupBy("company_pk").agg(
-        F.min("engagement_month").alias("first_month"), F.max("engagement_month").alias("last_month")
-    )
-    bounded = lookup_join(owned, span, ["company_pk"], how="inner")
-
-    start = F.col("task_start_ts")
-    start_month = month_of(start)
-    at_midnight = start == F.date_trunc("month", start)
-    first = F.greatest("first_month", F.when(at_midnight, F.add_months(start_month, -1)).otherwise(start_month))
-    last = F.least("last_month", F.coalesce(month_of(F.col("task_completed_ts")), "last_month"))
-    active = F.when(start.isNotNull() & (first <= last), F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
-    spread = bounded.withColumn("engagement_month", F.explode(active)).drop("first_month", "last_month")
-    return lookup_join(spread, months, ["company_pk", "engagement_month"], how="inner")
+    base, points = month_points(months)
+    levels = levels_for(points)
+    reached = task_ranges(owned, base, points).withColumn("node", F.explode(range_nodes(F.col("first_point"), F.col("last_point"), levels)))
+    holders = months.withColumn("node", F.explode(point_nodes(month_number(F.col("engagement_month")) - base, levels)))
+    return lookup_join(reached.drop("first_point", "last_point"), holders, ["company_pk", "node"], how="inner").drop("node")
+
+
+def month_number(month: Column) -> Column:
+    return (F.year(month) * 12 + F.month(month)).cast("int")
+
+
+def month_points(months: DataFrame) -> tuple[int, int]:
+    """The number of the first month, and how many months there are up to the last one."""
+    number = month_number(F.col("engagement_month"))
+    first, last = months.agg(F.min(number), F.max(number)).first()
+    return (0, 0) if first is None else (first, last - first + 1)
+
+
+def task_ranges(tasks: DataFrame, base: int, points: int) -> DataFrame:
+    """``first_point`` and ``last_point`` of every task within the months; tasks outside of them are left out."""
+    start, end = F.col("task_start_ts"), F.col("task_completed_ts")
+    begun = month_number(start) - F.when(start == F.date_trunc("month", start), 1).otherwise(0) - base
+    done = F.coalesce(month_number(end) - base, F.lit(points - 1))
+    ranged = tasks.withColumns({
+        "first_point": F.when(start.isNotNull(), F.greatest(begun, F.lit(0))), "last_point": F.least(done, F.lit(points - 1)),
+    })
+    return ranged.where(F.col("first_point") <= F.col("last_point"))
 
 
 def days_open(as_of: dt.date | None = None) -> Column:
