@@ -1,14 +1,14 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-Three plans, picked from measured sizes and never from guesses:
+Two plans, picked from measured sizes and never from guesses:
 
 * the lookup side is small by count and by bytes: broadcast it;
-* otherwise shuffle both sides on the key, but take the hot keys out first. Their
-  few lookup rows are broadcast, so the hot fact rows are never shuffled at all;
-* where the lookup rows of the hot keys are themselves too large to broadcast,
-  the hot keys are salted on both sides.
+* otherwise both sides are shuffled once, on the key and a salt. The salt of a fact row
+  is 0 unless its key is hot; the lookup rows of a hot key are copied to each of its salts.
 
-Rows with a NULL key never match, so they do not take part in the shuffle either.
+Hot keys are found by a mergeable sketch in one pass over the key columns. Fact rows with
+a NULL key match nothing; they are salted as well, so that no task receives all of them.
+The fact side is read by the sketch and by the join, and nowhere else.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
 HOT_KEYS = 10_000
+#: keys that a sketch follows, and parts that NULL keys are spread over
+TRACKED_KEYS, NULL_PARTS = 100_000, 1_024
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -45,19 +47,24 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return seen["n"] <= max_rows and seen["b"] <= max_bytes
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows and their counts, hottest first.
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, tracked: int = TRACKED_KEYS) -> DataFrame | None:
+    """``__hot, __salts``: hashes of the keys with more than ``hot_rows`` rows and the number of parts they need.
 
-    The pass reads the key columns only and counts before the shuffle. At most
-    ``max_keys`` keys come back, so any key left out holds less than
-    ``1/max_keys`` of the rows and needs no treatment.
+    A frequent-items sketch per task holds ``tracked`` keys and is merged with the others,
+    so what is shuffled and collected is bounded by ``tracked`` and not by the keys. A key
+    whose rows exceed both ``hot_rows`` and a share of about ``4 / tracked`` is always found;
+    one below that share is smaller than the tasks of a table of that size.
     """
-    counted = df.groupBy(*on).agg(F.count("*").alias("key_rows")).where(F.col("key_rows") > hot_rows)
-    for name in on:
-        counted = counted.where(F.col(name).isNotNull())
-    listed = counted.orderBy(F.desc("key_rows")).limit(max_keys)
-    rows = listed.collect()
-    return df.sparkSession.createDataFrame(rows, listed.schema) if rows else None
+    keys = df.where(_present(on)).select(F.xxhash64(*on).alias("__hot"))
+    seen = keys.agg(F.expr(f"approx_top_k(__hot, {tracked // 4}, {tracked})").alias("top"))
+    found = seen.select(F.inline("top").alias("__hot", "rows")).where(F.col("rows") > hot_rows)
+    rows = found.select("__hot", F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias("__salts"))
+    listed = rows.collect()  # at most tracked / 4 pairs of numbers
+    return df.sparkSession.createDataFrame(listed, rows.schema) if listed else None
+
+
+def _present(on: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in on])
 
 
 def _equi(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
@@ -68,12 +75,6 @@ def _equi(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe:
     return left.join(renamed, reduce(lambda a, b: a & b, matches), how).drop(*[f"__{name}" for name in on])
 
 
-def _filled(df: DataFrame, like: DataFrame) -> DataFrame:
-    """``df`` with the columns it lacks from ``like`` added as NULL."""
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in like.schema.fields if f.name not in df.columns}
-    return df.withColumns(missing).select(*like.columns) if missing else df.select(*like.columns)
-
-
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -100,23 +101,7 @@ def lookup_join(
         )
         return joined.drop(*keyed)
 
-    present = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in on])
-    keyed_facts = facts.where(present)
-    hot = hot_keys(keyed_facts, on, hot_rows)
-    if hot is None:
-        result = keyed_facts.join(lookup, on, how)
-    else:
-        marks = F.broadcast(hot.select(*on))
-        hot_lookup = lookup.join(marks, on, "left_semi")
-        if fits_broadcast(hot_lookup, broadcast_rows, broadcast_bytes):
-            warm = keyed_facts.join(marks, on, "left_anti").join(lookup, on, how)
-            hottest = keyed_facts.join(marks, on, "left_semi").join(F.broadcast(hot_lookup), on, how)
-            result = warm.unionByName(hottest)
-        else:
-            result = _salted(keyed_facts, lookup, hot, on, how, hot_rows)
-    if how == "left":
-        result = result.unionByName(_filled(facts.where(~present), result))
-    return result
+    return salted_join(facts, lookup, on, how, hot_rows)
 
 
 def _blank(df: DataFrame, name: str) -> Column:
@@ -126,33 +111,41 @@ def _blank(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(zero.get(kind.simpleString(), "0")).cast(kind))
 
 
-def _salted(left: DataFrame, right: DataFrame, hot: DataFrame, on: list[str], how: str, hot_rows: int) -> DataFrame:
-    salts = F.ceil(F.col("key_rows") / F.lit(hot_rows)).cast("int")
-    marks = F.broadcast(hot.select(*on, salts.alias("__salts")))
-    # Equal rows differ in their partition, which spreads them. Both inputs of the hash stay
-    # the same when a task runs again, so a lost executor cannot send a row elsewhere.
-    content = F.xxhash64(*[F.col(f"`{name}`") for name in left.columns], F.spark_partition_id())
-    spread = left.join(marks, on, "left").withColumn(
-        "__salt", F.coalesce(F.pmod(content, F.col("__salts")).cast("int"), F.lit(0))
-    ).drop("__salts")
-    copies = right.join(marks, on, "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))
-    ).drop("__salts")
-    return spread.join(copies, [*on, "__salt"], how).drop("__salt")
+def _spread(columns: list[str]) -> Column:
+    """Equal rows differ in their partition, which spreads them.
+
+    Both inputs of the hash stay the same when a task runs again, so a lost executor
+    cannot send a row elsewhere.
+    """
+    return F.xxhash64(*[F.col(f"`{name}`") for name in columns], F.spark_partition_id())
 
 
 def salted_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str = "left", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Join whose right side has large rows (whole texts) and is never broadcast.
+    """Join that never broadcasts the right side, as its rows may be many or large (whole texts).
 
     The rows of a hot left key go to several tasks by a hash of their content and
     partition, and the right rows of that key are copied to each of them.
     """
-    present = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in on])
-    keyed = left.where(present)
-    hot = hot_keys(keyed, on, hot_rows)
-    result = keyed.join(right, on, how) if hot is None else _salted(keyed, right, hot, on, how, hot_rows)
-    if how == "left":
-        result = result.unionByName(_filled(left.where(~present), result))
-    return result
+    hot = hot_keys(left, on, hot_rows)
+    present = _present(on)
+    if how == "inner":
+        left = left.where(present)
+        if hot is None:
+            return left.join(right, on, how)
+    nulls = F.when(~present, F.pmod(_spread(left.columns), F.lit(NULL_PARTS)))
+    if hot is None:
+        salts, copies = nulls, right.withColumn("__salt", F.lit(0).cast("bigint"))
+        spread = left.withColumn("__salt", F.coalesce(salts, F.lit(0)).cast("bigint"))
+    else:
+        marks = F.broadcast(hot)  # bounded by the sketch
+        key = F.xxhash64(*on).alias("__hot")
+        parts = F.when(present, F.pmod(_spread(left.columns), F.col("__salts")))
+        spread = left.select("*", key).join(marks, "__hot", "left").withColumn(
+            "__salt", F.coalesce(parts, nulls, F.lit(0)).cast("bigint")
+        ).drop("__hot", "__salts")
+        copies = right.select("*", key).join(marks, "__hot", "left").withColumn(
+            "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__salts"), F.lit(1)).cast("bigint") - 1))
+        ).drop("__hot", "__salts")
+    return spread.join(copies, [*on, "__salt"], how).drop("__salt")

@@ -44,11 +44,38 @@ def test_salted_join(facts, lookup, how):
     assert rows(salted_join(facts, lookup, ["k"], how, hot_rows=20)) == rows(facts.join(lookup, ["k"], how))
 
 
-def test_hot_keys_skip_nulls_and_count(facts):
-    assert [tuple(r) for r in hot_keys(facts, ["k"], 50).collect()] == [(1, 300 + facts.where("k = 1").count() - 300)]
+def test_hot_keys_skip_nulls_and_tell_the_parts(facts):
+    n = facts.where("k = 1").count()
+    key = facts.where("k = 1").select(F.xxhash64("k")).first()[0]
+    assert [tuple(r) for r in hot_keys(facts, ["k"], 50).collect()] == [(key, -(-n // 50))]
     assert hot_keys(facts, ["k"], 10_000) is None
 
 
+def test_sketch_finds_every_hot_key_among_many(spark):
+    """60 keys of 100 rows among 30,000 keys of one row, with room for 1,000 keys."""
+    df = spark.range(36_000).select(F.when(F.col("id") < 6_000, F.col("id") % 60).otherwise(F.col("id")).alias("k")).repartition(8)
+    found = {r["__hot"] for r in hot_keys(df, ["k"], 50, tracked=4_000).collect()}
+    assert found == {r[0] for r in df.where("k < 60").select(F.xxhash64("k")).distinct().collect()}
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_the_fact_side_is_read_once(spark, facts, lookup, how, tmp_path):
+    facts.write.parquet(f"{tmp_path}/facts")
+    lookup.write.parquet(f"{tmp_path}/lookup")
+    stored, names = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("facts", "lookup"))
+    joined = lookup_join(stored, names, ["k"], how, **SMALL)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "Union" not in plan
+    assert rows(joined) == rows(stored.join(names, ["k"], how))
+
+
+def test_rows_without_a_key_are_spread(spark):
+    facts = spark.range(20_000).select(F.lit(None).cast("bigint").alias("k"), F.col("id").alias("v"))
+    lookup = spark.range(5).select(F.col("id").alias("k"))
+    got = lookup_join(facts, lookup, ["k"], broadcast_rows=0).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in got) == 20_000
+
+
 def test_fits_broadcast_checks_rows_and_bytes(lookup):
     assert fits_broadcast(lookup)
     assert not fits_broadcast(lookup, max_rows=10)
