@@ -14,7 +14,7 @@ from checks.views import AS_OF, Views, number, text
 from statuslight.functions.calendar import SECONDS
 from statuslight.functions.json_text import json_array, json_value, parsed, strip_fences
 from statuslight.functions.numbers import safe_bigint
-from statuslight.operators import details, documents, evidence, financials, generation, reporting, retrieval
+from statuslight.operators import details, documents, evidence, financials, generation, lists, reporting, retrieval
 from statuslight.operators.ledger import CallLedger
 from statuslight.plans import engagement_details
 from statuslight.plans.ingestion import Ingestion
@@ -455,20 +455,20 @@ def vector_topk_by_deal(v: Views) -> DataFrame:
     return rounded(found, 6, ["distance"]).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def stored_lists(v: Views) -> lists.StoredLists:
+    base = v.vectors()
+    return lists.VectorLists.train(base, lists.lists_for(base.count())).store(base, scratch(v, "lists"))
+
+
 @query
 def vector_topk_ivf(v: Views) -> DataFrame:
-    base = v.vectors()
-    lists = retrieval.VectorLists.train(base, lists=max(2, int(base.count() ** 0.5)))
-    found = lists.topk(lists.assign(base), v.centroids(), fraction=0.25)
-    return rounded(found, 6, ["distance"])
+    return rounded(stored_lists(v).topk(v.centroids(), fraction=0.25), 6, ["distance"])
 
 
 @query
 def vector_topk_ivf_all_lists(v: Views) -> DataFrame:
-    """Probing every list is an exact search."""
-    base = v.vectors()
-    lists = retrieval.VectorLists.train(base, lists=max(2, int(base.count() ** 0.5)))
-    found = lists.topk(lists.assign(base), v.centroids(), fraction=1.0)
+    """Where every list may be searched, a bound leaves out those that cannot matter: the result is exact."""
+    found = stored_lists(v).topk(v.centroids(), fraction=1.0)
     return rounded(found, 6, ["distance"]).withColumn("rank", F.col("rank").cast("bigint"))
 
 

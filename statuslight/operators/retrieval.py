@@ -1,17 +1,14 @@
-"""Nearest chunks for a set of questions, exact and by inverted lists."""
+"""Nearest chunks for a set of questions, by comparing blocks of both."""
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,45 +24,11 @@ QUESTION_BLOCK = 64
 BASE_BLOCK, BROADCAST_BYTES, KEPT_ROWS = 4_096, 32 << 20, 200_000
 
 
-def euclidean(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
-
-
-def _blocks(questions: DataFrame) -> Iterator[list[dict]]:
-    block: list[dict] = []
-    for row in questions.select(F.col("question").cast("string"), F.col("vector").cast("array<double>")).toLocalIterator():
-        block.append(row.asDict())
-        if len(block) == QUESTION_BLOCK:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-def _literal(block: list[dict], extra: str = "") -> Column:
-    shape = f"array<struct<question:string,vector:array<double>{extra}>>"
-    return F.from_json(F.lit(json.dumps(block)), shape)
-
-
-def _ranked(pairs: DataFrame, within: list[str], k: int) -> DataFrame:
+def ranked(pairs: DataFrame, within: list[str], k: int) -> DataFrame:
     order = W.partitionBy(*within, "question").orderBy(F.asc_nulls_last("distance"), "id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _distances(base: DataFrame, asked: Column, within: list[str]) -> DataFrame:
-    """Rows without a vector, or with a NULL in it, have no distance and take no part; lengths have to agree."""
-    vector = F.col("embedding").cast("array<double>")
-    whole = vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull())
-    pairs = base.where(whole).select(*within, "id", vector.alias("embedding"), F.explode(asked).alias("asked"))
-    differs = F.raise_error(F.lit("vectors and questions differ in length")).cast("double")
-    gap = euclidean(F.col("embedding"), F.col("asked.vector"))
-    return pairs.select(
-        *within, "id", F.col("asked.question").alias("question"),
-        F.when(F.size("embedding") == F.size("asked.vector"), gap).otherwise(differs).alias("distance"),
-    )
-
-
 def _usable(base: DataFrame, within: list[str]) -> DataFrame:
     """Rows with a whole vector; others have no distance and take no part."""
     vector = F.col("embedding").cast("array<double>")
@@ -73,7 +36,7 @@ def _usable(base: DataFrame, within: list[str]) -> DataFrame:
     return base.where(whole).select(*within, "id", vector.alias("embedding"))
 
 
-def _matrix(lists: pa.Array) -> np.ndarray:
+def matrix_of(lists: pa.Array) -> np.ndarray:
     """A row per vector. Vectors of different length raise."""
     sizes = np.unique(lists.value_lengths().to_numpy(zero_copy_only=False))
     if len(sizes) > 1:
@@ -82,22 +45,31 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return np.asarray(lists.flatten().to_numpy(zero_copy_only=False), float).reshape(len(lists), width)
 
 
-def question_blocks(questions: DataFrame) -> DataFrame:
-    """``names, matrix, width``: up to ``QUESTION_BLOCK`` questions a row, their vectors as one binary value."""
+def question_blocks(questions: DataFrame, by: str | None = None) -> DataFrame:
+    """``names, matrix, width`` and ``by``: up to ``QUESTION_BLOCK`` questions a row, their vectors as one binary value.
+
+    Questions of one row agree in the number ``by``, if given.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, QUESTION_BLOCK):
-                part = batch.slice(at, QUESTION_BLOCK)
-                matrix = _matrix(part.column("vector"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.column("question").to_pylist()], pa.list_(pa.string())), pa.array([matrix.tobytes()], pa.binary()),
-                     pa.array([matrix.shape[1]], pa.int32())], ["names", "matrix", "width"],
-                )
-
-    asked = questions.select(F.col("question").cast("string").alias("question"), F.col("vector").cast("array<double>").alias("vector"))
+            keys = batch.column(by).to_numpy() if by else np.zeros(batch.num_rows, np.int32)
+            order = np.argsort(keys, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+                for at in range(0, len(rows), QUESTION_BLOCK):
+                    part = batch.take(pa.array(rows[at : at + QUESTION_BLOCK]))
+                    matrix = matrix_of(part.column("vector"))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part.column("question").to_pylist()], pa.list_(pa.string())), pa.array([matrix.tobytes()], pa.binary()),
+                         pa.array([matrix.shape[1]], pa.int32()), *([part.column(by).slice(0, 1)] if by else [])],
+                        ["names", "matrix", "width", *([by] if by else [])],
+                    )
+
+    vector = F.col("vector").cast("array<double>").alias("vector")
+    asked = questions.select(F.col("question").cast("string").alias("question"), vector, *([by] if by else []))
     whole = F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull())
-    return asked.where(whole).mapInArrow(pack, "names array<string>, matrix binary, width int")
+    schema = T.StructType.fromDDL("names array<string>, matrix binary, width int")
+    return asked.where(whole).mapInArrow(pack, schema.add(questions.schema[by]) if by else schema)
 
 
 def base_blocks(base: DataFrame, within: list[str], width: int | None) -> DataFrame:
@@ -119,7 +91,7 @@ def base_blocks(base: DataFrame, within: list[str], width: int | None) -> DataFr
             for key, rows in places.items():
                 for at in range(0, len(rows), BASE_BLOCK):
                     part = batch.take(pa.array(rows[at : at + BASE_BLOCK]))
-                    matrix = _matrix(part.column("embedding"))
+                    matrix = matrix_of(part.column("embedding"))
                     if width is not None and matrix.shape[1] != width:
                         raise ValueError("vectors and questions differ in length")
                     ids = part.column("id")
@@ -198,69 +170,26 @@ def vector_topk(
     these reach the sort. Rows and questions without a whole vector take no part.
     """
     groups = within or []
-    asked = written(question_blocks(questions), "questions")
+    return ranked(search_blocks(base, questions, k, groups), groups, k)
+
+
+def search_blocks(base: DataFrame, questions: DataFrame, k: int, groups: list[str], by: str | None = None) -> DataFrame:
+    """``*groups, id, question, distance``: the ``k`` nearest rows of each task. Base and questions agree in ``by``, if given."""
+    asked = written(question_blocks(questions, by), "questions")
     facts = asked.agg(F.sum(F.octet_length("matrix") + F.octet_length(F.array_join("names", ""))), F.min("width"), F.max("width")).first()
     if facts[1] != facts[2]:
         raise ValueError("questions differ in length")
     turns = max(1, math.ceil((facts[0] or 0) / BROADCAST_BYTES))
-    turn = F.pmod(F.xxhash64("names"), F.lit(turns))
-    packed = base_blocks(base, groups, facts[1])
+    turn = F.pmod(F.xxhash64("names", *([by] if by else [])), F.lit(turns))
+    packed = base_blocks(base, [*groups, *([by] if by else [])], facts[1])
     kinds = {f.name: f.dataType for f in base.schema.fields}
     arrow = [to_arrow_type(kinds[c]) for c in groups]
     shape = T.StructType([*[base.schema[c] for c in groups], T.StructField("question", T.StringType()), T.StructField("id", kinds["id"]), T.StructField("distance", T.DoubleType())])
     parts = []
     for n in range(turns):
-        pairs = packed.join(F.broadcast(asked.where(turn == n) if turns > 1 else asked), "width")  # of checked size
+        pairs = packed.join(F.broadcast(asked.where(turn == n) if turns > 1 else asked), ["width", *([by] if by else [])])  # of checked size
         parts.append(pairs.mapInArrow(_searched(groups, k, to_arrow_type(kinds["id"]), arrow), shape))
-    found = reduce(DataFrame.unionByName, parts)
-    return _ranked(found.select(*groups, "id", "question", "distance"), groups, k)
-
-
-class VectorLists:
-    """Inverted lists: every vector belongs to the list of its nearest centre."""
-
-    def __init__(self, model: KMeansModel):
-        self.model = model
-        self.centers = np.array(model.clusterCenters())
-
-    @classmethod
-    def train(cls, base: DataFrame, lists: int, seed: int = 7, rows_per_list: int = 256) -> VectorLists:
-        """Place the centres. They are fitted on about ``rows_per_list`` vectors per list.
-
-        The sample only decides where the centres lie: every row is assigned to a
-        list, and probing all lists is an exact search.
-        """
-        vectors = base.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-        fraction = min(1.0, lists * rows_per_list / max(1, base.count()))
-        seen = vectors if fraction == 1.0 else vectors.sample(fraction, seed)
-        return cls(KMeans(k=lists, seed=seed, maxIter=10).fit(seen))
-
-    def assign(self, base: DataFrame) -> DataFrame:
-        """Add ``list_id``. Store the result partitioned by it, so that probes read their lists only."""
-        vector = array_to_vector(F.col("embedding").cast("array<double>"))
-        return self.model.setPredictionCol("list_id").transform(base.withColumn("features", vector)).drop("features")
-
-    def probes(self, vector: list[float], fraction: float) -> list[int]:
-        n = max(1, math.ceil(fraction * len(self.centers)))
-        gaps = np.linalg.norm(self.centers - np.asarray(vector), axis=1)
-        return [int(i) for i in np.argsort(gaps, kind="stable")[:n]]
-
-    def topk(
-        self, assigned: DataFrame, questions: DataFrame, k: int = TOP_K,
-        fraction: float = FRACTION_LISTS_TO_SEARCH, within: list[str] | None = None,
-    ) -> DataFrame:
-        """Like ``vector_topk`` over the nearest ``fraction`` of the lists, at least one."""
-        groups = within or []
-        parts = []
-        for block in _blocks(questions):
-            asked = [{**q, "lists": self.probes(q["vector"], fraction)} for q in block]
-            needed = sorted({i for q in asked for i in q["lists"]})
-            literal = _literal(asked, ",lists:array<int>")
-            wanted = F.filter(literal, lambda q: F.array_contains(q["lists"], F.col("list_id")))
-            parts.append(_ranked(_distances(assigned.where(F.col("list_id").isin(needed)), wanted, groups), groups, k))
-        if not parts:
-            return vector_topk(assigned, questions, k, groups)
-        return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).select(*groups, "id", "question", "distance")
 
 
 def rag_context(nearest: DataFrame, chunks: DataFrame, instructions: dict[str, str], within: list[str]) -> DataFrame:

@@ -139,27 +139,6 @@ def test_no_question_no_row(spark, vectors):
     assert retrieval.vector_topk(vectors[0], q).count() == 0
 
 
-def test_lists_are_exact_when_all_are_probed_and_near_otherwise(spark, vectors):
-    df, data, _ = vectors
-    q, qv = asked(spark, np.random.default_rng(6), 5)
-    lists = retrieval.VectorLists.train(df, lists=8)
-    assigned = lists.assign(df)
-    assert assigned.count() == df.count()
-
-    def found(fraction):
-        out = {}
-        for r in lists.topk(assigned, q, 10, fraction).orderBy("rank").collect():
-            out.setdefault(r.question, []).append(r.id)
-        return out
-
-    exact = {f"q{i}": brute(data, np.arange(400), v, 10)[0] for i, v in enumerate(qv)}
-    assert found(1.0) == exact
-    half = found(0.5)
-    recall = np.mean([len(set(half[k]) & set(exact[k])) / 10 for k in exact])
-    assert recall > 0.6
-    assert all(len(v) <= 10 for v in found(0.01).values())
-
-
 def test_context_skips_null_chunks_and_keeps_rank_order(spark):
     nearest = spark.createDataFrame(
         [(1, 5, "summary", 0.1, 1), (1, 6, "summary", 0.2, 2), (1, 7, "summary", 0.3, 3)],
