@@ -22,14 +22,16 @@ NAMES = [part.split()[0] for part in RECORD.split(", ")]
 #: date of responses that come without one
 NO_DATE = "1970-01-01T00:00:00Z"
 
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
-HEAD = re.compile(r"<head\b[^>]*>(.*?)</head\s*>", re.S | re.I)
+HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|head)\b", re.I)
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "head")} | {None: re.compile("-->")}
+HEAD = re.compile(r"<head\b[^>]*>", re.I)
 BREAKS = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>", re.I)
 TAG = re.compile(r"<[/!?a-z][^>]*>", re.I)
 SPACE = re.compile(r"[^\S\n]+")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)(?=</a|<a\b|$)", re.S | re.I)
+TITLE, TITLE_END = re.compile(r"<title\b[^>]*>", re.I), re.compile("</title", re.I)
+ROOT, LANGUAGE = re.compile(r"<html\b[^>]*", re.I), re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+ANCHOR, ANCHOR_END = re.compile(r"<a\b", re.I), re.compile(r"</a|<a\b", re.I)
+HREF, BARE = re.compile(r"\bhref\s*=\s*", re.I), re.compile(r"[^\s>]+")
 
 
 def digest(data: bytes) -> str:
@@ -42,33 +44,91 @@ def identifier(*parts: str) -> str:
 
 
 def body(page: str) -> str:
-    """The page without its head, scripts, styles and comments."""
-    return HIDDEN.sub(" ", page)
+    """The page without its head, scripts, styles and comments; what is never closed stays.
+
+    One walk over the page: an end that was looked for in vain is not looked for again, so
+    pages of unclosed tags take time in proportion to their length as well.
+    """
+    parts, at, missing = [], 0, set()
+    for begin in HIDDEN.finditer(page):
+        name = begin[1].lower() if begin[1] else None
+        if begin.start() < at or name in missing:
+            continue
+        end = ENDS[name].search(page, begin.end())
+        if end is None:
+            missing.add(name)
+        else:
+            parts += [page[at : begin.start()], " "]
+            at = end.end()
+    return "".join([*parts, page[at:]])
+
+
+def tags_out(pattern: re.Pattern, by: str, text: str) -> str:
+    """``pattern.sub``; behind the last ``>`` no tag ends, so nothing is tried there."""
+    last = text.rfind(">") + 1
+    return pattern.sub(by, text[:last]) + text[last:]
+
+
+def enclosed(text: str, begin: re.Pattern, end: re.Pattern) -> str | None:
+    """What stands between the first tag ``begin`` and the next ``end``."""
+    first = begin.search(text, 0, text.rfind(">") + 1)
+    last = end.search(text, first.end()) if first else None
+    return text[first.end() : last.start()] if last else None
 
 
 def plain_text(page: str, shown: str | None = None) -> str:
     """The visible text: a line per block element, runs of white space as one blank. ``shown``: ``body(page)`` if known."""
-    text = TAG.sub("", BREAKS.sub("\n", body(page) if shown is None else shown))
+    text = tags_out(TAG, "", tags_out(BREAKS, "\n", body(page) if shown is None else shown))
     lines = (SPACE.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def anchors(text: str) -> Iterator[tuple[str, str]]:
+    """Address and content of the links in ``text``.
+
+    The address is quoted or ends at a blank; the content ends with the link or where the
+    next one begins. A tag without an address is passed with all that stands before its end.
+    """
+    last, at = text.rfind(">"), 0
+    while (begin := ANCHOR.search(text, at)) and (end := text.find(">", begin.end())) >= 0:
+        at = end + 1
+        for given in HREF.finditer(text, begin.end(), end + 1):
+            found = _address(text, given.end(), last)
+            if found:
+                href, behind = found
+                shown = text.index(">", behind) + 1
+                stop = ANCHOR_END.search(text, shown)
+                at = stop.start() if stop else len(text)
+                yield href, text[shown:at]
+                break
+
+
+def _address(text: str, at: int, last: int) -> tuple[str, int] | None:
+    """The attribute's value that begins at ``at``, and where it ends; a ``>`` has to follow (``last`` is the last one)."""
+    if text[at : at + 1] in ("'", '"'):
+        close = text.find(text[at], at + 1)
+        if 0 <= close < last:
+            return text[at + 1 : close], close + 1
+    bare = BARE.match(text, at)
+    return (bare[0], bare.end()) if bare and bare.end() <= last else None
+
+
 def metadata(page: str, uri: str, headers: dict[str, str], shown: str | None = None) -> dict:
     """Title, language and links of a page with the headers of its response. ``shown``: ``body(page)`` if known."""
     visible = body(page) if shown is None else shown
-    head = HEAD.search(page)
-    title = TITLE.search(HIDDEN.sub(" ", head[1])) if head else TITLE.search(visible)
-    language = LANGUAGE.search(page)
+    head = enclosed(page, HEAD, ENDS["head"])
+    title = enclosed(visible if head is None else body(head), TITLE, TITLE_END)
+    language = next((m for m in (LANGUAGE.search(root[0], 5) for root in ROOT.finditer(page)) if m), None)
     links = []
-    for m in LINK.finditer(visible):
-        href = html.unescape(next(g for g in m.groups()[:3] if g is not None).strip())
+    for address, content in anchors(visible):
+        href = html.unescape(address.strip())
         try:
             href = urljoin(uri, href)
         except ValueError:
             pass
-        links.append({"url": href, "text": " ".join(html.unescape(TAG.sub("", m[4])).split())})
+        links.append({"url": href, "text": " ".join(html.unescape(tags_out(TAG, "", content)).split())})
     return {
-        "title": " ".join(html.unescape(TAG.sub("", title[1])).split()) if title else None,
+        "title": None if title is None else " ".join(html.unescape(tags_out(TAG, "", title)).split()),
         "language": language[1] if language else None,
         "headers": headers,
         "links": links,

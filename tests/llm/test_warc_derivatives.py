@@ -1,4 +1,9 @@
 import json
+import random
+import re
+import time
+
+import pytest
 
 from statuslight.llm import warc_derivatives as wd
 
@@ -46,3 +51,39 @@ def test_awkward_pages(spark):
     raw = wd.responses(pages.limit(1)).selectExpr("page_id", "'response' as record_type", "record_id", "refers_to", "target_uri", "date", "content_type", "block_digest", "cast(null as string) as payload_digest", "source_headers", "cast(null as binary) as block")
     assert {r.payload_digest for r in wd.derivatives(raw).collect()} == {wd.digest(b"")}
     assert wd.derivatives(raw.selectExpr("*").withColumn("record_type", raw.record_id)).count() == 0
+
+
+#: what the walks over a page have to find, as patterns that try every beginning
+PLAIN = {
+    "hidden": re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I),
+    "head": re.compile(r"<head\b[^>]*>(.*?)</head\s*>", re.S | re.I),
+    "title": re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I),
+    "lang": re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I),
+    "link": re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)(?=</a|<a\b|\Z)", re.S | re.I),
+}
+PIECES = ["<a ", "<a", "</a>", "href=", " href = ", '"', "'", ">", "<", "x", " ", "<p>", "<!--", "-->", "<script", "</script>", "</SCRIPT >",
+          "<head>", "<HEAD", "</head>", "<title>", "</title", "<html ", "lang=", "en", "<b", "/", "=", "\n", "<style>", "</style"]
+
+
+def test_walks_find_what_the_patterns_find():
+    rng = random.Random(5)
+    for _ in range(20_000):
+        page = "".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 25)))
+        shown = PLAIN["hidden"].sub(" ", page)
+        assert wd.body(page) == shown, page
+        assert wd.tags_out(wd.TAG, "", page) == wd.TAG.sub("", page) and wd.tags_out(wd.BREAKS, "", page) == wd.BREAKS.sub("", page), page
+        for begin, end, name in ((wd.HEAD, wd.ENDS["head"], "head"), (wd.TITLE, wd.TITLE_END, "title")):
+            plain = PLAIN[name].search(page)
+            assert wd.enclosed(page, begin, end) == (plain[1] if plain else None), page
+        lang = PLAIN["lang"].search(page)
+        assert wd.metadata(page, "", {})["language"] == (lang[1] if lang else None), page
+        plain = [(next(g for g in m.groups()[:3] if g is not None), m[4]) for m in PLAIN["link"].finditer(page)]
+        assert list(wd.anchors(page)) == plain, page
+
+
+@pytest.mark.parametrize("piece", ["<script>", "<!--", "<head>", "<head ", "<title>", "<html ", "<a ", "<a href=", '<a href="x', "<b ", "<p ", "<a href='x'>", "</script", "<"])
+def test_pages_of_unclosed_tags_end_soon(piece):
+    page = piece * (1_000_000 // len(piece))
+    start = time.monotonic()
+    wd.plain_text(page), wd.metadata(page, "http://h.example/", {})
+    assert time.monotonic() - start < 30
