@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from statuslight.llm.common import LOWER, Scratch, id_and_text, utf8
 
 FIRST_WIDTH = 64
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GROWTH = 4
 
 
@@ -113,7 +114,16 @@ def exact_dedup(
     )
 
 
-def kept_documents(documents: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``documents`` that ``decisions`` keeps, one per doc_id, with all their columns."""
-    keep = decisions.where("kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return documents.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+def kept_documents(documents: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``documents`` that ``decisions`` keeps, with all their columns.
+
+    A row is known by its id and its normalised text, so an id that comes with several
+    texts keeps each of those that stays. Rows equal in both are one row; of rows that
+    then differ in other columns one is chosen.
+    """
+    keep = decisions.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    # only A-Z are lowered: the built-in function would change other letters as well
+    text = F.translate(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), UPPER, UPPER.lower())
+    known = documents.select("*", F.sha2(F.encode(text, "UTF-8"), 256).alias("__sha"))
+    kept = known.join(keep, (known[id_col] == keep["__id"]) & (known["__sha"] == keep["__sha"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__sha"]).drop("__sha")

@@ -29,3 +29,10 @@ def test_kept_documents_have_one_row_per_text(awkward):
     kept = exact_dedup.kept_documents(awkward, exact_dedup.exact_dedup(awkward))
     assert kept.columns == awkward.columns
     assert sorted(r.doc_id for r in kept.collect()) == [5, 7, 8, 9, 10, 11, 12, 13, 15, 16, 17, 18]
+
+
+def test_an_id_with_several_texts_keeps_each_that_stays(spark):
+    rows = [(1, "first", "a"), (1, "second", "b"), (2, "First", "c"), (2, "First", "c"), (3, None, "d"), (4, "É", "e"), (5, "é", "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rep string")
+    kept = exact_dedup.kept_documents(docs, exact_dedup.exact_dedup(docs))
+    assert sorted(map(tuple, kept.collect())) == [(1, "second", "b"), (2, "First", "c"), (3, None, "d"), (4, "É", "e"), (5, "é", "f")]
