@@ -540,6 +540,19 @@ def replicate_table(v: Views) -> DataFrame:
     return v.spark.read.parquet(target)
 
 
+@query
+def replicate_partitions(v: Views) -> DataFrame:
+    """A table by language is copied, one language changes, and the second copy writes that partition alone."""
+    source, staging, target = (scratch(v, name) for name in ("source", "staging", "target"))
+    rows = v.table("documents").select("doc_id", "lang", "text")
+    tables.replace_partitions(rows, source, "lang")
+    tables.replicate_table(v.spark, source, staging, target, by=["lang"])
+    first = F.lit(rows.agg(F.min("lang")).first()[0])
+    tables.replace_partitions(rows.where(F.col("lang") == first).withColumn("text", F.concat("text", F.lit("!"))), source, "lang")
+    again = tables.replicate_table(v.spark, source, staging, target, by=["lang"])
+    return v.spark.read.parquet(target).select("doc_id", "lang", "text", F.lit(again.partitions).cast("bigint").alias("written_again"))
+
+
 def vowels(df: DataFrame) -> DataFrame:
     return generation.generate_embedding(df, replies.vowel_backend)
 
