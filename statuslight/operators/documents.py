@@ -70,6 +70,40 @@ def chunk_documents(
     )
 
 
+def word_count(text: Column) -> Column:
+    """The number of words of a text, 0 for one without any."""
+    found = words(text)
+    return F.when(found == F.array(F.lit("")), 0).otherwise(F.size(found)).cast("bigint")
+
+
+def chunk_lines(lines: DataFrame, keep: list[str], size: int = CHUNK_WORDS) -> DataFrame:
+    """The rows of ``chunk_documents`` for texts whose lines are rows, so that no task holds a text.
+
+    ``lines``: ``keep``, ``line`` and ``first_word``, the number of words in the lines before.
+    A line is cut where the windows of its text begin; the pieces of a window are put
+    together again, at most ``size`` of them.
+    """
+    split = lines.where(word_count(F.col("line")) > 0).select(*keep, "first_word", words(F.col("line")).alias("words"))
+    first, last = F.col("first_word"), F.col("first_word") + F.size("words") - 1
+    windows = F.sequence(F.floor(first / size), F.floor(last / size))
+
+    def piece(window: Column) -> Column:
+        begin, end = F.greatest(window * size, first), F.least((window + 1) * size - 1, last)
+        part = F.slice("words", (begin - first + 1).cast("int"), (end - begin + 1).cast("int"))
+        return F.struct(window.alias("position"), F.array_join(part, " ").alias("piece"))
+
+    pieces = split.select(*keep, "first_word", F.inline(F.transform(windows, piece)))
+    content = F.expr("listagg(piece, ' ') WITHIN GROUP (ORDER BY first_word)")
+    return pieces.groupBy(*keep, "position").agg(content.alias("content")).select(
+        *keep,
+        F.concat(F.lit("c"), (F.col("position") + 1).cast("string")).alias("id"),
+        "content",
+        F.lit(None).cast("string").alias("page_footers_text"),
+        F.lit("1").alias("page_span_start"),
+        F.lit("1").alias("page_span_end"),
+    )
+
+
 def process_documents(
     documents: DataFrame, keep: list[str], text: Column, footer_texts: Column | None = None, size: int = CHUNK_WORDS
 ) -> DataFrame:

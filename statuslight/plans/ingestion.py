@@ -23,6 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from statuslight.functions.numbers import safe_bigint
 from statuslight.operators import documents, generation
 from statuslight.operators.joins import lookup_join
+from statuslight.operators.running import running_sums
 from statuslight.session import written
 from statuslight.sources import files
 
@@ -55,16 +56,18 @@ class Ingestion:
     """Files with ``suffix`` in ``folder``, ingested into the tables under ``target``.
 
     A file belongs to the deal whose number is its name without extension; other names
-    have no deal and are left alone, as are empty files, which Spark does not list. ``text`` turns the column ``content`` (bytes) into
-    text. ``embed`` adds a vector and a status to chunk rows, for example through a
-    ``CallLedger``; a file with a chunk that could not be embedded stays pending.
+    have no deal and are left alone, as are empty files, which Spark does not list. Files are
+    UTF-8 text and read by line, in as many tasks as their size asks for. Other files need
+    ``text``, which turns the column ``content`` (bytes) into text; then a task holds a whole
+    file, of 2 GB at most. ``embed`` adds a vector and a status to chunk rows, for example
+    through a ``CallLedger``; a file with a chunk that could not be embedded stays pending.
     """
 
     spark: SparkSession
     folder: str
     target: str
     suffix: str = ".txt"
-    text: Callable[[Column], Column] = lambda content: F.decode(content, "UTF-8")
+    text: Callable[[Column], Column] | None = None
     embed: Embed = native_embedding
     batch_files: int = BATCH_FILES
 
@@ -117,21 +120,18 @@ class Ingestion:
         name = uuid.uuid4().hex
         if not paths:
             return 0, self.spark.createDataFrame([], "uri string, reason string")
-        read = self.spark.read.format("binaryFile").load(paths).select(
-            F.col("path").alias("uri"), F.sha2("content", 256).alias("new_digest"), self.text(F.col("content")).alias("text")
-        )
-        rows = written(lookup_join(read, todo, ["uri"], how="inner"), "files")
+        rows, cut = self._whole_files(paths, todo) if self.text else self._by_line(paths, todo)
         touched = rows.where(F.col("digest") == F.col("new_digest"))  # another time of change, the same bytes
         fresh = rows.where(F.col("digest").isNull() | (F.col("digest") != F.col("new_digest")))
         # first step: rows that no entry names yet
-        documents.chunk_documents(fresh, ["deal_id", "uri"], F.col("text")).write.parquet(self._path("chunks", name))
+        cut(fresh).write.parquet(self._path("chunks", name))
         chunks = self.spark.read.schema(CHUNKS).parquet(self._path("chunks", name))
         vectors = self.embed(chunks.select("uri", "id", "content"))
         vectors.select("uri", "id", generation.EMBEDDING, generation.STATUS).write.parquet(self._path("vectors", name))
         vectors = self.spark.read.schema(VECTORS).parquet(self._path("vectors", name))
         problem = F.when(F.col(generation.EMBEDDING).isNull(), F.coalesce(F.nullif(F.col(generation.STATUS), F.lit("")), F.lit("no vector")))
         counted = vectors.groupBy("uri").agg(F.count("*").alias("chunks"), F.max(problem).alias("reason"))
-        judged = lookup_join(fresh.drop("batch", "text"), counted, ["uri"])
+        judged = lookup_join(fresh.drop("batch", *({"text"} & {*fresh.columns})), counted, ["uri"])
         # second step: the entries
         entries = judged.where(F.col("reason").isNull()).select(
             "uri", "deal_id", "length", "modified", F.col("new_digest").alias("digest"), F.lit(name).alias("batch"),
@@ -144,6 +144,48 @@ class Ingestion:
         entered = self.spark.read.parquet(self._path("files", name)).count()
         return entered, judged.where(F.col("reason").isNotNull()).select("uri", "reason")
 
+    def _whole_files(self, paths: list[str], todo: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """The files with ``new_digest`` and their text, and what cuts some of them into chunks."""
+        read = self.spark.read.format("binaryFile").load(paths).select(
+            F.col("path").alias("uri"), F.sha2("content", 256).alias("new_digest"), self.text(F.col("content")).alias("text")
+        )
+        rows = written(lookup_join(read, todo, ["uri"], how="inner"), "files")
+        return rows, lambda fresh: documents.chunk_documents(fresh, ["deal_id", "uri"], F.col("text"))
+
+    def _by_line(self, paths: list[str], todo: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """The files with ``new_digest``, and what cuts some of them into chunks; no task holds a whole file.
+
+        The words and bytes before a line follow from the counts of the lines, without
+        their texts. The digest is that of the length and of the sums of the SHA-256 of
+        every line with its place, which are combined before they are shuffled.
+        """
+        uris = self.spark.read.format("binaryFile").load(paths).select(F.col("path").alias("uri"), F.col("_metadata.file_path").alias("__file"))
+        read = self.spark.read.schema("value string").option("lineSep", "\n").text(paths).select(
+            F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),  # ascending within a block, which one task reads
+            F.decode(F.col("value").cast("binary"), "UTF-8").alias("line"),
+        )
+        lines = written(read.join(F.broadcast(uris), "__file").drop("__file"), "lines")
+        place = ["uri", "block", "row"]
+        # the reader drops a byte order mark, which belongs to the first word
+        sums = lines.groupBy("uri").agg((F.sum(F.octet_length("line")) + F.count("*") + 1).alias("bytes"), F.min(F.struct("block", "row")).alias("first"))
+        marked = lookup_join(todo, sums, ["uri"], how="inner").where(F.col("length") > F.col("bytes")).select("uri", "first.block", "first.row", F.lit("\ufeff").alias("mark"))
+        lines = lines.join(F.broadcast(marked), place, "left").withColumn("line", F.concat(F.coalesce("mark", F.lit("")), "line")).drop("mark")
+        counts = running_sums(
+            lines.select(*place, documents.word_count(F.col("line")).alias("words"), (F.octet_length("line") + 1).cast("bigint").alias("bytes"), F.sha2("line", 256).alias("hash")),
+            ["block", "row"], ["words", "bytes"], partition_by=["uri"],
+        )
+        placed = F.sha2(F.concat_ws(":", "bytes_to_date", "hash"), 256)
+        quarters = [F.sum(F.conv(F.substring(placed, 1 + 16 * n, 16), 16, 10).cast("decimal(20,0)")).cast("string") for n in range(4)]
+        hashes = counts.groupBy("uri").agg(F.concat_ws(":", *quarters).alias("__sums"))
+        rows = lookup_join(todo, hashes, ["uri"]).withColumn("new_digest", F.sha2(F.concat_ws(":", "length", "__sums"), 256)).drop("__sums")
+
+        def cut(fresh: DataFrame) -> DataFrame:
+            begun = counts.select(*place, (F.col("words_to_date") - F.col("words")).alias("first_word")).join(F.broadcast(fresh.select("uri", "deal_id")), "uri")
+            return documents.chunk_lines(lines.join(begun, place), ["deal_id", "uri"])
+
+        return written(rows, "files"), cut
+
     def _path(self, table: str, batch: str | None = None) -> str:
         root = f"{self.target.rstrip('/')}/{table}"
         # an entry may name an older batch, so the manifest's own folders have another name

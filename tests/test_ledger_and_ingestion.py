@@ -225,3 +225,37 @@ def test_details_job_asks_for_pending_deals_only(spark, tmp_path, log):
     write(folder, {"3.txt": "three"})
     done.run()
     assert run(replies.details_backend).pending == 1 and spark.read.parquet(copy).count() == 3
+
+
+def test_files_are_cut_by_line_as_whole_texts_are(spark, tmp_path):
+    """Lines of any length, blank ones, other white space, a byte order mark, splits of 64 bytes: the chunks of the whole text."""
+    folder = tmp_path / "in"
+    odd = "\n".join(" ".join(f"w{i}é" for i in range(n)) + "\r" * (n % 2) for n in (0, 3, 249, 1, 0, 250, 600, 2)) + "\n\n"
+    write(folder, {"1.txt": odd, "2.txt": "﻿ first\nsecond", "3.txt": "\n \t\n", "4.txt": "one line", "5.txt": "a\n" * 700})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        by_line = Ingestion(spark, str(folder), str(tmp_path / "lines"))
+        assert by_line.run().done == 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = Ingestion(spark, str(folder), str(tmp_path / "whole"), text=lambda content: F.decode(content, "UTF-8"))
+    assert whole.run().done == 5
+    assert stored(by_line) == stored(whole) and len(stored(whole)) == 5 + 1 + 1 + 3
+    assert sorted(by_line.chunks().columns) == sorted(whole.chunks().columns)
+    write(folder, {"1.txt": odd, "4.txt": "line one"})
+    batches = {r.deal_id: r.batch for r in by_line.manifest().collect()}
+    assert by_line.run().read == 2
+    now = {r.deal_id: r.batch for r in by_line.manifest().collect()}
+    assert {d for d in now if now[d] != batches[d]} == {4}  # the same lines under other splits keep their digest
+
+
+def test_no_whole_file_is_read(spark, tmp_path):
+    """A file larger than what Spark may read into one cell."""
+    folder = tmp_path / "in"
+    write(folder, {"1.txt": "one two\n" * 300})
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        done = Ingestion(spark, str(folder), str(tmp_path / "out"))
+        assert done.run().done == 1 and len(stored(done)) == 3
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
