@@ -50,3 +50,18 @@ def test_parts_make_the_whole(items, part_items):
     assert {k: [i for p in parts for i in p] for k, parts in seen.items()} == want
     for parts in seen.values():
         assert all(len(p) == part_items for p in parts[:-1])
+
+
+@pytest.mark.parametrize("part_items", [100, 7])
+def test_groups_too_large_for_a_task_make_the_same_parts(items, part_items):
+    kinds = {"messages": "m", "docs": "d"}
+    ranked, cut = (bundle(items, KEYS, kinds, {"docs"}, part_items, hot_rows=n) for n in (10_000, 50))
+    shown = [sorted(map(tuple, df.select("company_name", "part", "m", "d").collect()), key=str) for df in (ranked, cut)]
+    assert shown[0] == shown[1] and len(shown[0]) > 10
+
+
+def test_items_are_placed_by_one_shuffle(items, tmp_path):
+    items.write.parquet(f"{tmp_path}/items")
+    stored = items.sparkSession.read.parquet(f"{tmp_path}/items")
+    plan = bundle(stored, KEYS, {"messages": "m", "docs": "d"}, {"docs"}, 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
