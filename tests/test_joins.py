@@ -96,3 +96,17 @@ def test_running_sums(spark, keys, slices):
     got = running_sums(df, ["o"], ["x"], partition_by=keys, descending={"o"}, slices=slices)
     want = df.withColumn("x_to_date", F.sum("x").over(window))
     assert [tuple(map(str, r)) for r in rows(got)] == [tuple(map(str, r)) for r in rows(want)]
+
+
+def test_the_fact_side_is_not_computed_to_plan_the_join(spark, lookup):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    facts = spark.range(300).select((F.col("id") % 40).alias("k")).mapInArrow(count, "k bigint")
+    joined = lookup_join(facts, lookup, ["k"], "left", broadcast_rows=0)
+    assert seen.value == 0
+    assert joined.count() == rows(spark.range(300).select((F.col("id") % 40).alias("k")).join(lookup, "k", "left").groupBy().count())[0][0]
