@@ -106,3 +106,27 @@ def test_report_in_parts_keeps_every_row(spark):
 
 def test_fixed_dates():
     assert (AS_OF, SINCE) == (dt.date(2001, 3, 15), dt.datetime(2000, 1, 1))
+
+
+def test_evidence_is_gathered_for_the_months_of_prompts_alone(spark):
+    from statuslight.operators import evidence, reporting
+
+    status = Views(spark, SF_DIR).status()
+    every = evidence.gather([status.items(kind) for kind in evidence.OUTPUTS])
+    some = status.evidence()
+    assert 0 < some.count() < every.count()
+    columns = ["deal_name", *evidence.KEYS, "prompt_part", *evidence.OUTPUTS.values()]
+    whole, pruned = (reporting.assemble_evidence(status.written_spine, e).select(*columns) for e in (every, some))
+    assert pruned.exceptAll(whole).isEmpty() and whole.count() == pruned.count()
+
+
+def test_a_sorted_report_reads_every_answer_once(spark):
+    from statuslight.operators import reporting
+
+    answers = spark.createDataFrame(
+        [("c", "d", "e", "p", None, 0, '{"overall_status": "RED"}'), ("b", "d", "e", "p", None, 0, "none")],
+        "company_name string, deal_name string, deal_description string, project_name string, engagement_month date, prompt_part bigint, answer string",
+    )
+    report = reporting.status_report(answers, "answer")
+    assert "parseJson" not in report._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.overall_rag_status for r in report.collect()] == ["RED"]
