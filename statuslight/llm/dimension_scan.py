@@ -19,8 +19,8 @@ QUERY_EVERY = 20
 SAMPLE_ROWS, MOST_LISTS = 20_000, 4_096
 #: vectors of one or more lists that a group holds, and queries that it answers
 GROUP_ROWS = ASKED_ROWS = 4_096
-#: queries compared with the sample at once
-BOUND_ROWS = 128
+#: queries compared with the sample at once, and pairs of query and row that are scanned at once
+BOUND_ROWS, PAIRS = 128, 1 << 17
 COLUMN_BLOCK = 16
 CANDIDATES = 256
 #: strictness of the test: larger abandons less
@@ -62,36 +62,46 @@ def _nearest(x: np.ndarray, to: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(gaps, axis=1, kind="stable")[:, :k] if k > 1 else gaps.argmin(axis=1)[:, None]
 
 
-def scan(query: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
-    """Positions of rows that may be among the ``k`` nearest to ``query`` in squared distance.
+def survivors(queries: np.ndarray, rows: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions, query and row, of the pairs that may lie within the query's limit in squared distance.
 
-    Rows come in batches; their distances grow block of columns by block of columns, and
-    a row is abandoned when its partial distance, scaled to all dimensions, exceeds the
-    k-th best so far by more than the test allows. Rotated vectors make the columns alike.
+    Distances of all pairs grow block of columns by block of columns, and a pair is abandoned
+    when its partial distance, scaled to all dimensions, exceeds the limit by more than the
+    test allows. Rotated vectors make the columns alike. While many pairs are left, a block of
+    columns is one matrix product; later the pairs that are left are measured one by one.
     """
-    d = rows.shape[1]
-    best, kept = np.zeros(0), []
+    (asked, d), n = queries.shape, len(rows)
+    slack = 1e-9 * ((queries**2).sum(axis=1) + (rows**2).sum(axis=1).max(initial=0.0))  # rounding of products
+    alive, partial = np.arange(asked * n), np.zeros(asked * n)
+    for begin in range(0, d, COLUMN_BLOCK):
+        end = min(d, begin + COLUMN_BLOCK)
+        q, r = queries[:, begin:end], rows[:, begin:end]
+        if len(alive) == asked * n:
+            partial += ((q**2).sum(axis=1)[:, None] + (r**2).sum(axis=1)[None, :] - 2 * (q @ r.T)).ravel()
+        elif 4 * len(alive) > asked * n:
+            partial = partial + ((q**2).sum(axis=1)[:, None] + (r**2).sum(axis=1)[None, :] - 2 * (q @ r.T)).ravel()[alive]
+        else:
+            gap = r[alive % n] - q[alive // n]
+            partial = partial + np.einsum("ij,ij->i", gap, gap)
+        strict = (1 + EPSILON / math.sqrt(end)) ** 2 if end < d else 1.0
+        bars = limits * strict * (end / d) + slack
+        far = (partial.reshape(asked, n) > bars[:, None]).ravel() if len(alive) == asked * n else partial > bars[alive // n]
+        alive, partial = alive[~far], partial[~far]
+        if not len(alive):
+            break
+    return np.divmod(alive, max(1, n))
+
+
+def scan(query: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Positions of rows that may be among the ``k`` nearest to ``query``; the limit is the k-th best of the rows before."""
+    best, kept, limit = np.zeros(0), [np.zeros(0, int)], math.inf
     for at in range(0, len(rows), CANDIDATES):
-        alive = np.arange(at, min(len(rows), at + CANDIDATES))
+        part = rows[at : at + CANDIDATES]
+        found = survivors(query[None, :], part, np.array([limit]))[1]
+        kept.append(found + at)
+        best = np.concatenate([best, ((part[found] - query) ** 2).sum(axis=1)])
         limit = np.partition(best, k - 1)[k - 1] if len(best) >= k else math.inf
-        if limit == math.inf:  # nothing can be abandoned yet
-            gap = rows[at : at + CANDIDATES] - query
-            kept.append(alive)
-            best = np.concatenate([best, np.einsum("ij,ij->i", gap, gap)])
-            continue
-        partial = np.zeros(len(alive))
-        for begin in range(0, d, COLUMN_BLOCK):
-            end = min(d, begin + COLUMN_BLOCK)
-            gap = rows[alive, begin:end] - query[begin:end]
-            partial = partial + np.einsum("ij,ij->i", gap, gap)
-            slack = (1 + EPSILON / math.sqrt(end)) ** 2 if end < d else 1 + 1e-9
-            stay = partial * (d / end) <= limit * slack
-            alive, partial = alive[stay], partial[stay]
-            if not len(alive):
-                break
-        kept.append(alive)
-        best = np.concatenate([best, partial])
-    return np.concatenate(kept) if kept else np.zeros(0, int)
+    return np.concatenate(kept)
 
 
 @dataclass
@@ -121,46 +131,84 @@ class Reach:
 
 
 def _known(sample: np.ndarray, sample_ids: np.ndarray, k: int):
-    """What the ``k``-th best of each query scores at least: the ``k``-th best of the sample, without the query's id."""
+    """What the ``k``-th best of each query scores at least: the ``k``-th best of the sample, without the query's id.
 
-    def run(ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
-        known = np.full(len(queries), -math.inf)
+    With ``seen`` the ids of these ``k`` rows of the sample as well; none if the sample has fewer rows.
+    """
+
+    def run(ids: np.ndarray, queries: np.ndarray, seen: bool = False) -> np.ndarray | tuple[np.ndarray, list[np.ndarray]]:
+        known, rows = np.full(len(queries), -math.inf), [sample_ids[:0]] * len(queries)
         for at in range(0, len(queries) if len(sample) >= k else 0, BOUND_ROWS):
             scores = queries[at : at + BOUND_ROWS] @ sample.T
             scores[ids[at : at + BOUND_ROWS, None] == sample_ids[None, :]] = -math.inf
-            best = np.partition(scores, -k, axis=1)[:, -k]
+            best = np.argpartition(scores, -k, axis=1)[:, -k:]
+            rows[at : at + BOUND_ROWS] = sample_ids[best]
+            best = np.take_along_axis(scores, best, axis=1).min(axis=1)
             known[at : at + BOUND_ROWS] = best - 1e-9 * np.sqrt((queries[at : at + BOUND_ROWS] ** 2).sum(axis=1) * (sample**2).sum(axis=1).max())
-        return known
+        return (known, rows) if seen else known
 
     return run
 
 
+def _top(asked: np.ndarray, row: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` different pairs of each query with the largest score, ties to smaller ids."""
+    order = np.lexsort((row, ids[row], -score, asked))
+    order = order[np.r_[True, (np.diff(asked[order]) != 0) | (np.diff(row[order]) != 0)][: len(order)]]
+    asked, row, score = asked[order], row[order], score[order]
+    first = np.arange(len(asked)) - np.searchsorted(asked, asked) < k
+    return asked[first], row[first], score[first]
+
+
 def _search(width: int, k: int, rotation: np.ndarray, bound: float, reach: Reach):
-    """Of the ``k`` best of each list for each query sent to a group, those that reach what is known, with exact inner products."""
+    """Of a group's rows the ``k`` best for each query sent to it that reach what is known, with exact inner products.
+
+    What a query is known to reach, and later its k-th best of the lists before, is its limit:
+    vectors are lifted, so that an inner product is a distance. The rows of the sample that it
+    is known from take part whatever the test says, so no query finds fewer than ``k``.
+    """
 
     def run(base: pa.Table, asked: pa.Table) -> pa.Table:
         ids, lists = base.column("vec_id").to_numpy(), base.column("list").to_numpy()
-        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        if len(ids) and asked.num_rows:
+        best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        query_ids = asked.column("vec_id").to_numpy()
+        if len(ids) and len(query_ids):
             order = np.lexsort((ids, lists))
             ids, lists, v = ids[order], lists[order], _matrix(base.column("v").combine_chunks(), width)[order]
             turned = lifted(v, bound) @ rotation
             held, begins = np.unique(lists, return_index=True)
             ends = [*begins[1:].tolist(), len(lists)]
-            queries, known = _matrix(asked.column("v").combine_chunks(), width), asked.column("known").to_numpy()
+            queries, known = _matrix(asked.column("v").combine_chunks(), width), asked.column("known").to_numpy().copy()
             moved = np.hstack([queries, np.zeros((len(queries), 1))]) @ rotation
             open_to = reach(queries, known)[:, held]
-            for n, query_id in enumerate(asked.column("vec_id").to_pylist()):
-                found = [scan(moved[n], turned[begins[i] : ends[i]], k + 1) + begins[i] for i in np.flatnonzero(open_to[n])]  # one more: the query itself takes no part
-                found = np.concatenate(found) if found else np.zeros(0, int)
-                found = found[ids[found] != query_id]
-                score = (v[found] * queries[n]).sum(axis=1)
-                found, score = found[score >= known[n]], score[score >= known[n]]
-                top = np.lexsort((ids[found], -score))[:k]
-                out[0].append(np.full(len(top), query_id, np.int64))
-                out[1].append(ids[found][top])
-                out[2].append(score[top])
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, out), strict=True)))
+            whole = (queries**2).sum(axis=1) + bound
+            seen = asked.column("seen").combine_chunks()
+            n = np.repeat(np.arange(len(queries)), seen.value_lengths().to_numpy(zero_copy_only=False))
+            by_id, of = np.argsort(ids, kind="stable"), seen.flatten().to_numpy()
+            first, last = (np.searchsorted(ids, of, side, sorter=by_id) for side in ("left", "right"))
+            n, times = np.repeat(n, last - first), last - first  # an id may come with several rows
+            row = by_id[np.repeat(first, times) + np.arange(len(n)) - np.repeat(np.cumsum(times) - times, times)]
+            sampled = n, row, (v[row] * queries[n]).sum(axis=1)
+            reached = (sampled[2] >= known[n]) & (ids[row] != query_ids[n])
+            found, waiting = [tuple(x[reached] for x in sampled)], 0
+            for i, (begin, end) in enumerate(zip(begins.tolist(), ends, strict=True)):
+                sent = np.flatnonzero(open_to[:, i])
+                step = max(1, PAIRS // (end - begin))
+                for at in range(0, len(sent), step):
+                    part = sent[at : at + step]
+                    n, row = survivors(moved[part], turned[begin:end], np.maximum(0.0, whole[part] - 2 * known[part]))
+                    n, row = part[n], row + begin
+                    score = (v[row] * queries[n]).sum(axis=1)
+                    reached = (score >= known[n]) & (ids[row] != query_ids[n])  # the query itself takes no part
+                    found.append((n[reached], row[reached], score[reached]))
+                    waiting += np.count_nonzero(reached)
+                    if waiting > max(PAIRS, len(found[0][0])):
+                        best = _top(*map(np.concatenate, zip(*found, strict=True)), ids, k)
+                        found, waiting = [best], 0
+                        counts = np.bincount(best[0], minlength=len(queries))
+                        last = np.cumsum(counts)[counts >= k] - 1
+                        known[counts >= k] = np.maximum(known[counts >= k], best[2][last])
+            best = _top(*map(np.concatenate, zip(*found, strict=True)), ids, k)
+        return pa.table({"query_id": query_ids[best[0]], "vec_id": ids[best[1]], "score": best[2]})
 
     return run
 
@@ -226,9 +274,12 @@ def nearest(
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = _matrix(batch.column("v"), d)
-            least = known(batch.column("vec_id").to_numpy(), q)
+            least, seen = known(batch.column("vec_id").to_numpy(), q, True)
             groups = [np.flatnonzero(x).tolist() for x in reach(q, least) @ groups_of]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least), pa.array(groups, pa.list_(pa.int32()))], ["vec_id", "v", "known", "groups"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(least), pa.array(list(seen), pa.list_(pa.int64())), pa.array(groups, pa.list_(pa.int32()))],
+                ["vec_id", "v", "known", "seen", "groups"],
+            )
 
     asks = F.col("vec_id") % query_every == 0
     blocks = math.ceil(rows.where(asks).count() / ASKED_ROWS)
@@ -236,8 +287,8 @@ def nearest(
     table = F.broadcast(spark.createDataFrame(bins, "list int, first int, parts int"))
     base = assigned.join(table, "list").withColumn("group", F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
     base = base.select("group", F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks - 1)))).alias("block"), "vec_id", "v", "list")
-    asked = rows.where(asks).mapInArrow(probe, "vec_id bigint, v array<double>, known double, groups array<int>")
-    sent = asked.select(F.explode("groups").alias("group"), block.alias("block"), "vec_id", "v", "known")
+    asked = rows.where(asks).mapInArrow(probe, "vec_id bigint, v array<double>, known double, seen array<bigint>, groups array<int>")
+    sent = asked.select(F.explode("groups").alias("group"), block.alias("block"), "vec_id", "v", "known", "seen")
     found = base.groupBy("group", "block").cogroup(sent.groupBy("group", "block")).applyInArrow(
         _search(d, k, rotation, bound, reach), "query_id bigint, vec_id bigint, score double"
     )
