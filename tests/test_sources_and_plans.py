@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import checks.registry as registry
 from checks.views import AS_OF, SINCE, Views
-from statuslight.operators import retrieval
+from statuslight.operators import joins, retrieval
 from statuslight.sources import files, tables
 from tests.conftest import SF_DIR
 
@@ -130,3 +130,11 @@ def test_a_sorted_report_reads_every_answer_once(spark):
     report = reporting.status_report(answers, "answer")
     assert "parseJson" not in report._jdf.queryExecution().optimizedPlan().toString()
     assert [r.overall_rag_status for r in report.collect()] == ["RED"]
+
+
+def test_partitions_of_order_lines_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 100, raising=False)
+    views = Views(spark, SF_DIR)
+    parts = -(-views.table("lineitem").count() // 100)
+    assert views.lines.rdd.getNumPartitions() >= parts
+    assert registry.QUERIES["task_age"](spark, SF_DIR).rdd.getNumPartitions() >= parts
