@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from statuslight.functions.calendar import months_between_dates, whole_days
 from statuslight.functions.json_text import json_array, json_query, json_record, json_value, parsed, strip_fences
 from statuslight.functions.numbers import percent_text, pounds_text, ratio, safe_bigint
-from statuslight.operators import details, documents, evidence, reporting, spine
+from statuslight.operators import details, documents, evidence, joins, reporting, spine
 
 AS_OF = dt.date(2001, 3, 15)
 NTZ = "timestamp_ntz"
@@ -242,3 +242,15 @@ def test_details_of_partial_answers(spark):
     assert [(r.deal_id, r.background, r.objectives, r.deliverables, r.objectives_json) for r in got] == [
         (1, "b", [], [], "[]"), (3, None, [], [], None),
     ]
+
+
+def test_partitions_of_epics_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 100, raising=False)
+    at = dt.datetime(2000, 1, 1)
+    tasks = spark.createDataFrame(
+        [(i // 3 if i % 7 else None, None if i % 5 == 0 else f"E{i % 2}", at + dt.timedelta(days=i), at + dt.timedelta(days=2 * i)) for i in range(4000)],
+        "delivery_project_fk bigint, epic_name string, task_start_ts timestamp_ntz, task_end_ts timestamp_ntz",
+    )
+    found = evidence.task_epics(tasks)
+    assert found.count() == 4000 and found.rdd.getNumPartitions() >= 40
+    assert evidence.task_epics(tasks.limit(0)).count() == 0
