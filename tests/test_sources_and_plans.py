@@ -5,8 +5,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import checks.registry as registry
+from checks import replies
 from checks.views import AS_OF, SINCE, Views
 from statuslight.operators import joins, retrieval
+from statuslight.plans import status_report
+from statuslight.session import written
 from statuslight.sources import files, tables
 from tests.conftest import SF_DIR
 
@@ -138,3 +141,11 @@ def test_partitions_of_order_lines_follow_the_rows(spark, monkeypatch):
     parts = -(-views.table("lineitem").count() // 100)
     assert views.lines.rdd.getNumPartitions() >= parts
     assert registry.QUERIES["task_age"](spark, SF_DIR).rdd.getNumPartitions() >= parts
+
+
+def test_prompts_are_not_written_for_a_backend(spark, monkeypatch):
+    labels = []
+    monkeypatch.setattr(status_report, "written", lambda df, label="stage": (labels.append(label), written(df, label))[1])
+    answers = Views(spark, SF_DIR).status().answers(replies.counting_backend)
+    assert answers.count() > 0
+    assert "answers" in labels and "prompts" not in labels
