@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,7 @@ def _blocks(block_bytes: int):
 
     def pack(ids: list[int], texts: list[bytes], number: int) -> pa.RecordBatch:
         whole = np.array(ids, "<i8").tobytes() + np.array([len(t) for t in texts], "<i8").tobytes() + b"".join(texts)
-        payload = len(ids).to_bytes(8, "little") + zstandard.ZstdCompressor(level=9).compress(whole)
+        payload = len(ids).to_bytes(8, "little") + zstandard.ZstdCompressor(level=6).compress(whole)
         key = (TaskContext.get().partitionId() << 32) + number
         return pa.RecordBatch.from_arrays([pa.array([key]), pa.array([payload], pa.binary())], ["block", "payload"])
 
@@ -138,20 +139,25 @@ def _blocks(block_bytes: int):
     return run
 
 
-def _unpacked(payload: bytes) -> tuple[np.ndarray, list[str]]:
+def _unpacked(payload: bytes) -> tuple[np.ndarray, list[bytes]]:
     n = int.from_bytes(payload[:8], "little")
     whole = zstandard.ZstdDecompressor().decompress(payload[8:])
     ids, sizes = np.frombuffer(whole, "<i8", n), np.frombuffer(whole, "<i8", n, 8 * n)
     ends = 16 * n + np.cumsum(sizes)
-    return ids, [whole[e - s : e].decode() for s, e in zip(sizes, ends, strict=True)]
+    return ids, [whole[e - s : e] for s, e in zip(sizes, ends, strict=True)]
 
 
-def _distinct_words(texts: list[str]) -> list[str]:
+class Places(dict):
+    """Numbers words from 0 as they are looked up."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
+
+
+def _distinct_words(texts: list[bytes]) -> list[str]:
     """The distinct words of all texts in order of appearance, which is the same in every run."""
-    words: dict[str, None] = {}
-    for text in texts:
-        words.update(dict.fromkeys(words_of(text)))
-    return list(words)
+    return list(dict.fromkeys(chain.from_iterable(words_of(text.decode()) for text in texts)))
 
 
 def _segments_of(pairs: frozenset[str], common: Broadcast | None = None):
@@ -173,16 +179,17 @@ def _segments_of(pairs: frozenset[str], common: Broadcast | None = None):
     return run
 
 
-def lattice(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
-    """``word, path`` of distinct numbered words (``number, word``): the codes of the best-scoring sequence of pieces.
+def lattice(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") -> DataFrame:
+    """``keep, path`` of distinct numbered words (``number, word, keep``): the codes of the best-scoring sequence of pieces.
 
     A code is a piece's id, or ``UNKNOWN_CODE`` plus the code point of a character that is
     no piece; that has the score of an unknown. Words are cut into windows of starts, so
     that a row of the lattice never carries a long word. Substrings up to the longest piece
     are exploded and joined to the piece table, whose size is that of the vocabulary. The
-    edges of a word are gathered where the word's number is: the number, the end, the size
-    and the code are two integers. They are folded in order of their ends; the fold keeps
-    the best edge and its total for every end, of equal totals the edge that starts first.
+    edges of a word are gathered where the word's number is. They are folded in order of
+    their ends; the fold keeps the best edge and its total for every end, of equal totals
+    the edge that starts first. An edge is one integer of its end, its size and its code, so
+    that the greatest of equal totals is the longest one.
     It runs over slices of the edges and carries the totals that the next slice can reach,
     and so does the walk back from the end, so the work grows with the length of a word,
     not with its square. Words without characters have no path.
@@ -195,38 +202,40 @@ def lattice(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
     windows = numbered.select("number", F.explode(F.expr(f"""
         transform(sequence(0, length(word) - 1, {WINDOW}), at -> named_struct(
             'at', at, 'part', substring(word, greatest(at - {longest} + 1, 0) + 1, {WINDOW} + least(at, {longest} - 1)),
-            'word', if(at = 0, word, null)))""")).alias("w")).select("number", "w.*")
+            '{keep}', if(at = 0, {keep}, null)))""")).alias("w")).select("number", "w.*")
     # `first` is the place in the window's part where its first end lies
     ends = windows.withColumn("first", F.expr(f"least(at, {longest} - 1) + 1")).select(
-        "number", "at", "part", "word", "first", F.explode(F.expr("sequence(first, length(part))")).alias("stop"))
-    spans = ends.select("number", F.when(F.col("stop") == 1, F.col("word")).alias("word"), F.expr("at + stop - first + 1").alias("end"),
+        "number", "at", "part", keep, "first", F.explode(F.expr("sequence(first, length(part))")).alias("stop"))
+    spans = ends.select("number", F.when(F.col("stop") == 1, F.col(keep)).alias(keep), F.expr("at + stop - first + 1").alias("end"),
                         "part", "stop", F.explode(F.expr(f"sequence(least(stop, {longest}), 1, -1)")).alias("size"))
-    pieces_at = spans.select("number", "word", "end", "size", F.expr("substring(part, stop - size + 1, size)").alias("piece"))
+    pieces_at = spans.select("number", keep, "end", "size", F.expr("substring(part, stop - size + 1, size)").alias("piece"))
     met = pieces_at.join(F.broadcast(pieces.frame(spark)), "piece", "left").where(F.col("id").isNotNull() | (F.col("size") == 1))
     code = F.coalesce(F.col("id"), F.ascii("piece") + UNKNOWN_CODE).cast("bigint")
-    key = F.shiftleft(F.col("end").cast("bigint"), 32) + F.shiftleft((255 - F.col("size")).cast("bigint"), 24) + code
-    edges = met.select("number", "word", F.struct(key.alias("key"), F.coalesce("score", F.lit(pieces.worst - UNKNOWN)).alias("score")).alias("edge"))
-    gathered = edges.groupBy("number").agg(F.first("word", ignorenulls=True).alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    key = F.shiftleft(F.col("end").cast("bigint"), 32) + F.shiftleft(F.col("size").cast("bigint"), 24) + code
+    score = F.coalesce("score", F.lit(pieces.worst - UNKNOWN)).alias("score")
+    edge = F.struct(key.alias("key"), score, F.col("end"), (F.col("end") - F.col("size")).alias("start"))
+    edges = met.select("number", keep, edge.alias("edge"))
+    gathered = edges.groupBy("number").agg(F.first(keep, ignorenulls=True).alias(keep), F.sort_array(F.collect_list("edge")).alias("edges"))
     best = "struct<total:double,edge:bigint>"
-    end, size = "cast(shiftright(e.key, 32) as int)", "(255 - cast(shiftright(e.key, 24) & 255 as int))"
-    # `done` holds the best edges of finished ends, the first of them end `from` + 1; `now` that of the end in work
-    before = f"""if({end} = {size}, 0D, if({end} - {size} = s.end, s.now.total, get(s.done, {end} - {size} - s.from - 1).total))"""
-    step = f"""
-        named_struct('done', if({end} = s.end or s.now is null, s.done, concat(s.done, array(s.now))), 'from', s.from, 'end', {end},
-            'now', if({end} = s.end and s.now.total >= e.score + {before}, s.now,
-                      named_struct('total', e.score + {before}, 'edge', e.key)))"""
+    # `done` holds the best edges of finished ends, the first of them `from`; `now` that of `end`, the one in work
+    step = """
+        named_struct(
+            'done', if(e.end = s.end, s.done, concat(s.done, array(s.now))), 'end', e.end,
+            'now', greatest(if(e.end = s.end, s.now, null), named_struct(
+                'total', e.score + if(e.start = s.end, s.now.total, get(s.done, e.start - whole.from).total), 'edge', e.key)))"""
+    # end 0 has a total and no edge
     fold = f"""
         aggregate(sequence(0, (size(edges) - 1) div {SLICE}),
-            named_struct('state', named_struct('done', cast(array() as array<{best}>), 'from', 0, 'end', 0, 'now', cast(null as {best})),
-                         'parts', cast(array() as array<array<bigint>>)),
+            named_struct('state', named_struct('done', cast(array() as array<{best}>), 'end', 0, 'now', named_struct('total', 0D, 'edge', 0L)),
+                         'from', 0, 'parts', cast(array() as array<array<bigint>>)),
             (whole, k) -> aggregate(slice(edges, cast(k * {SLICE} + 1 as int), {SLICE}), whole.state, (s, e) -> {step},
                 s -> named_struct(
                     'state', named_struct(
-                        'done', slice(s.done, greatest(size(s.done) - {longest}, 0) + 1, {longest}),
-                        'from', s.from + greatest(size(s.done) - {longest}, 0), 'end', s.end, 'now', s.now),
+                        'done', slice(s.done, greatest(size(s.done) - {longest}, 0) + 1, {longest}), 'end', s.end, 'now', s.now),
+                    'from', whole.from + greatest(size(s.done) - {longest}, 0),
                     'parts', concat(whole.parts, array(transform(
                         slice(s.done, size(whole.state.done) + 1, size(s.done)), d -> d.edge))))),
-            whole -> concat(flatten(whole.parts), array(whole.state.now.edge)))
+            whole -> slice(concat(flatten(whole.parts), array(whole.state.now.edge)), 2, whole.state.end))
     """
     walk = f"""
         aggregate(sequence(0, (size(best) - 1) div {SLICE}),
@@ -235,17 +244,17 @@ def lattice(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
                 sequence(cast(size(best) - c * {SLICE} as int), cast(greatest(size(best) - (c + 1) * {SLICE} + 1, 1) as int), -1),
                 named_struct('at', whole.at, 'path', cast(array() as array<int>)),
                 (s, k) -> if(k = s.at,
-                    named_struct('at', k - (255 - cast(shiftright(best[k - 1], 24) & 255 as int)),
+                    named_struct('at', k - cast(shiftright(best[k - 1], 24) & 255 as int),
                                  'path', concat(s.path, array(cast(best[k - 1] & 16777215 as int)))),
                     s),
                 s -> named_struct('at', s.at, 'parts', concat(whole.parts, array(s.path)))),
             whole -> reverse(flatten(whole.parts)))
     """
-    return gathered.select("word", F.expr(fold).alias("best")).select("word", F.expr(walk).alias("path"))
+    return gathered.select(keep, F.expr(fold).alias("best")).select(keep, F.expr(walk).alias("path"))
 
 
-def encoded_words(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
-    """``word, ids`` of distinct numbered words, with unknown characters as the ids of their UTF-8 bytes."""
+def encoded_words(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") -> DataFrame:
+    """``keep, ids`` of distinct numbered words, with unknown characters as the ids of their UTF-8 bytes."""
     table = F.array(*[F.lit(i) for i in pieces.byte_ids])
     byte = "table[{} + (shiftright(c, {}) & 63)]".format
     known = F.expr(f"""
@@ -256,7 +265,7 @@ def encoded_words(words: DataFrame, pieces: Pieces, tasks: int) -> DataFrame:
                  when x.c < 65536 then array(table[224 + shiftright(x.c, 12)], {byte(128, 6)}, {byte(128, 0)})
                  else array(table[240 + shiftright(x.c, 18)], {byte(128, 12)}, {byte(128, 6)}, {byte(128, 0)}) end)), path)
     """.replace("shiftright(c,", "shiftright(x.c,"))
-    return lattice(words, pieces, tasks).withColumn("table", table).select("word", known.alias("ids"))
+    return lattice(words, pieces, tasks, keep).withColumn("table", table).select(keep, known.alias("ids"))
 
 
 def _apply(pairs: frozenset[str], shown: dict[int, bytes], common: Broadcast):
@@ -273,25 +282,33 @@ def _apply(pairs: frozenset[str], shown: dict[int, bytes], common: Broadcast):
             known[place] = flat[begin:end].tobytes()
             begin = end
         cut = Cutter(pairs)
+        blank = BLANK.encode()
+        texts_of = np.full(max(shown) + 1, None, object)  # what an id decodes to
+        texts_of[list(shown)] = [piece.replace(blank, b" ") for piece in shown.values()]
         for payload in block.column("payload").to_pylist():
             numbers, texts = _unpacked(payload)
-            words = _distinct_words(texts)
+            places = Places()
+            codes = [np.fromiter(map(places.__getitem__, words_of(text.decode())), np.int32) for text in texts]
+            words = list(places)
+            del places
             parts, stops = cut([BLANK + word for word in words])
             answers = dict.fromkeys(parts)
             answers.update(zip([s for s in answers if s not in held], known, strict=True))
             answers.update((s, held[s]) for s, path in answers.items() if path is None)
-            table, begin = {}, 0
-            for word, stop in zip(words, stops.tolist(), strict=True):
-                table[word] = answers[parts[begin]] if stop == begin + 1 else b"".join([answers[s] for s in parts[begin:stop]])
+            table, begin = np.empty(len(words), object), 0
+            for n, stop in enumerate(stops.tolist()):
+                table[n] = answers[parts[begin]] if stop == begin + 1 else b"".join([answers[s] for s in parts[begin:stop]])
                 begin = stop
             del words, parts, answers
-            for doc_id, text in zip(numbers, texts, strict=True):
-                encoded = b"".join(map(table.__getitem__, words_of(text)))
-                back = _decoded(np.frombuffer(encoded, "<u4"), shown)
+            for doc_id, text, places_of in zip(numbers, texts, codes, strict=True):
+                encoded = b"".join(table[places_of].tolist())
+                back = b"".join(texts_of[np.frombuffer(encoded, "<u4")].tolist())
+                # byte pieces may spell the sign; the blank put in front is one byte by now
+                back = (back.replace(blank, b" ") if blank in back else back)[1:]
                 out_id.append(int(doc_id))
                 out_ids.append(encoded)
                 out_n.append(len(encoded) // 4)
-                out_crc.append(zlib.crc32(back.encode()))
+                out_crc.append(zlib.crc32(back))
                 out_same.append(back == text)
         return pa.table({"doc_id": pa.array(out_id, pa.int64()), "n_tokens": pa.array(out_n, pa.int64()), "ids": pa.array(out_ids, pa.binary()),
                          "text_crc32": pa.array(out_crc, pa.int64()), "round_trip": pa.array(out_same, pa.bool_())})
@@ -310,11 +327,13 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
     and decoded each, other columns are ignored.
 
     Texts are written in compressed blocks; the distinct segments of each block ask for
-    their paths by their place in it, which the lattice finds once for every distinct
-    segment. The answers of a block come back to it, and the blocks, written in buckets,
-    do not move. Segments that are most common in ``COMMON_BLOCKS`` blocks, ``COMMON`` of
-    them at most, get their paths first; every task holds these, so nobody asks for them.
-    Which they are changes no result. No dictionary is larger than its block and these.
+    their paths by their place in it. Who asks for a segment is gathered by one shuffle on
+    it and goes with it through the lattice, which finds its path once, so the answers go
+    back to the blocks by one more shuffle, without a join on the segments; the blocks,
+    written in buckets, do not move. Segments that are most common in ``COMMON_BLOCKS``
+    blocks, ``COMMON`` of them at most, get their paths first; every task holds these, so
+    nobody asks for them. Which they are changes no result. No dictionary is larger than
+    its block and these.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "pieces")
@@ -324,24 +343,24 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
     looked = [r.block for r in blocks.select("block").orderBy(F.xxhash64("block"), "block").limit(COMMON_BLOCKS).collect()]
     seen = blocks.where(F.col("block").isin(looked)).mapInArrow(_segments_of(pairs), asking).groupBy("word").count()
     often = seen.orderBy(F.desc("count"), "word").limit(COMMON).select("word")
-    first = _paths(scratch, "common", often, pieces).collect()
+    first = _paths(scratch, "common", often, pieces, "word").collect()
     common = spark.sparkContext.broadcast({r.word: np.array(r.ids, "<u4").tobytes() for r in first})
-    asked = scratch.write(blocks.mapInArrow(_segments_of(pairs, common), asking), "asked")
-    paths = _paths(scratch, "asked", asked.select("word").distinct(), pieces)
-    # a merge join at every size
-    replies = asked.join(paths.hint("merge"), "word").select("block", "place", "ids")
+    asked = blocks.mapInArrow(_segments_of(pairs, common), asking)
+    gathered = asked.groupBy("word").agg(F.collect_list(F.struct("block", "place")).alias("askers"))
+    # two arrays of numbers are less to shuffle than an array of rows
+    askers = gathered.select("word", F.struct(F.col("askers.block").alias("block"), F.col("askers.place").alias("place")).alias("askers"))
+    found = _paths(scratch, "asked", askers, pieces, "askers")
+    replies = found.selectExpr("ids", "inline(arrays_zip(askers.block, askers.place)) as (block, place)").select("block", "place", "ids")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _apply(pairs, pieces.shown(), common), "doc_id bigint, n_tokens bigint, ids binary, text_crc32 bigint, round_trip boolean"
     )
 
 
-def _paths(scratch: Scratch, label: str, words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, ids`` of distinct words, as a table."""
+def _paths(scratch: Scratch, label: str, words: DataFrame, pieces: Pieces, keep: str) -> DataFrame:
+    """``keep, ids`` of distinct words, which are written."""
     # written, so that a number means the same word in every attempt of a task
-    numbered = scratch.write(words.select(F.monotonically_increasing_id().alias("number"), "word"), f"{label}-words")
-    paths = scratch.write(encoded_words(numbered, pieces, 1 + numbered.count() // PART_WORDS), f"{label}-paths")
-    scratch.drop(f"{label}-words")
-    return paths
+    numbered = scratch.write(words.select(F.monotonically_increasing_id().alias("number"), *words.columns), f"{label}-words")
+    return encoded_words(numbered, pieces, 1 + numbered.count() // PART_WORDS, keep)
 
 
 def id_arrays(encoded: DataFrame) -> DataFrame:

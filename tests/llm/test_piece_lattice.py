@@ -113,3 +113,12 @@ def test_long_unbroken_words(spark, pieces):
         assert found[doc_id].round_trip and found[doc_id].text_crc32 == zlib.crc32(text.encode())
         if doc_id < 6000:
             assert np.frombuffer(found[doc_id].ids, "<u4").tolist() == viterbi(text, pieces), doc_id
+
+
+def test_paths_come_back_without_a_join_on_segments(spark, pieces):
+    """Who asks for a segment goes with it through the lattice, in several blocks and for several segments of one."""
+    rows = [(n, f"alpha beta{n % 3} gamma {'zeta' * (n % 5)} 漢{n % 2}") for n in range(40)]
+    encoded = pl.encode(spark.createDataFrame(rows, "doc_id bigint, text string"), pieces, block_bytes=100)
+    assert "SortMergeJoin" not in encoded._jdf.queryExecution().executedPlan().toString()
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in encoded.collect()}
+    assert found == {n: viterbi(text, pieces) for n, text in rows}
