@@ -142,11 +142,14 @@ def _searched(within: list[str], k: int, id_type: pa.DataType, key_types: list[p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple, list[tuple]] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                vectors = np.frombuffer(row["vectors"]).reshape(-1, max(1, row["width"]))
-                questions = np.frombuffer(row["matrix"]).reshape(-1, max(1, row["width"]))
-                key = tuple(row[c] for c in within)
-                for name, found in zip(row["names"], nearest_rows(vectors, row["ids"], questions, k), strict=True):
+            columns = {c: batch.column(c) for c in batch.schema.names}
+            for row in range(batch.num_rows):
+                # a batch holds many blocks: they are looked at where they lie, one after another
+                width = max(1, columns["width"][row].as_py())
+                vectors, questions = (np.frombuffer(columns[c][row].as_buffer()).reshape(-1, width) for c in ("vectors", "matrix"))
+                key = tuple(columns[c][row].as_py() for c in within)
+                names, ids = columns["names"][row].as_py(), columns["ids"][row].as_py()
+                for name, found in zip(names, nearest_rows(vectors, ids, questions, k), strict=True):
                     held = best.get((*key, name))
                     best[(*key, name)] = sorted(held + found, key=_order)[:k] if held else found
             if len(best) * k > KEPT_ROWS:

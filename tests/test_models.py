@@ -184,3 +184,28 @@ def test_html(spark):
     assert {r.uri: (r.content, r.page_footers_text) for r in got} == {
         "u": ("One&nbsp;two &lt; three Page 1 Page 2", "Page 1"), "v": ("plain", None),
     }
+
+
+def test_a_batch_of_blocks_is_searched_where_it_lies():
+    """What the search adds to a batch grows with one block, not with the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    n, width, blocks = 500, 64, 40
+    vectors, question = rng.normal(size=(blocks, n, width)), rng.normal(size=(1, width))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([width] * blocks, pa.int32()), pa.array([list(range(b * n, b * n + n)) for b in range(blocks)], pa.list_(pa.int64())),
+         pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array([["q"]] * blocks, pa.list_(pa.string())),
+         pa.array([question.tobytes()] * blocks, pa.binary())],
+        ["width", "ids", "vectors", "names", "matrix"],
+    )
+    tracemalloc.start()
+    out = list(retrieval._searched([], 10, pa.int64(), [])(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    gaps = np.sqrt(((vectors.reshape(-1, width) - question) ** 2).sum(axis=1))
+    assert out[0].column("id").to_pylist() == np.argsort(gaps, kind="stable")[:10].tolist()
+    print(f"peak {peak / 1e6:.1f} MB of a batch of {batch.nbytes / 1e6:.1f} MB")
+    assert peak < vectors.nbytes / 4
