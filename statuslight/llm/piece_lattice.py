@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, count, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,14 @@ UNKNOWN_CODE = 1 << 23
 WINDOW = 64
 #: edges, and ends, that are folded before the state is cut back
 SLICE = 1024
-#: words whose lattice one task holds
-PART_WORDS = 20_000
+#: a piece is left out of the lattice where smaller ones score more than this above it; sums of scores err by less
+MARGIN = 0.01
+#: words that are cut at once
+CUT_WORDS = 50_000
+#: a power of two, many for each task
+SLOTS = 1 << 16
+#: common words, and bytes of texts, whose lattice one task holds
+PART_WORDS, PART_BYTES = 20_000, 8 << 20
 #: blocks that are looked through for common segments, and how many of these every task may hold
 COMMON_BLOCKS, COMMON = 8, 150_000
 
@@ -69,8 +76,23 @@ class Pieces:
         """What each id decodes to."""
         return {i: piece.encode() for piece, i, _ in self.rows} | {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "piece string, id int, score double")
+    def useful(self) -> list[tuple[str, int, float]]:
+        """The pieces that can be part of a best path: no sequence of smaller ones scores more than each.
+
+        A path with any other piece is beaten by the one with that sequence in its place, so
+        neither best totals nor which edges reach them depend on the pieces left out.
+        """
+        scores, unknown = {piece: score for piece, _, score in self.rows}, self.worst - UNKNOWN
+
+        def in_smaller(piece: str) -> float:
+            best = [0.0]
+            for end in range(1, len(piece) + 1):
+                starts = range(1 if end == len(piece) else 0, end)
+                totals = [best[i] + scores.get(piece[i:end], unknown if end - i == 1 else -np.inf) for i in starts]
+                best.append(max(totals, default=-np.inf))
+            return best[-1]
+
+        return [row for row in self.rows if in_smaller(row[0]) <= row[2] + MARGIN]
 
 
 class Cutter:
@@ -114,27 +136,29 @@ def segments(text: str, cut: Cutter) -> list[str]:
 
 
 def _blocks(block_bytes: int):
-    """Texts in compressed blocks of consecutive rows; a longer text is a block of its own."""
+    """Texts in compressed blocks of consecutive rows. What is left at the end goes with the block before it if it is less than a quarter of one."""
 
     def pack(ids: list[int], texts: list[bytes], number: int) -> pa.RecordBatch:
         whole = np.array(ids, "<i8").tobytes() + np.array([len(t) for t in texts], "<i8").tobytes() + b"".join(texts)
-        payload = len(ids).to_bytes(8, "little") + zstandard.ZstdCompressor(level=6).compress(whole)
+        payload = len(ids).to_bytes(8, "little") + zstandard.ZstdCompressor(level=5).compress(whole)
         key = (TaskContext.get().partitionId() << 32) + number
-        return pa.RecordBatch.from_arrays([pa.array([key]), pa.array([payload], pa.binary())], ["block", "payload"])
+        return pa.RecordBatch.from_arrays([pa.array([key]), pa.array([len(whole)]), pa.array([payload], pa.binary())], ["block", "size", "payload"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, held, number = [], [], 0, 0
+        ids, texts, held, number, full = [], [], 0, 0, ([], [])
         for batch in batches:
             column = batch.column("text").cast(pa.binary()).to_pylist()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), column, strict=True):
                 ids.append(doc_id)
                 texts.append(text)
                 held += len(text) + 16
+                if full[0] and held >= block_bytes / 4:
+                    yield pack(*full, number)
+                    number, full = number + 1, ([], [])
                 if held >= block_bytes:
-                    yield pack(ids, texts, number)
-                    ids, texts, held, number = [], [], 0, number + 1
-        if ids:
-            yield pack(ids, texts, number)
+                    ids, texts, held, full = [], [], 0, (ids, texts)
+        if full[0] or ids:
+            yield pack(full[0] + ids, full[1] + texts, number)
 
     return run
 
@@ -144,15 +168,7 @@ def _unpacked(payload: bytes) -> tuple[np.ndarray, list[bytes]]:
     whole = zstandard.ZstdDecompressor().decompress(payload[8:])
     ids, sizes = np.frombuffer(whole, "<i8", n), np.frombuffer(whole, "<i8", n, 8 * n)
     ends = 16 * n + np.cumsum(sizes)
-    return ids, [whole[e - s : e] for s, e in zip(sizes, ends, strict=True)]
-
-
-class Places(dict):
-    """Numbers words from 0 as they are looked up."""
-
-    def __missing__(self, word: str) -> int:
-        place = self[word] = len(self)
-        return place
+    return ids.copy(), [whole[e - s : e] for s, e in zip(sizes, ends, strict=True)]
 
 
 def _distinct_words(texts: list[bytes]) -> list[str]:
@@ -167,8 +183,11 @@ def _segments_of(pairs: frozenset[str], common: Broadcast | None = None):
         cut, held = Cutter(pairs), common.value if common else {}
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-                words = _distinct_words(_unpacked(payload)[1])
-                listed = [s for s in dict.fromkeys(cut([BLANK + word for word in words])[0]) if s not in held]
+                words, asked = _distinct_words(_unpacked(payload)[1]), {}
+                for at in range(0, len(words), CUT_WORDS):
+                    asked.update(dict.fromkeys(filterfalse(held.__contains__, cut([BLANK + word for word in words[at : at + CUT_WORDS]])[0])))
+                del words
+                listed = list(asked)
                 for at in range(0, len(listed), 50_000):
                     part = listed[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays(
@@ -179,14 +198,20 @@ def _segments_of(pairs: frozenset[str], common: Broadcast | None = None):
     return run
 
 
-def lattice(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") -> DataFrame:
-    """``keep, path`` of distinct numbered words (``number, word, keep``): the codes of the best-scoring sequence of pieces.
+def dealt(words: DataFrame, tasks: int) -> DataFrame:
+    """The words with their ``slot``, two bytes of a hash, dealt out over ``tasks`` partitions by it."""
+    return words.withColumn("slot", (F.xxhash64("word").bitwiseAND(F.lit(SLOTS - 1))).cast("int")).repartition(tasks, "slot")
+
+
+def lattice(words: DataFrame, pieces: Pieces, keep: str = "word") -> DataFrame:
+    """``keep, path`` of words that are dealt out (``slot, word, keep``): the codes of the best-scoring sequence of pieces.
 
     A code is a piece's id, or ``UNKNOWN_CODE`` plus the code point of a character that is
     no piece; that has the score of an unknown. Words are cut into windows of starts, so
     that a row of the lattice never carries a long word. Substrings up to the longest piece
-    are exploded and joined to the piece table, whose size is that of the vocabulary. The
-    edges of a word are gathered where the word's number is. They are folded in order of
+    are exploded and joined to the useful pieces, of which there are no more than in the
+    vocabulary. Words are numbered where they lie, and their edges, which never leave that
+    partition, are gathered by slot and number. They are folded in order of
     their ends; the fold keeps the best edge and its total for every end, of equal totals
     the edge that starts first. An edge is one integer of its end, its size and its code, so
     that the greatest of equal totals is the longest one.
@@ -194,35 +219,40 @@ def lattice(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") ->
     and so does the walk back from the end, so the work grows with the length of a word,
     not with its square. Words without characters have no path.
     """
-    spark, longest = words.sparkSession, pieces.longest
-    if longest > 255 or max(i for _, i, _ in pieces.rows) >= UNKNOWN_CODE:
+    useful = pieces.useful()
+    longest = max(len(piece) for piece, _, _ in useful)
+    if longest > 255 or max(i for _, i, _ in useful) >= UNKNOWN_CODE:
         raise ValueError("pieces are too long or too many for the packed edges")
-    # everything up to the grouping keeps the partitioning by number
-    numbered = words.where(F.length("word") > 0).repartition(tasks, "number")
-    windows = numbered.select("number", F.explode(F.expr(f"""
+    table = words.sparkSession.createDataFrame(useful, "piece string, id int, score double")
+    # everything up to the grouping keeps the partitioning by slot
+    group = ["slot", "number"]
+    numbered = words.where(F.length("word") > 0).withColumn("number", F.monotonically_increasing_id())
+    windows = numbered.select(*group, F.explode(F.expr(f"""
         transform(sequence(0, length(word) - 1, {WINDOW}), at -> named_struct(
             'at', at, 'part', substring(word, greatest(at - {longest} + 1, 0) + 1, {WINDOW} + least(at, {longest} - 1)),
-            '{keep}', if(at = 0, {keep}, null)))""")).alias("w")).select("number", "w.*")
+            '{keep}', if(at = 0, {keep}, null)))""")).alias("w")).select(*group, "w.*")
     # `first` is the place in the window's part where its first end lies
     ends = windows.withColumn("first", F.expr(f"least(at, {longest} - 1) + 1")).select(
-        "number", "at", "part", keep, "first", F.explode(F.expr("sequence(first, length(part))")).alias("stop"))
-    spans = ends.select("number", F.when(F.col("stop") == 1, F.col(keep)).alias(keep), F.expr("at + stop - first + 1").alias("end"),
+        *group, "at", "part", keep, "first", F.explode(F.expr("sequence(first, length(part))")).alias("stop"))
+    spans = ends.select(*group, F.when(F.col("stop") == 1, F.col(keep)).alias(keep), F.expr("at + stop - first + 1").alias("end"),
                         "part", "stop", F.explode(F.expr(f"sequence(least(stop, {longest}), 1, -1)")).alias("size"))
-    pieces_at = spans.select("number", keep, "end", "size", F.expr("substring(part, stop - size + 1, size)").alias("piece"))
-    met = pieces_at.join(F.broadcast(pieces.frame(spark)), "piece", "left").where(F.col("id").isNotNull() | (F.col("size") == 1))
+    pieces_at = spans.select(*group, keep, "end", "size", F.expr("substring(part, stop - size + 1, size)").alias("piece"))
+    met = pieces_at.join(F.broadcast(table), "piece", "left").where(F.col("id").isNotNull() | (F.col("size") == 1))
     code = F.coalesce(F.col("id"), F.ascii("piece") + UNKNOWN_CODE).cast("bigint")
     key = F.shiftleft(F.col("end").cast("bigint"), 32) + F.shiftleft(F.col("size").cast("bigint"), 24) + code
     score = F.coalesce("score", F.lit(pieces.worst - UNKNOWN)).alias("score")
     edge = F.struct(key.alias("key"), score, F.col("end"), (F.col("end") - F.col("size")).alias("start"))
-    edges = met.select("number", keep, edge.alias("edge"))
-    gathered = edges.groupBy("number").agg(F.first(keep, ignorenulls=True).alias(keep), F.sort_array(F.collect_list("edge")).alias("edges"))
+    edges = met.select(*group, keep, edge.alias("edge"))
+    gathered = edges.groupBy(*group).agg(F.first(keep, ignorenulls=True).alias(keep), F.sort_array(F.collect_list("edge")).alias("edges"))
     best = "struct<total:double,edge:bigint>"
-    # `done` holds the best edges of finished ends, the first of them `from`; `now` that of `end`, the one in work
+    # `done` holds the best edges of finished ends, the first of them `from`; `now` that of `end`, the one in work,
+    # where no edge of the same end can start
     step = """
         named_struct(
-            'done', if(e.end = s.end, s.done, concat(s.done, array(s.now))), 'end', e.end,
-            'now', greatest(if(e.end = s.end, s.now, null), named_struct(
-                'total', e.score + if(e.start = s.end, s.now.total, get(s.done, e.start - whole.from).total), 'edge', e.key)))"""
+            'done', if(e.end = s.end, s.done, array_append(s.done, s.now)), 'end', e.end,
+            'now', if(e.end = s.end,
+                greatest(s.now, named_struct('total', e.score + get(s.done, e.start - whole.from).total, 'edge', e.key)),
+                named_struct('total', e.score + if(e.start = s.end, s.now.total, get(s.done, e.start - whole.from).total), 'edge', e.key)))"""
     # end 0 has a total and no edge
     fold = f"""
         aggregate(sequence(0, (size(edges) - 1) div {SLICE}),
@@ -245,7 +275,7 @@ def lattice(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") ->
                 named_struct('at', whole.at, 'path', cast(array() as array<int>)),
                 (s, k) -> if(k = s.at,
                     named_struct('at', k - cast(shiftright(best[k - 1], 24) & 255 as int),
-                                 'path', concat(s.path, array(cast(best[k - 1] & 16777215 as int)))),
+                                 'path', array_append(s.path, cast(best[k - 1] & 16777215 as int))),
                     s),
                 s -> named_struct('at', s.at, 'parts', concat(whole.parts, array(s.path)))),
             whole -> reverse(flatten(whole.parts)))
@@ -253,8 +283,8 @@ def lattice(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") ->
     return gathered.select(keep, F.expr(fold).alias("best")).select(keep, F.expr(walk).alias("path"))
 
 
-def encoded_words(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "word") -> DataFrame:
-    """``keep, ids`` of distinct numbered words, with unknown characters as the ids of their UTF-8 bytes."""
+def encoded_words(words: DataFrame, pieces: Pieces, keep: str = "word") -> DataFrame:
+    """``keep, ids`` of words that are dealt out, with unknown characters as the ids of their UTF-8 bytes."""
     table = F.array(*[F.lit(i) for i in pieces.byte_ids])
     byte = "table[{} + (shiftright(c, {}) & 63)]".format
     known = F.expr(f"""
@@ -265,7 +295,7 @@ def encoded_words(words: DataFrame, pieces: Pieces, tasks: int, keep: str = "wor
                  when x.c < 65536 then array(table[224 + shiftright(x.c, 12)], {byte(128, 6)}, {byte(128, 0)})
                  else array(table[240 + shiftright(x.c, 18)], {byte(128, 12)}, {byte(128, 6)}, {byte(128, 0)}) end)), path)
     """.replace("shiftright(c,", "shiftright(x.c,"))
-    return lattice(words, pieces, tasks, keep).withColumn("table", table).select(keep, known.alias("ids"))
+    return lattice(words, pieces, keep).withColumn("table", table).select(keep, known.alias("ids"))
 
 
 def _apply(pairs: frozenset[str], shown: dict[int, bytes], common: Broadcast):
@@ -287,19 +317,23 @@ def _apply(pairs: frozenset[str], shown: dict[int, bytes], common: Broadcast):
         texts_of[list(shown)] = [piece.replace(blank, b" ") for piece in shown.values()]
         for payload in block.column("payload").to_pylist():
             numbers, texts = _unpacked(payload)
-            places = Places()
+            places = defaultdict(count().__next__)  # numbers words from 0 as they are looked up
             codes = [np.fromiter(map(places.__getitem__, words_of(text.decode())), np.int32) for text in texts]
             words = list(places)
             del places
-            parts, stops = cut([BLANK + word for word in words])
-            answers = dict.fromkeys(parts)
-            answers.update(zip([s for s in answers if s not in held], known, strict=True))
-            answers.update((s, held[s]) for s, path in answers.items() if path is None)
-            table, begin = np.empty(len(words), object), 0
-            for n, stop in enumerate(stops.tolist()):
-                table[n] = answers[parts[begin]] if stop == begin + 1 else b"".join([answers[s] for s in parts[begin:stop]])
-                begin = stop
-            del words, parts, answers
+            table, asked, answers = np.empty(len(words), object), {}, iter(known)
+            for at in range(0, len(words), CUT_WORDS):
+                parts, stops = cut([BLANK + word for word in words[at : at + CUT_WORDS]])
+                asked.update(zip([s for s in dict.fromkeys(filterfalse(held.__contains__, parts)) if s not in asked], answers))
+                paths = [held[s] if s in held else asked[s] for s in parts]
+                begins = np.r_[0, stops][:-1]
+                table[at : at + len(stops)] = [paths[begin] for begin in begins.tolist()]
+                several = np.flatnonzero(stops > begins + 1)
+                for n, begin, stop in zip(several.tolist(), begins[several].tolist(), stops[several].tolist(), strict=True):
+                    table[at + n] = b"".join(paths[begin:stop])
+            if len(asked) < len(known):
+                raise ValueError("paths of segments that nobody asked for")
+            del words, asked, answers
             for doc_id, text, places_of in zip(numbers, texts, codes, strict=True):
                 encoded = b"".join(table[places_of].tolist())
                 back = b"".join(texts_of[np.frombuffer(encoded, "<u4")].tolist())
@@ -328,41 +362,35 @@ def encode(documents: DataFrame, pieces: Pieces, block_bytes: int = BLOCK_BYTES)
 
     Texts are written in compressed blocks; the distinct segments of each block ask for
     their paths by their place in it. Who asks for a segment is gathered by one shuffle on
-    it and goes with it through the lattice, which finds its path once, so the answers go
-    back to the blocks by one more shuffle, without a join on the segments; the blocks,
-    written in buckets, do not move. Segments that are most common in ``COMMON_BLOCKS``
+    it and goes with it through the lattice, which finds its path once and where it lies, so
+    the answers go back to the blocks by one more shuffle, without a join on the segments;
+    the blocks, written in buckets, do not move. Segments that are most common in ``COMMON_BLOCKS``
     blocks, ``COMMON`` of them at most, get their paths first; every task holds these, so
     nobody asks for them. Which they are changes no result. No dictionary is larger than
     its block and these.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "pieces")
-    packed = id_and_text(documents).mapInArrow(_blocks(block_bytes), "block bigint, payload binary")
+    packed = id_and_text(documents).mapInArrow(_blocks(block_bytes), "block bigint, size bigint, payload binary")
     blocks = scratch.write_buckets(packed, "blocks", "block", partitions(spark))
     pairs, asking = pieces.pairs, "block bigint, place int, word string"
     looked = [r.block for r in blocks.select("block").orderBy(F.xxhash64("block"), "block").limit(COMMON_BLOCKS).collect()]
     seen = blocks.where(F.col("block").isin(looked)).mapInArrow(_segments_of(pairs), asking).groupBy("word").count()
     often = seen.orderBy(F.desc("count"), "word").limit(COMMON).select("word")
-    first = _paths(scratch, "common", often, pieces, "word").collect()
+    first = encoded_words(dealt(often, 1 + COMMON // PART_WORDS), pieces).collect()
     common = spark.sparkContext.broadcast({r.word: np.array(r.ids, "<u4").tobytes() for r in first})
     asked = blocks.mapInArrow(_segments_of(pairs, common), asking)
-    gathered = asked.groupBy("word").agg(F.collect_list(F.struct("block", "place")).alias("askers"))
-    # two arrays of numbers are less to shuffle than an array of rows
-    askers = gathered.select("word", F.struct(F.col("askers.block").alias("block"), F.col("askers.place").alias("place")).alias("askers"))
-    found = _paths(scratch, "asked", askers, pieces, "askers")
+    tasks = 1 + (blocks.agg(F.sum("size")).first()[0] or 0) // PART_BYTES
+    gathered = dealt(asked, tasks).groupBy("slot", "word").agg(F.collect_list(F.struct("block", "place")).alias("askers"))
+    # two arrays of numbers are less to carry along than an array of rows
+    askers = gathered.select("slot", "word", F.struct(F.col("askers.block").alias("block"), F.col("askers.place").alias("place")).alias("askers"))
+    found = encoded_words(askers, pieces, "askers")
     replies = found.selectExpr("ids", "inline(arrays_zip(askers.block, askers.place)) as (block, place)").select("block", "place", "ids")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _apply(pairs, pieces.shown(), common), "doc_id bigint, n_tokens bigint, ids binary, text_crc32 bigint, round_trip boolean"
     )
 
 
-def _paths(scratch: Scratch, label: str, words: DataFrame, pieces: Pieces, keep: str) -> DataFrame:
-    """``keep, ids`` of distinct words, which are written."""
-    # written, so that a number means the same word in every attempt of a task
-    numbered = scratch.write(words.select(F.monotonically_increasing_id().alias("number"), *words.columns), f"{label}-words")
-    return encoded_words(numbered, pieces, 1 + numbered.count() // PART_WORDS, keep)
-
-
 def id_arrays(encoded: DataFrame) -> DataFrame:
     """``doc_id, ids`` of encoded rows, the ids as array<int>."""
 

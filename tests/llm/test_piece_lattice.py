@@ -122,3 +122,20 @@ def test_paths_come_back_without_a_join_on_segments(spark, pieces):
     assert "SortMergeJoin" not in encoded._jdf.queryExecution().executedPlan().toString()
     found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in encoded.collect()}
     assert found == {n: viterbi(text, pieces) for n, text in rows}
+
+
+def test_pieces_that_no_best_path_has_are_left_out(pieces):
+    """A piece is left out of the lattice exactly where smaller ones score more in its place."""
+    useful = {piece for piece, _, _ in pieces.useful()}
+    whole = [(p, i) for p, i, _ in pieces.rows if p[0] == "▁" and len(p) > 1 and "▁" not in p[1:]][::20]
+    found = [(p in useful, viterbi(p[1:], pieces) == [i]) for p, i in whole]
+    assert all(a == b for a, b in found) and {a for a, _ in found} == {True, False}
+
+
+def test_edges_are_gathered_where_the_segment_lies(spark, pieces):
+    """Segments are shuffled once on their way to their paths, and a small rest of texts goes with the block before it."""
+    rows = [(n, f"word{n} " * 5) for n in range(41)]
+    encoded = pl.encode(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), pieces, block_bytes=400)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(number" not in plan and plan.count("REPARTITION_BY_NUM") == 1
+    assert {r.doc_id: r.round_trip for r in encoded.collect()} == {n: True for n, _ in rows}
