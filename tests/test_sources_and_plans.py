@@ -149,3 +149,12 @@ def test_prompts_are_not_written_for_a_backend(spark, monkeypatch):
     answers = Views(spark, SF_DIR).status().answers(replies.counting_backend)
     assert answers.count() > 0
     assert "answers" in labels and "prompts" not in labels
+
+
+def test_answers_are_written_without_their_prompts(spark, monkeypatch):
+    tables = {}
+    monkeypatch.setattr(status_report, "written", lambda df, label="stage": tables.setdefault(label, written(df, label)))
+    status = Views(spark, SF_DIR).status()
+    answers = status.answers(replies.counting_backend)
+    assert answers.count() == status.prompts().count() > 0
+    assert "prompt" not in tables["answers"].columns
