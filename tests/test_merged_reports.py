@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from checks.views import Views
 from statuslight.operators import reporting, rules
 from statuslight.operators.generation import RESULT
+from statuslight.plans import status_report
+from statuslight.session import written
 from tests.conftest import SF_DIR, rows
 
 NAMES = list(reporting.STATUS_FIELDS)
@@ -92,3 +94,23 @@ def test_small_parts_give_as_many_rows_as_whole_evidence(spark):
     assert parted.agg(F.max("parts")).first()[0] > 2 and whole.agg(F.max("parts")).first()[0] == 1
     events = [F.to_json("month_timeline_events").alias("events")]
     assert rows(whole.select(*keys, *events)) == rows(parted.select(*keys, *events))
+
+
+def test_rules_answer_the_evidence_of_a_month_once_for_all_its_engagements(spark, monkeypatch):
+    """Engagements of one name and month, equal ones, ones without a name or month: the rows of answers to every prompt, out of fewer answers."""
+    tables = {}
+    monkeypatch.setattr(status_report, "written", lambda df, label="stage": tables.setdefault(label, written(df, label)))
+    status = Views(spark, SF_DIR).status(part_items=2)
+    one = status.written_spine.where(F.col("background").isNotNull() & F.col("engagement_month").isNotNull())
+    more = [one.withColumn("deal_name", F.concat(F.lit(name), "deal_name")) for name in ("second ", "third ")]
+    unnamed = [one.limit(3).withColumn(c, F.lit(None).cast(one.schema[c].dataType)) for c in ("company_name", "engagement_month")]
+    for other in (one, *more, *unnamed):
+        status.written_spine = status.written_spine.unionByName(other)
+    status.written_spine = written(status.written_spine, "spine")
+    found = status.report()
+    n_answers = tables.pop("answers").count()
+    every = status.answers()
+    last = every.agg(F.max("prompt_part")).first()[0]
+    plain = [c if c != "month_timeline_events" else F.to_json(c).alias(c) for c in found.columns]
+    assert rows(found.select(*plain)) == rows(reporting.merged_report(every, RESULT, last).select(*plain))
+    assert last > 0 and 0 < n_answers * 3 < every.count()
