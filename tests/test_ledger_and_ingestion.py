@@ -1,5 +1,6 @@
 """Calls that are kept as they are answered, and files that are ingested in two steps."""
 
+import hashlib
 import os
 import time
 from collections import Counter
@@ -8,11 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import replies
+from checks.views import Views
 from statuslight.operators import generation
+from statuslight.operators import ledger as ledger_module
 from statuslight.operators.ledger import KEY, CallLedger
-from statuslight.plans import engagement_details
+from statuslight.plans import engagement_details, status_report
 from statuslight.plans.ingestion import Ingestion
-from tests.conftest import rows
+from statuslight.session import written
+from tests.conftest import SF_DIR, rows
 
 
 def recording(log, answer=str.upper, end_after=None):
@@ -259,3 +263,43 @@ def test_no_whole_file_is_read(spark, tmp_path):
         assert done.run().done == 1 and len(stored(done)) == 3
     finally:
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_prompts_are_sent_where_they_are_made(spark, tmp_path, log, monkeypatch):
+    """Spine rows that occur twice, several parts, unknown clients: every prompt is sent once and none is stored."""
+    tables = {}
+    monkeypatch.setattr(status_report, "written", lambda df, label="stage": tables.setdefault(label, written(df, label)))
+    monkeypatch.setattr(ledger_module, "written", lambda df, label="stage": tables.setdefault(f"{label} {len(tables)}", written(df, label)))
+    status = Views(spark, SF_DIR).status(part_items=4)
+    spine = status.written_spine.drop("spine_row")
+    unknown = spine.where("background is not null").limit(2).withColumn("company_name", F.lit(None).cast("string"))
+    every = spine.unionByName(spine.limit(200)).unionByName(unknown)
+    status.written_spine = written(every.withColumn("spine_row", F.monotonically_increasing_id()), "spine")
+    prompts = [r.prompt for r in status.prompts().collect()]
+    assert None in prompts and 0 < len({*prompts} - {None}) < len(prompts) - 2
+
+    def sizes(prompt):
+        return f"{len(prompt)} {hashlib.sha256(prompt.encode()).hexdigest()}"
+
+    ledger = CallLedger(str(tmp_path / "ledger"), buckets=3)
+    with pytest.raises(Exception):  # noqa: B017 - the worker is gone, the job fails
+        status.answers(recording_keys(log, sizes, end_after=2), ledger=ledger)
+    before = sent(log)
+    assert 0 < sum(before.values()) < len({*prompts} - {None})
+    found = status.answers(recording_keys(log, sizes), ledger=ledger)
+    assert sent(log) == Counter(sizes(p) for p in {*prompts} - {None})
+    given = Counter((r[generation.RESULT], r[generation.STATUS]) for r in found.collect())
+    assert given == Counter((p and sizes(p), "" if p else "no input") for p in prompts)
+    assert rows(status.answers(replies.no_backend, ledger=ledger)) == rows(found)
+    assert not [name for name, table in tables.items() if "prompt" in table.columns]
+
+
+def recording_keys(log, answer, end_after=None):
+    """``recording`` for prompts of several lines: it writes down their answers."""
+    open_backend = recording(log, end_after=end_after, answer=lambda line: line)
+
+    def opened():
+        call = open_backend()
+        return lambda prompts, options: call([answer(p) for p in prompts])
+
+    return opened
