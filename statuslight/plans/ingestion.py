@@ -24,7 +24,7 @@ from statuslight.functions.numbers import safe_bigint
 from statuslight.operators import documents, generation
 from statuslight.operators.joins import lookup_join
 from statuslight.operators.running import running_sums
-from statuslight.session import written
+from statuslight.session import discard, written
 from statuslight.sources import files
 
 #: files whose paths are on the driver, and that are committed, together
@@ -120,11 +120,13 @@ class Ingestion:
         name = uuid.uuid4().hex
         if not paths:
             return 0, self.spark.createDataFrame([], "uri string, reason string")
-        rows, cut = self._whole_files(paths, todo) if self.text else self._by_line(paths, todo)
+        scratch: list[str] = []  # tables that are as large as the files and are read until the chunks are written
+        rows, cut = self._whole_files(paths, todo) if self.text else self._by_line(paths, todo, scratch)
         touched = rows.where(F.col("digest") == F.col("new_digest"))  # another time of change, the same bytes
         fresh = rows.where(F.col("digest").isNull() | (F.col("digest") != F.col("new_digest")))
         # first step: rows that no entry names yet
         cut(fresh).write.parquet(self._path("chunks", name))
+        discard(self.spark, scratch)
         chunks = self.spark.read.schema(CHUNKS).parquet(self._path("chunks", name))
         vectors = self.embed(chunks.select("uri", "id", "content"))
         vectors.select("uri", "id", generation.EMBEDDING, generation.STATUS).write.parquet(self._path("vectors", name))
@@ -152,7 +154,7 @@ class Ingestion:
         rows = written(lookup_join(read, todo, ["uri"], how="inner"), "files")
         return rows, lambda fresh: documents.chunk_documents(fresh, ["deal_id", "uri"], F.col("text"))
 
-    def _by_line(self, paths: list[str], todo: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    def _by_line(self, paths: list[str], todo: DataFrame, scratch: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
         """The files with ``new_digest``, and what cuts some of them into chunks; no task holds a whole file.
 
         The words and bytes before a line follow from the counts of the lines, without
@@ -165,7 +167,7 @@ class Ingestion:
             F.monotonically_increasing_id().alias("row"),  # ascending within a block, which one task reads
             F.decode(F.col("value").cast("binary"), "UTF-8").alias("line"),
         )
-        lines = written(read.join(F.broadcast(uris), "__file").drop("__file"), "lines")
+        lines = written(read.join(F.broadcast(uris), "__file").drop("__file"), "lines", scratch)
         place = ["uri", "block", "row"]
         # the reader drops a byte order mark, which belongs to the first word
         sums = lines.groupBy("uri").agg((F.sum(F.octet_length("line")) + F.count("*") + 1).alias("bytes"), F.min(F.struct("block", "row")).alias("first"))
@@ -173,7 +175,7 @@ class Ingestion:
         lines = lines.join(F.broadcast(marked), place, "left").withColumn("line", F.concat(F.coalesce("mark", F.lit("")), "line")).drop("mark")
         counts = running_sums(
             lines.select(*place, documents.word_count(F.col("line")).alias("words"), (F.octet_length("line") + 1).cast("bigint").alias("bytes"), F.sha2("line", 256).alias("hash")),
-            ["block", "row"], ["words", "bytes"], partition_by=["uri"],
+            ["block", "row"], ["words", "bytes"], partition_by=["uri"], paths=scratch,
         )
         placed = F.sha2(F.concat_ws(":", "bytes_to_date", "hash"), 256)
         quarters = [F.sum(F.conv(F.substring(placed, 1 + 16 * n, 16), 16, 10).cast("decimal(20,0)")).cast("string") for n in range(4)]

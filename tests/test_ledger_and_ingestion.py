@@ -13,9 +13,9 @@ from checks.views import Views
 from statuslight.operators import generation
 from statuslight.operators import ledger as ledger_module
 from statuslight.operators.ledger import KEY, CallLedger
-from statuslight.plans import engagement_details, status_report
+from statuslight.plans import engagement_details, ingestion, status_report
 from statuslight.plans.ingestion import Ingestion
-from statuslight.session import written
+from statuslight.session import discard, written
 from tests.conftest import SF_DIR, rows
 
 
@@ -303,3 +303,30 @@ def recording_keys(log, answer, end_after=None):
         return lambda prompts, options: call([answer(p) for p in prompts])
 
     return opened
+
+
+def test_tables_of_lines_are_removed_once_the_chunks_are_written(spark, tmp_path, monkeypatch):
+    folder, paths = tmp_path / "in", []
+
+    def watched(spark, scratch):
+        paths.extend(scratch)
+        assert len(paths) == 2 and all(os.path.isdir(p.removeprefix("file:")) for p in paths)
+        discard(spark, scratch)
+
+    monkeypatch.setattr(ingestion, "discard", watched, raising=False)
+    write(folder, {"1.txt": LONG, "2.txt": "two"})
+    done = Ingestion(spark, str(folder), str(tmp_path / "out"))
+    assert done.run().done == 2 and len(stored(done)) == 4
+    assert paths and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+
+
+def test_a_vector_is_joined_to_its_row_by_key_alone(spark, tmp_path):
+    """Where the inputs are not asked for, they are not moved to find their answers and statuses."""
+    df = spark.createDataFrame([(1, "aab"), (2, None)], "id bigint, content string")
+    df.write.parquet(str(tmp_path / "chunks"))
+    found = CallLedger(str(tmp_path / "ledger"), buckets=2).generate_embedding(spark.read.parquet(str(tmp_path / "chunks")), replies.vowel_backend)
+    narrow = found.select("id", generation.STATUS)
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join" in line)
+    assert KEY in join and all("content" not in line for line in plan.splitlines() if "Project" in line and "sha2" not in line)
+    assert {(r.id, r[generation.STATUS]) for r in narrow.collect()} == {(1, ""), (2, "no input")}
